@@ -19,10 +19,13 @@ def as_column(value: str | Column) -> Column:
 def trim(value: str | Column) -> Column:
     """Strip space separators at both ends.
 
-    Spark's one-argument trim knows only U+0020; naming the set keeps the work in the
-    native trim, at less than half the cost of two anchored regular expressions.
+    Spark's one-argument trim knows only U+0020. That is all a text of one-byte characters
+    can hold, and it is four times as fast as the trim over a set, so the set is kept for
+    texts with longer characters.
     """
-    return F.btrim(as_column(value), F.lit(SPACE_SEPARATORS))
+    value = as_column(value)
+    one_byte = F.length(value) == F.octet_length(value)
+    return F.when(one_byte, F.trim(value)).otherwise(F.btrim(value, F.lit(SPACE_SEPARATORS)))
 
 
 def blank_to_null(value: str | Column) -> Column:

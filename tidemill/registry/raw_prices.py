@@ -10,38 +10,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemill.plans.fuel_prices import SOURCE, STATES
+from tidemill.storage import total_bytes
 
 # Fixed value: first load time of the adapter.
 FIRST_LOAD = "2025-01-01 00:00:00"
 STATE_TEXT = "".join(STATES)
+BROADCAST_UP_TO = 16 * 1024 * 1024
+SPREAD_BELOW = 256 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, path: str) -> DataFrame:
+    """Deal the rows of a small input out to all cores.
+
+    A file of one row group is one task. Below the limit a round-robin exchange costs
+    little; a larger table has row groups enough and is left as it is.
+    """
+    spark = df.sparkSession
+    if total_bytes(spark, path) > SPREAD_BELOW:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
+def small_side(df: DataFrame, path: str) -> DataFrame:
+    """A join side made from the file at ``path``, broadcast only if that file is small.
+
+    Spark takes a side that is itself a join for as large as the product of its inputs,
+    and would rather broadcast the fact table.
+    """
+    return F.broadcast(df) if total_bytes(df.sparkSession, path) <= BROADCAST_UP_TO else df
+
+
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that depend on reseller or product alone are made once per reseller or product."""
     items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
     )
-    # Sides are left to Spark, which broadcasts one only when its size is known to be small.
-    resellers = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    items = spread(items, f"{sf_dir}/lineitem.parquet")
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region").select("r_regionkey"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    regions = table(spark, sf_dir, "region").select("r_regionkey")
-    resellers = resellers.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
-    products = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size", "p_brand")
+    suppliers = table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    resellers = suppliers.select("s_suppkey", *[v.alias(n) for n, v in _reseller_columns().items()])
+    products = table(spark, sf_dir, "part").select("p_partkey", *[v.alias(n) for n, v in _product_columns().items()])
+    resellers = small_side(resellers, f"{sf_dir}/supplier.parquet")
+    products = small_side(products, f"{sf_dir}/part.parquet")
     joined = items.join(resellers, F.col("l_suppkey") == F.col("s_suppkey")).join(
         products, F.col("l_partkey") == F.col("p_partkey")
     )
-    return joined.select(*[value.alias(name) for name, value in _columns().items()])
+    rows = joined.withColumns(_item_columns())
+    return rows.select(*[F.col(f"`{name}`") for name in SOURCE.raw_schema.names])
 
 
-def _columns() -> dict[str, Column]:
-    key, line = F.col("s_suppkey"), F.col("l_linenumber")
+def _reseller_columns() -> dict[str, Column]:
+    key = F.col("s_suppkey")
     key8, key2 = F.lpad(key.cast("string"), 8, "0"), F.lpad((key % 100).cast("string"), 2, "0")
-    day = F.col("l_shipdate").cast("date")
-    iso = day.cast("string")
     printed_number = F.concat(
         F.lit(" "), F.substring(key8, 1, 2), F.lit("."), F.substring(key8, 3, 3), F.lit("."),
         F.substring(key8, 6, 3), F.lit("/0001-"), key2,
@@ -49,32 +75,43 @@ def _columns() -> dict[str, Column]:
     postal = F.concat(
         F.lpad((key + 20000).cast("string"), 5, "0"), F.lit("-"), F.lpad((key % 1000).cast("string"), 3, "0")
     )
-    partition = F.concat(F.year(day).cast("string"), F.lit("-"), F.when(F.month(day) <= 6, "01").otherwise("02"))
-
-    def comma(amount: str) -> Column:
-        return F.replace(F.col(amount).cast("decimal(10,2)").cast("string"), F.lit("."), F.lit(","))
-
+    region_codes = F.array(*[F.lit(r) for r in ("N", "NE", "S", "SE", " CO ")])
     return {
-        "Regiao - Sigla": F.element_at(
-            F.array(*[F.lit(r) for r in ("N", "NE", "S", "SE", " CO ")]), F.col("n_regionkey") + 1
-        ),
+        "Regiao - Sigla": F.element_at(region_codes, F.col("n_regionkey") + 1),
         "Estado - Sigla": F.substring(F.lit(STATE_TEXT), F.col("n_nationkey") * 2 + 1, F.lit(2)),
         "Municipio": F.concat(F.lit("  "), F.col("n_name"), F.lit(" ")),
         "Revenda": F.when(key % 7 == 0, "   ").otherwise(F.col("s_name")),
-        "CNPJ da Revenda": F.when(line == 6, F.concat(key8, F.lit("0001"), key2)).otherwise(printed_number),
+        "printed_number": printed_number,
+        "plain_number": F.concat(key8, F.lit("0001"), key2),
         "Nome da Rua": F.concat(F.lit("RUA "), (key % 17).cast("string")),
         "Numero Rua": F.when(key % 5 == 0, "S/N").otherwise(key.cast("string")),
         "Complemento": F.when(key % 3 == 0, "").otherwise(F.concat(F.lit(" LOJA "), (key % 4).cast("string"))),
         "Bairro": F.when(key % 9 != 0, "CENTRO"),
         "Cep": F.when(key % 11 == 0, " ").when(key % 13 == 0, "S/CEP").otherwise(postal),
+    }
+
+
+def _product_columns() -> dict[str, Column]:
+    return {
         "Produto": F.when(F.col("p_type") == "PROMO", "GASOLINA").when(F.col("p_size") == 50, " GLP").otherwise("GLP"),
-        "Data da Coleta": F.concat_ws(
-            "/", F.substring(iso, 9, 2), F.substring(iso, 6, 2), F.substring(iso, 1, 4)
-        ),
+        "Bandeira": F.when(F.col("p_brand") == "Brand#1", "").otherwise(F.col("p_brand")),
+    }
+
+
+def _item_columns() -> dict[str, Column]:
+    line, day = F.col("l_linenumber"), F.col("l_shipdate").cast("date")
+    iso = day.cast("string")
+    partition = F.concat(F.year(day).cast("string"), F.lit("-"), F.when(F.month(day) <= 6, "01").otherwise("02"))
+
+    def comma(amount: str) -> Column:
+        return F.replace(F.col(amount).cast("decimal(10,2)").cast("string"), F.lit("."), F.lit(","))
+
+    return {
+        "CNPJ da Revenda": F.when(line == 6, F.col("plain_number")).otherwise(F.col("printed_number")),
+        "Data da Coleta": F.concat_ws("/", F.substring(iso, 9, 2), F.substring(iso, 6, 2), F.substring(iso, 1, 4)),
         "Valor de Venda": F.when(line == 7, "N/D").otherwise(comma("l_extendedprice")),
         "Valor de Compra": F.when(F.year(day) < 2000, comma("l_quantity")),
         "Unidade de Medida": F.lit("R$ / 13 kg"),
-        "Bandeira": F.when(F.col("p_brand") == "Brand#1", "").otherwise(F.col("p_brand")),
         "partition": partition,
         "source_file": F.concat(
             F.lit(f"incoming/{SOURCE.name}/partition="), partition, F.lit("/part-"), line.cast("string"), F.lit(".csv")

@@ -33,6 +33,12 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath) and fs.getFileStatus(jpath).isDirectory()
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file, or of all files of a folder."""
+    fs, jpath = _hadoop(spark, path)
+    return fs.getContentSummary(jpath).getLength()
+
+
 def delete_dir(spark: SparkSession, path: str) -> None:
     fs, jpath = _hadoop(spark, path)
     fs.delete(jpath, True)
