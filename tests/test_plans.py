@@ -1,0 +1,55 @@
+"""The physical plans: pushed filters, one shuffle, no Python in the row path."""
+
+import re
+
+import pytest
+
+from tidemill.plans.fuel_prices import MODEL, SOURCE
+from tidemill.plans.staging import clean, full_model
+from tidemill.registry import all_queries
+from tidemill.registry.raw_prices import raw_prices
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def stored_raw(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("raw") / "prices")
+    raw_prices(spark, SF).write.partitionBy("partition").parquet(path)
+    return spark.read.schema(SOURCE.raw_schema).parquet(path)
+
+
+def test_model_scans_with_a_pushed_filter_and_shuffles_once(stored_raw):
+    plan = plan_of(full_model(stored_raw, MODEL))
+    assert "EqualTo(Produto,GLP)" in plan
+    assert len(re.findall(r"Exchange ", plan)) == 1
+    partial, exchange = plan.index("Partial"), plan.index("Exchange hashpartitioning(sk_revenda_coleta")
+    assert exchange < partial, "one row per key and task before the shuffle"
+    assert "md5" in plan[partial:], "the key is made before the shuffle"
+
+
+def test_only_the_needed_columns_are_read(stored_raw):
+    plan = plan_of(clean(stored_raw, MODEL).select("valor_venda"))
+    schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
+    assert [c.split(":")[0] for c in schema.split(",")] == ["Produto", "Valor de Venda"]
+
+
+def test_one_half_year_reads_one_directory(spark, stored_raw):
+    from tidemill.sources.periods import rows_of_period
+
+    plan = plan_of(rows_of_period(stored_raw, "1997-01"))
+    assert re.search(r"PartitionFilters: \[[^\]]*partition#\d+ = 1997-01", plan)
+
+
+EAGER = {"stream_ingest_once", "stream_archive", "stream_events_latest", "ingest_batch", "ingest_ledger", "ingest_archive"}
+
+
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - EAGER))
+def test_no_query_leaves_the_jvm_or_multiplies_rows(spark, name):
+    plan = plan_of(all_queries()[name](spark, SF))
+    for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "NestedLoop"):
+        assert operator not in plan
