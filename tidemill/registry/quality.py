@@ -27,6 +27,13 @@ def _shared_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _failing_values(df: DataFrame, check: quality.Check) -> DataFrame:
+    value = F.col(f"`{check.column}`").alias("value")
+    return quality.failing_rows(df, check).select(
+        F.lit(check.column).alias("column_name"), value, "source_file", "ingestion_ts"
+    )
+
+
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = [c for c in MODEL.checks if c.kind == "not_null"]
     model = quality.run_checks(_model(spark, sf_dir), checks).select("column_name", "failing_rows")
@@ -54,19 +61,19 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_prices(spark, sf_dir)
     checks = [quality.match_regex("CNPJ da Revenda", "^[0-9]+$"), quality.match_regex("Cep", "^[0-9]*$")]
-    parts = [
-        quality.failing_rows(raw, c).select(
-            F.lit(c.column).alias("column_name"), F.col(f"`{c.column}`").alias("value"), "source_file", "ingestion_ts"
-        )
-        for c in checks
-    ]
+    parts = [_failing_values(raw, c) for c in checks]
     return parts[0].unionByName(parts[1])
 
 
 def dq_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _model(spark, sf_dir)
-    wrong = quality.failing_rows(model, quality.length_equals("cep", 8))
-    return wrong.select(MODEL_KEY, "cep")
+    """Postal codes of the model and company numbers as printed that have another length."""
+    raw = raw_prices(spark, sf_dir)
+    checks = [
+        (full_model(raw, MODEL), quality.length_equals("cep", 8)),
+        (raw, quality.length_equals("CNPJ da Revenda", 14)),
+    ]
+    parts = [_failing_values(df, c) for df, c in checks]
+    return parts[0].unionByName(parts[1])
 
 
 def dq_between(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +197,11 @@ ORACLES = {
         UNION ALL
         SELECT 'Cep', "Cep", source_file, ingestion_ts
         FROM raw_prices WHERE NOT regexp_matches("Cep", '^[0-9]*$')"""),
-    "dq_length": with_model("SELECT sk_revenda_coleta, cep FROM model WHERE length(cep) <> 8"),
+    "dq_length": with_model("""
+        SELECT 'cep' AS column_name, cep AS value, source_file, ingestion_ts FROM model WHERE length(cep) <> 8
+        UNION ALL
+        SELECT 'CNPJ da Revenda', "CNPJ da Revenda", source_file, ingestion_ts
+        FROM raw_prices WHERE length("CNPJ da Revenda") <> 14"""),
     "dq_between": with_model("""
         SELECT column_name, failing_rows, CASE WHEN failing_rows = 0 THEN 'pass' ELSE 'fail' END AS status FROM (
           SELECT 'valor_venda' AS column_name, count(*) FILTER (WHERE valor_venda < 0) AS failing_rows FROM model
