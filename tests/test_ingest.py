@@ -6,10 +6,11 @@ import pytest
 from conftest import rows_of
 from landing import HEADER, price_file, price_line
 from tidemill.plans import ingest as ingest_module
-from tidemill.plans.fuel_prices import MODEL, SOURCE
+from tidemill.plans.fuel_prices import MODEL, MODEL_ON_CLEAN_KEY, SOURCE
 from tidemill.plans.ingest import ingest
 from tidemill.plans.staging import build_model, full_model
 from tidemill.plans.warehouse import Warehouse
+from tidemill.sources.periods import rows_of_period
 from tidemill.sources.file_units import checksum_files, list_files, with_size_kb
 
 T1, T2, T3 = datetime(2025, 7, 1), datetime(2025, 7, 2), datetime(2025, 7, 3)
@@ -109,6 +110,22 @@ def test_no_files_is_an_error(spark, place):
         load(spark, place)
 
 
+def test_missing_folder_is_an_error(spark, place):
+    with pytest.raises(FileNotFoundError):
+        load(spark, place)
+
+
+def test_half_years_are_known_from_directory_names(spark, place):
+    price_file(place.incoming, "2025-01", "a.csv", [price_line()])
+    price_file(place.incoming, "2024-02", "b.csv", [price_line(cnpj="2")])
+    assert rows_of(place.warehouse.periods(spark, SOURCE)) == []
+    load(spark, place)
+    present = place.warehouse.periods(spark, SOURCE)
+    assert rows_of(present) == [("2024-02",), ("2025-01",)]
+    rows = rows_of_period(raw(spark, place), "2025-02", present)
+    assert rows_of(rows, "partition") == [("2025-01",)]
+
+
 def test_empty_fields_are_null_and_blanks_stay(spark, place):
     fields = price_line().split(";")
     fields[3:6] = ["", '""', '" "']
@@ -223,6 +240,7 @@ def test_two_spellings_of_one_company_are_two_keys(spark, place):
     load(spark, place)
     model = build_model(spark, SOURCE, MODEL, place.warehouse)
     assert rows_of(model, "cnpj_revenda") == [("12345678000190",)] * 2
+    assert build_model(spark, SOURCE, MODEL_ON_CLEAN_KEY, place.warehouse).count() == 1
 
 
 def test_order_of_files_does_not_matter(spark, tmp_path):

@@ -22,6 +22,7 @@ from tidemill.storage import delete_dir, escape_glob, glob_paths
 
 _VERSION = re.compile(r"/v=(\d+)-(-?\d+)-(full|part)(?=/|$)")
 _SLICE = "_table_slice"
+_FEW_SLICES = 4
 # Directory name Spark gives to a NULL or empty partition value.
 _NULL_SLICE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -77,20 +78,17 @@ class KeyedTable:
         return spark.read.schema(self.schema).parquet(*[escape_glob(p) for p in paths])
 
     def replace(self, df: DataFrame, mark: int) -> None:
-        """Full build: newest row per key of ``df`` becomes the whole table.
-
-        The rebalance lets adaptive execution size the output files per slice and split
-        a slice that is much larger than the others.
-        """
+        """Full build: newest row per key of ``df`` becomes the whole table."""
         rows = latest_per_key(df, self.key, newest_first(self.tie_order))
-        self._publish(self._with_slice(rows).hint("rebalance", F.col(_SLICE)), mark, "full")
+        self._publish(rows, mark, "full", many_slices=self.slice_of is not None)
 
     def merge(self, df: DataFrame, mark: int) -> None:
         """Upsert: rewrite only the slices ``df`` touches, keeping the newest row per key."""
         spark = df.sparkSession
-        current = self.read(spark, self._touched(df))
+        touched = self._touched(df)
+        current = self.read(spark, touched)
         rows = merge_latest(current, df.select(*self.schema.names), self.key, newest_first(self.tie_order))
-        self._publish(self._with_slice(rows), mark, "part")
+        self._publish(rows, mark, "part", many_slices=touched is not None and len(touched) > _FEW_SLICES)
 
     def expire(self, spark: SparkSession) -> int:
         """Drop slice directories that a newer version replaced; for times without readers."""
@@ -115,7 +113,14 @@ class KeyedTable:
         value = self.slice_of().cast("string") if self.slice_of else F.lit("all")
         return df.withColumn(_SLICE, value)
 
-    def _publish(self, df: DataFrame, mark: int, kind: str) -> None:
+    def _publish(self, rows: DataFrame, mark: int, kind: str, many_slices: bool) -> None:
+        """Rows lie by key, so every task holds rows of every slice. With few slices the tasks
+        write a file each; with many a second exchange, sized and split by adaptive execution
+        however large a slice is, keeps the number of files down to what the data needs.
+        """
+        df = self._with_slice(rows)
+        if many_slices:
+            df = df.hint("rebalance", F.col(_SLICE))
         versions = self.versions(df.sparkSession)
         number = versions[0].number + 1 if versions else 0
         path = f"{self.root}/v={number:06d}-{mark}-{kind}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, functions as F, types as T
 
 from tidemill.contracts import ModelColumn, ModelContract, SourceColumn, SourceContract
@@ -56,6 +58,10 @@ def survey_key() -> Column:
     return surrogate_key(raw_column("CNPJ da Revenda"), survey_date(), raw_column("Produto"))
 
 
+def survey_key_of_clean_values() -> Column:
+    return surrogate_key(digits_only(raw_column("CNPJ da Revenda")), survey_date(), trim(raw_column("Produto")))
+
+
 def _text(name: str, raw: str, comment: str, clean=trim) -> ModelColumn:
     return ModelColumn(name, T.StringType(), comment, lambda: clean(raw_column(raw)))
 
@@ -123,3 +129,10 @@ MODEL = ModelContract(
         not_null("source_file"),
     ),
 )
+
+# The same model with one key per reseller however its number is printed; not the default.
+MODEL_ON_CLEAN_KEY = replace(
+    MODEL,
+    table=f"{MODEL_TABLE}_clean_key",
+    columns=(replace(MODEL.columns[0], value=survey_key_of_clean_values), *MODEL.columns[1:]),
+)

@@ -16,6 +16,7 @@ from tidemill.plans.archive import archive_files
 from tidemill.plans.warehouse import Warehouse
 from tidemill.sources.csv_files import scan_landing
 from tidemill.sources.file_units import checksum_files, list_files
+from tidemill.storage import path_exists
 
 log = logging.getLogger(__name__)
 
@@ -44,6 +45,8 @@ def ingest(
     committed by its ledger entry, so a failure loses at most the running batch and the
     driver holds the names of one batch at a time.
     """
+    if not path_exists(spark, incoming):
+        raise FileNotFoundError(f"no folder {incoming}")
     found = list_files(spark, incoming, source.file_glob)
     if found.isEmpty():
         raise FileNotFoundError(f"no {source.file_glob} files in {incoming}")

@@ -55,6 +55,16 @@ class Warehouse:
         schema = T.StructType([*LEDGER_SCHEMA.fields, BATCH])
         return self._batches(spark, source, self.ledger_path(source), schema, 0)
 
+    def periods(self, spark: SparkSession, source: SourceContract) -> DataFrame:
+        """Half-years with committed raw rows, from directory names alone."""
+        last = self.committed_batch(spark, source)
+        found = set()
+        for path in glob_paths(spark, f"{self.raw_path(source)}/batch_id=*/partition=*"):
+            batch, partition = (part.split("=", 1)[1] for part in path.rsplit("/", 2)[1:])
+            if int(batch) <= last:
+                found.add((partition,))
+        return spark.createDataFrame(sorted(found), "partition string")
+
     def _batches(
         self, spark: SparkSession, source: SourceContract, path: str, schema: T.StructType, after: int
     ) -> DataFrame:

@@ -20,15 +20,19 @@ from tidemill.functions import (
 )
 from tidemill.operators.latest import latest_per_key as newest_row_per_key
 from tidemill.operators.latest import newest_first
-from tidemill.plans.fuel_prices import MODEL
+from tidemill.plans.fuel_prices import MODEL, MODEL_ON_CLEAN_KEY
 from tidemill.plans.staging import clean, full_model
-from tidemill.registry.raw_prices import raw_prices, table, with_clean, with_model, with_raw
+from tidemill.registry.raw_prices import TIES, raw_prices, table, with_clean, with_model, with_raw
 
 
 def stg_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full_model(raw_prices(spark, sf_dir), MODEL)
 
 
+def stg_clean_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return full_model(raw_prices(spark, sf_dir), MODEL_ON_CLEAN_KEY)
+
+
 def product_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_prices(spark, sf_dir).where(MODEL.keep())
 
@@ -118,6 +122,7 @@ def fn_semester(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "stg_full_refresh": stg_full_refresh,
+    "stg_clean_key": stg_clean_key,
     "product_filter": product_filter,
     "clean_project": clean_project,
     "latest_per_key": latest_per_key,
@@ -133,6 +138,13 @@ QUERIES = {
 
 ORACLES = {
     "stg_full_refresh": with_model("SELECT * FROM model"),
+    "stg_clean_key": with_clean(f"""
+        SELECT * EXCLUDE (rn) FROM (
+          SELECT *, row_number() OVER (PARTITION BY sk_revenda_coleta ORDER BY {TIES}) AS rn FROM (
+            SELECT * REPLACE (
+              md5(cnpj_revenda || '-' || CAST(data_coleta AS VARCHAR) || '-' || produto) AS sk_revenda_coleta)
+            FROM cleaned))
+        WHERE rn = 1"""),
     "product_filter": with_raw("SELECT * FROM raw_prices WHERE \"Produto\" = 'GLP'"),
     "clean_project": with_clean("SELECT * FROM cleaned"),
     "latest_per_key": """

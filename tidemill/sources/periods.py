@@ -24,14 +24,17 @@ def resolve_periods(wanted: DataFrame, available: DataFrame) -> DataFrame:
     return found.groupBy("wanted").agg(F.min_by("partition", step_found).alias("resolved"))
 
 
-def rows_of_period(table: DataFrame, wanted: str) -> DataFrame:
+def rows_of_period(table: DataFrame, wanted: str, available: DataFrame | None = None) -> DataFrame:
     """Rows of the wanted half-year or, when it has none, of the one before it.
 
-    Reads one partition of a table partitioned by ``partition``. Neither present is an error.
+    Reads one partition of a table partitioned by ``partition``. ``available`` names the
+    half-years present, for tables that know them without a scan (``Warehouse.periods``).
+    Neither present is an error.
     """
     spark = table.sparkSession
     asked = spark.createDataFrame([(wanted,)], "wanted string")
-    resolved = resolve_periods(asked, table.select("partition")).first()["resolved"]
+    present = table.select("partition") if available is None else available
+    resolved = resolve_periods(asked, present).first()["resolved"]
     if resolved is None:
         raise FileNotFoundError(f"no rows for {wanted} nor for the half-year before it")
     return table.where(F.col("partition") == resolved)
