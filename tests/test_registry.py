@@ -6,6 +6,8 @@ from compare import connect, normalized
 from tidemill.registry import all_oracles, all_queries
 
 SF = "/root/testdata/sf0.001"
+# Python in the row path, and joins that pair every row with every row.
+OUT_OF_PLACE = ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "NestedLoopJoin")
 
 
 @pytest.fixture(scope="module")
@@ -26,3 +28,6 @@ def test_query_matches_its_sql(spark, duck, name):
     want = normalized(names, result.fetchall())
     assert want, "an empty result would prove nothing"
     assert normalized(df.columns, [tuple(r) for r in df.collect()]) == want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in OUT_OF_PLACE:
+        assert operator not in plan

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemill.operators import upsert
-from tidemill.operators.keyed_table import KeyedTable
 from tidemill.plans.fuel_prices import MODEL, SOURCE
 from tidemill.plans.staging import clean, full_model
+from tidemill.plans.warehouse import Warehouse
 from tidemill.registry.raw_prices import CLEAN_SQL, RAW_SQL, TIES, raw_prices, table, with_model, with_raw
 from tidemill.sources import csv_files
 from tidemill.storage import scratch_dir
@@ -50,11 +50,14 @@ def union_current_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old, new = _halves(spark, sf_dir)
-    path = scratch_dir(spark, "upsert")
-    model = KeyedTable(path, MODEL.schema, MODEL.key, tuple(MODEL.tie_order), MODEL.slice_of)
-    model.replace(clean(old, MODEL), mark=1)
-    model.merge(clean(new, MODEL), mark=2)
+    """A full build from the first raw batch, then an upsert of the second."""
+    root = scratch_dir(spark, "upsert")
+    batches = raw_prices(spark, sf_dir).withColumn("batch_id", F.when(_is_new(), 2).otherwise(1))
+    batches.write.partitionBy("batch_id").parquet(f"{root}/raw")
+    raw = spark.read.parquet(f"{root}/raw")
+    model = Warehouse(root).model_table(MODEL)
+    model.replace(clean(raw.where("batch_id = 1"), MODEL), mark=1)
+    model.merge(clean(raw.where("batch_id = 2"), MODEL), mark=2)
     return model.read(spark)
 
 
