@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from tidemill.sources.file_units import open_file_system
@@ -52,3 +54,7 @@ def _move_one(path: str, root: str, archive_root: str) -> str | None:
         target_there = system.get_file_info(target).type == FileType.File
         return None if source_gone and target_there else str(error)
     return None
+
+
+# Task functions travel by value, so the executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

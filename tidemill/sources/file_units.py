@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemill.functions import bytes_checksum, size_kb
@@ -47,12 +49,12 @@ def checksum_files(
         F.col("length").alias("size_bytes"),
         bytes_checksum("content").alias("file_checksum"),
     )
-    large = (
-        files.where(F.col("length") > one_row_bytes)
-        .select(F.col("path").alias("source_file"), F.col("length").alias("size_bytes"))
-        .mapInPandas(_hash_by_block, "source_file string, size_bytes bigint, file_checksum string")
+    large = files.where(F.col("length") > one_row_bytes).select(
+        F.col("path").alias("source_file"), F.col("length").alias("size_bytes")
     )
-    return small.unionByName(large)
+    if large.isEmpty():  # from the listing alone; saves starting Python workers for nothing
+        return small
+    return small.unionByName(large.mapInPandas(hash_by_block, small.schema))
 
 
 def open_file_system(path: str):
@@ -70,7 +72,7 @@ def open_file_system(path: str):
     return system, rest if scheme in ("s3", "gs") else "/" + rest.split("/", 1)[1]
 
 
-def _hash_by_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def hash_by_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         digests = []
         for path in batch["source_file"]:
@@ -81,3 +83,7 @@ def _hash_by_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     digest.update(block)
             digests.append(digest.hexdigest())
         yield batch.assign(file_checksum=digests)
+
+
+# Task functions travel by value, so the executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
