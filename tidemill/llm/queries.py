@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemill.llm import exact_dedup, mixing, token_counts, token_output
+from tidemill.llm import exact_dedup, mixing, near_dedup, token_counts, token_output, toxicity
 
-_PARTS = (token_counts, exact_dedup, mixing, token_output)
+_PARTS = (token_counts, near_dedup, exact_dedup, mixing, token_output, toxicity)
 
 
 def llm_queries() -> dict:
