@@ -12,8 +12,8 @@ in which the cut lies, and only that cell's documents are sorted.
 
 Defined results: a null text has size 0, empty texts too; they are taken with 0 words. A
 null source is a source of its own, last in order. Keys depend on ``doc_id`` alone, so
-reruns agree; rows that repeat a ``doc_id`` (or have none) draw the same key and are ordered by
-size. With no words at all, targets are 0. An empty table gives no rows. Other columns
+reruns agree; rows that repeat a ``doc_id`` (or have none) draw the same key and are taken alike. A source
+without words is not in the mix. With no words at all, targets are 0. An empty table gives no rows. Other columns
 are not read.
 """
 
@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidemill.llm.common import WORD, stored, table, text_of
 
 CELLS = 4096
+#: Sources up to which their table (a hundred bytes each) is sent to all tasks; beyond, it is joined.
+BROADCAST_SOURCES = 100_000
 #: Signs that prose has few of; their share lowers a document's quality weight.
 SIGNS = "#$%&*!|<>{}[]=+^~@/_0123456789"
 
@@ -77,6 +79,79 @@ def source_targets(sized: DataFrame, weights: Sequence[float], share: float, mos
     )
 
 
+def keyed(docs: DataFrame, seed: str) -> DataFrame:
+    """A row per document: all of it as ``doc``, its source, exponential key, and the key's cell."""
+    rows = docs.select(
+        F.struct(*docs.columns).alias("doc"), F.col("source"), draw(seed, quality_weight()).alias("key"), text_of().alias("text")
+    )
+    cell = F.least(F.lit(CELLS - 1), F.floor((1 - F.exp(-F.col("key"))) * CELLS).cast("int"))
+    return rows.select("doc", "source", "key", cell.alias("cell"), "text")
+
+
+def source_cuts(
+    spark: SparkSession, sized: DataFrame, weights: Sequence[float], share: float, most: float
+) -> DataFrame:
+    """``its_source, source_size, target, whole, cut_cell, cut_key``: a row per source, from ``source, size, key, cell, doc_id``.
+
+    The mix takes a source's documents ``whole`` times, and once more those of cells before ``cut_cell`` and those of
+    that cell with keys up to ``cut_key``.
+    """
+    whole = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0))
+    targets = (
+        source_targets(sized, weights, share, most)
+        .withColumn("whole", whole)
+        .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
+        .withColumnRenamed("source", "its_source")
+    )
+    targets = stored(spark, targets, "targets")
+    up_to = Window.partitionBy("source").orderBy("cell")
+    cells = (
+        sized.groupBy("source", "cell")
+        .agg(F.sum("size").alias("cell_size"))
+        .withColumn("before", F.sum("cell_size").over(up_to) - F.col("cell_size"))
+    )
+    cut_cells = stored(
+        spark,
+        cells.join(targets, F.col("source").eqNullSafe(F.col("its_source")))
+        .where("rest > 0 and before <= rest and rest < before + cell_size")
+        .select(F.col("source").alias("cut_source"), F.col("cell").alias("cut_cell"), "before", "rest"),
+        "cells",
+    )
+    by_key = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    cut_keys = (
+        sized.join(cut_cells, F.col("source").eqNullSafe(F.col("cut_source")) & (F.col("cell") == F.col("cut_cell")))
+        .withColumn("middle", F.col("before") + F.sum("size").over(by_key) - F.col("size") / 2)
+        .where("middle <= rest")
+        .groupBy(F.col("source").alias("key_source"))
+        .agg(F.max("key").alias("cut_key"))
+    )
+    return stored(
+        spark,
+        targets.join(cut_cells.drop("before", "rest"), F.col("its_source").eqNullSafe(F.col("cut_source")), "left")
+        .join(cut_keys, F.col("its_source").eqNullSafe(F.col("key_source")), "left")
+        .select("its_source", "source_size", "target", "whole", "cut_cell", "cut_key"),
+        "cuts",
+    )
+
+
+def decided(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``rows`` of ``source, key, cell`` with their source's numbers and ``repeats``."""
+    if cuts.count() <= BROADCAST_SOURCES:
+        cuts = F.broadcast(cuts)
+    more = (F.col("cell") < F.col("cut_cell")) | ((F.col("cell") == F.col("cut_cell")) & (F.col("key") <= F.col("cut_key")))
+    joined = rows.join(cuts, F.col("source").eqNullSafe(F.col("its_source")))
+    return joined.withColumn("repeats", (F.col("whole") + F.when(more, 1).otherwise(0)).cast("int"))
+
+
+def _sized(spark: SparkSession, docs: DataFrame, seed: str) -> DataFrame:
+    size = F.regexp_count("text", F.lit(WORD)).cast("long")
+    return stored(
+        spark,
+        keyed(docs.select("doc_id", "source", "text"), seed).select("doc.doc_id", "source", size.alias("size"), "key", "cell"),
+        "sizes",
+    )
+
+
 def mix(
     spark: SparkSession,
     docs: DataFrame,
@@ -90,58 +165,29 @@ def mix(
     ``repeats`` is how often the mix takes the document, ``taken`` its words in the mix.
     Weights belong to sources in code point order and repeat.
     """
-    sized = stored(
-        spark,
-        docs.select(
-            "doc_id",
-            "source",
-            F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"),
-            draw(seed, quality_weight()).alias("key"),
-        ).withColumn("cell", F.least(F.lit(CELLS - 1), F.floor((1 - F.exp(-F.col("key"))) * CELLS).cast("int"))),
-        "sizes",
-    )
-    targets = source_targets(sized, weights, share, most)
-    up_to = Window.partitionBy("source").orderBy("cell")
-    cells = (
-        sized.groupBy("source", "cell")
-        .agg(F.sum("size").alias("cell_size"))
-        .select("source", "cell", "cell_size", (F.sum("cell_size").over(up_to) - F.col("cell_size")).alias("before"))
-    )
-    same = cells["source"].eqNullSafe(targets["source"])
-    whole = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0))
-    cells = (
-        cells.join(targets, same)
-        .select(
-            cells["source"].alias("its_source"),
-            F.col("cell").alias("its_cell"),
-            "cell_size",
-            "before",
-            "source_size",
-            "target",
-            whole.alias("whole"),
-        )
-        .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    )
-    placed = sized.join(
-        cells, sized["source"].eqNullSafe(cells["its_source"]) & (sized["cell"] == cells["its_cell"])
-    )
-    full = F.col("before") + F.col("cell_size") <= F.col("rest")
-    cut = ~full & (F.col("before") <= F.col("rest"))
-    by_key = Window.partitionBy("source", "cell").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    decided = placed.where(~cut).withColumn("more", F.when(full, 1).otherwise(0)).unionByName(
-        placed.where(cut).withColumn(
-            "more",
-            F.when(
-                F.col("before") + F.sum("size").over(by_key) - F.col("size") / 2 <= F.col("rest"), 1
-            ).otherwise(0),
-        )
-    )
-    repeats = (F.col("whole") + F.col("more")).cast("int")
-    return decided.select(
-        "doc_id", "source", "size", "source_size", "target", repeats.alias("repeats"), (F.col("size") * repeats).alias("taken")
+    sized = _sized(spark, docs, seed)
+    return decided(sized, source_cuts(spark, sized, weights, share, most)).select(
+        "doc_id", "source", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken")
     )
 
 
+def mixed_documents(
+    spark: SparkSession,
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    share: float = 1.5,
+    most: float = 2.0,
+    seed: str = "mix",
+) -> DataFrame:
+    """The mix itself: ``docs`` with all columns, each row as often as it is taken.
+
+    Keys are drawn again from the rows, so texts meet only the table of sources and are not shuffled.
+    """
+    cuts = source_cuts(spark, _sized(spark, docs, seed), weights, share, most)
+    rows = decided(keyed(docs, seed).drop("text"), cuts)
+    return rows.select("doc", F.explode(F.array_repeat(F.lit(0), F.col("repeats")))).select("doc.*")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark, table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 

@@ -2,9 +2,31 @@
 
 from __future__ import annotations
 
-from tidemill.llm import exact_dedup, mixing, near_dedup, token_counts, token_output, toxicity
+from tidemill.llm import (
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    language_id,
+    mixing,
+    near_dedup,
+    secret_scan,
+    token_counts,
+    token_output,
+    toxicity,
+)
 
-_PARTS = (token_counts, near_dedup, exact_dedup, mixing, token_output, toxicity)
+_PARTS = (
+    token_counts,
+    decontaminate,
+    chat_format,
+    near_dedup,
+    secret_scan,
+    language_id,
+    exact_dedup,
+    mixing,
+    token_output,
+    toxicity,
+)
 
 
 def llm_queries() -> dict:

@@ -36,7 +36,7 @@ from tidemill.llm.common import stored, table, text_of
 
 ENTRIES, VOTERS = 400, 60
 #: Toxic documents that an entry must be seen in.
-SUPPORT = 4
+SUPPORT = 3
 #: How often a given label is taken to be right.
 LABEL_TRUST = 0.98
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -239,6 +239,16 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.7) -> Dat
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def toxicity_score(model: Model, text: str = "text") -> Column:
+    """The score as a column; for filters on documents of any columns."""
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(Reader(model.entries), list(texts)), dtype="float64")
+
+    return score(text_of(text))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_toxicity(docs, train(spark, docs, table(spark, sf_dir, "labels")))
