@@ -13,7 +13,7 @@ sample that no item window has, so most cost a few steps.
 
 An item with up to ``max_edits`` of its length in edits has stretches without an edit, and many windows that
 begin in them; the tests measure the recall on edited copies. Exact copies are found always. Items shorter than
-``SPAN`` characters have no such window and are searched for as they are, exactly.
+``SPAN`` characters have no such window and are searched for as they are, exactly, between word ends.
 
 Items are the query set: they travel to the tasks in blocks of ``BLOCK_CHARS`` characters at most
 (or of one item), each block against all documents.
@@ -190,9 +190,8 @@ class Items:
                 if got and (i not in best or got[0] < best[i][0]):
                     best[i] = (got[0], max(0, low) + got[1], max(0, low) + got[2])
             for i in self.short:
-                p = text.find(self.texts[i])
-                if p >= 0:
-                    best[i] = (0, p, p + len(self.texts[i]))
+                if m := re.search(rf"(?<!\w){re.escape(self.texts[i])}(?!\w)", text):
+                    best[i] = (0, *m.span())
             yield [(self.ids[i], e, len(self.texts[i]), a, b) for i, (e, a, b) in sorted(best.items())]
 
 

@@ -37,6 +37,8 @@ from tidemill.llm.common import stored, table, text_of
 ENTRIES, VOTERS = 400, 60
 #: Toxic documents that an entry must be seen in.
 SUPPORT = 3
+#: Nats of log likelihood that an entry must gain: among ten thousands of words, chance alone gives fewer.
+LEAST_GAIN = 9.0
 #: How often a given label is taken to be right.
 LABEL_TRUST = 0.98
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -103,6 +105,7 @@ def lexicon(fit: DataFrame, n_rows: int, n_toxic: int) -> list[str]:
     best = (
         counts.where((F.col("toxic") >= SUPPORT) & (share > 3 * base))
         .select("entry", gain.alias("gain"))
+        .where(F.col("gain") >= LEAST_GAIN)
         .orderBy(F.desc("gain"), "entry")
         .limit(ENTRIES)
     )
