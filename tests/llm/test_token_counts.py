@@ -1,5 +1,4 @@
 import public_tokenizers
-import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
 
@@ -8,43 +7,35 @@ from tidemill.llm.token_counts import PrefixCounter, counts_of, fitting_prefix,
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
-@pytest.fixture(scope="module")
-def pieces():
-    return sentencepiece.SentencePieceProcessor(model_file=MODEL)
-
-
-@pytest.fixture(scope="module")
-def counter():
-    return PrefixCounter(MODEL)
+PIECES = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+COUNTER = PrefixCounter(MODEL)
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="ab ceht  n\n\té漢\U0001f600▁.,#0<>\0 \rS", max_size=24))
 def test_every_prefix_counts_as_the_library_counts_it(text):
-    pieces = sentencepiece.SentencePieceProcessor(model_file=MODEL)
-    counter = test_every_prefix_counts_as_the_library_counts_it.__dict__.setdefault("counter", PrefixCounter(MODEL))
-    (steps,) = counter.texts_steps([text])
-    assert counts_of(steps).tolist() == [len(pieces.encode(text[:p])) for p in range(len(text) + 1)]
+    (steps,) = COUNTER.texts_steps([text])
+    assert counts_of(steps).tolist() == [len(PIECES.encode(text[:p])) for p in range(len(text) + 1)]
 
 
-def test_long_units_are_cut_only_where_no_piece_lies(counter, pieces):
+def test_long_units_are_cut_only_where_no_piece_lies():
     text = "abcdefXYZ0123456789" * 40 + "漢字かな" * 60 + "".join(chr(97 + i * 7 % 26) for i in range(3000))
-    (steps,) = counter.texts_steps([text])
+    (steps,) = COUNTER.texts_steps([text])
     for p in (0, 1, 50, 777, 1500, len(text)):
-        assert counts_of(steps)[p] == len(pieces.encode(text[:p]))
+        assert counts_of(steps)[p] == len(PIECES.encode(text[:p]))
 
 
-def test_prefix_within_a_budget(counter, pieces):
+def test_prefix_within_a_budget():
     text = "The quick brown fox is unbelievably quick."
-    (steps,) = counter.texts_steps([text])
-    for budget in range(len(pieces.encode(text)) + 2):
-        fits = [p for p in range(len(text) + 1) if len(pieces.encode(text[:p])) <= budget]
+    (steps,) = COUNTER.texts_steps([text])
+    for budget in range(len(PIECES.encode(text)) + 2):
+        fits = [p for p in range(len(text) + 1) if len(PIECES.encode(text[:p])) <= budget]
         assert fitting_prefix(steps, budget) == max(fits)
 
 
-def test_odd_documents(spark, odd_docs, odd_rows, no_docs, pieces):
+def test_odd_documents(spark, odd_docs, odd_rows, no_docs):
     got = prefix_counts(odd_docs, MODEL, limit=4)
     texts = [r[1] or "" for r in odd_rows]
-    want = sorted((str(r[0]), len(t.encode()), n := len(pieces.encode(t)), n > 4) for r, t in zip(odd_rows, texts, strict=True))
+    want = sorted((str(r[0]), len(t.encode()), n := len(PIECES.encode(t)), n > 4) for r, t in zip(odd_rows, texts, strict=True))
     assert sorted((str(r[0]), *r[1:4]) for r in got.collect()) == want
     assert prefix_counts(no_docs, MODEL).collect() == []

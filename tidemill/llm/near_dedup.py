@@ -8,12 +8,13 @@ elements, which tells high similarities apart with 64 bytes a document.
 Links without pairs of whole groups:
 
 1. Documents with equal sets are one class, folded by a partial minimum; its smallest id stands for it.
-2. Each document is linked to the smallest member that it shares a bucket with: one pair per
-   document, however large its groups. The sketch thins the pairs out, the full sets confirm
-   them, and the confirmed links give components.
-3. A bucket that lies in one component has nothing more to tell. In the others, members of different
-   components are compared by sketch in tiles of ``TILE`` members, inside tasks; only pairs
-   that pass leave a task, and the full sets confirm them, too. No bucket is capped.
+2. Each document is paired with the most central member that it shares a bucket with (the one that shares most
+   buckets with most): one pair per document, however large its groups. The sketch thins the pairs out, the
+   full sets confirm them, and the confirmed links give components. The same once more with the
+   most central member of each bucket that still lies in several components.
+3. In the buckets left, members of different components are compared in tiles of ``TILE`` members, inside
+   tasks: by sketch, closest first, then by full sets. Only links that join components leave a
+   task, so no pair of a group is ever a row. No bucket is capped.
 
 A pair at similarity 0.8 shares no bucket with probability (1 - 0.8**5)**30 < 1e-5, and its sketch
 is refused with less than that.
@@ -36,7 +37,7 @@ from tidemill.llm.common import connected_components, stored, table, text_of
 
 ROWS, BANDS = 5, 30
 SKETCH_BITS = 512
-TILE = 512
+TILE = 256
 #: Bytes of text that are hashed at once.
 CHUNK = 1 << 20
 BASE = 0x9E3779B97F4A7C15
@@ -143,7 +144,6 @@ def most_differing_bits(similarity: float) -> int:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row; links need ``similarity`` of the sets or more."""
-    percent = round(100 * similarity)
     sketches = stored(spark, sketch(docs, width), "sketches")
     named = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = stored(
@@ -157,34 +157,32 @@ def near_dedup(spark: SparkSession, docs: DataFrame, width: int = 5, similarity:
         "reps",
     )
     in_buckets = reps.select(F.explode("keys").alias("key"), "doc_id")
-    buckets = in_buckets.groupBy("key").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n")).where("n > 1")
+    buckets = in_buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(spark, in_buckets.join(buckets, "key"), "buckets")
+    # Who shares many buckets with many is in the middle of its group, and near to most of it.
+    degrees = shared.groupBy("doc_id").agg(F.sum("n").alias("degree"))
+    leads = shared.join(degrees, "doc_id").groupBy("key").agg(F.max(F.struct("degree", (-F.col("doc_id")).alias("id"))).alias("lead"))
+    shared = stored(spark, shared.join(leads, "key"), "led")
     brief = reps.select("doc_id", "n_shingles", "odd")
-    shares = shared.select("doc_id").distinct()
-    sets = stored(
-        spark, _sets_of(docs.join(shares, "doc_id", "left_semi"), width), "sets"
-    )
-
-    # One pair per document first.
-    nearest = shared.where("doc_id <> lead").groupBy("doc_id").agg(F.min("lead").alias("a")).select("a", F.col("doc_id").alias("b"))
-    links = stored(spark, _confirmed(_thinned(nearest, brief, similarity), sets, percent), "links")
-    components = connected_components(spark, links)
-
-    # Then members of different components, in the buckets that still have some.
-    placed = stored(
-        spark,
-        shared.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-            "key", "n", "doc_id", F.coalesce("component", "doc_id").alias("component")
-        ),
-        "placed",
-    )
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    members = placed.join(open_keys.select("key"), "key", "left_semi").join(brief, "doc_id")
-    more = stored(spark, _confirmed(_across(members, similarity, percent).distinct(), sets, percent), "more")
+    sets = stored(spark, _sets_of(docs.join(degrees.select("doc_id"), "doc_id", "left_semi"), width), "sets")
+    lead_id = -F.col("lead.id")
+
+    # One pair per document first: with the most central member that it shares a bucket with.
+    best = shared.where(F.col("doc_id") != lead_id).groupBy("doc_id").agg(F.max("lead").alias("lead"))
+    pairs = best.select(lead_id.alias("a"), F.col("doc_id").alias("b"))
+    components = _joined(spark, None, pairs, brief, sets, similarity)
+
+    # Then with the most central member of each bucket that still lies in several components.
+    placed = _placed(spark, shared, components)
+    pairs = placed.where("component <> lead_component").select("a", "b").distinct()
+    components = _joined(spark, components, pairs, brief, sets, similarity)
+
+    # Then, in the buckets left, the members of different components among each other.
+    placed = _placed(spark, shared, components)
+    members = placed.select("key", "n", F.col("b").alias("doc_id"), "component").join(brief, "doc_id").join(sets, "doc_id")
+    more = stored(spark, _across(members, similarity).distinct(), "more")
     if not more.isEmpty():
-        components = connected_components(
-            spark, components.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
-        )
+        components = connected_components(spark, _edges(components).union(more))
 
     by_set = ["set_a", "set_b", "n_shingles"]
     whole = (
@@ -222,59 +220,106 @@ def _thinned(pairs: DataFrame, brief: DataFrame, similarity: float) -> DataFrame
     )
 
 
-def _across(members: DataFrame, similarity: float, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of members of a bucket that lie in different components and have close sketches."""
-    limit = most_differing_bits(similarity)
+def _edges(components: DataFrame) -> DataFrame:
+    return components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def _joined(
+    spark: SparkSession, components: DataFrame | None, pairs: DataFrame, brief: DataFrame, sets: DataFrame, similarity: float
+) -> DataFrame:
+    """The components after the links among ``pairs``."""
+    links = stored(spark, _confirmed(_thinned(pairs, brief, similarity), sets, round(100 * similarity)), "links")
+    if components is not None:
+        if links.isEmpty():
+            return components
+        links = _edges(components).union(links)
+    return connected_components(spark, links)
+
+
+def _placed(spark: SparkSession, shared: DataFrame, components: DataFrame) -> DataFrame:
+    """``key, n, a, b, component, lead_component`` of the members ``b`` of the buckets with several components and of
+    their leads ``a``; of buckets with the same members one is enough."""
+    own = components.select(F.col("node").alias("doc_id"), "component")
+    placed = stored(
+        spark,
+        shared.join(own, "doc_id", "left").select(
+            "key", "n", (-F.col("lead.id")).alias("a"), F.col("doc_id").alias("b"), F.coalesce("component", "doc_id").alias("component")
+        ),
+        "placed",
+    )
+    several = (
+        placed.groupBy("key", "n")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.bit_xor(F.xxhash64("b")).alias("x"),
+            F.sum(F.hash("b").cast("long")).alias("s"),
+            F.max(F.when(F.col("a") == F.col("b"), F.col("component"))).alias("lead_component"),
+        )
+        .where("low <> high")
+        .groupBy("n", "x", "s")
+        .agg(F.min(F.struct("key", "lead_component")).alias("first"))
+        .select("first.*")
+    )
+    return stored(spark, placed.join(several, "key"), "several")
+
+
+def _across(members: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` that join different components of a bucket, found tile by tile.
+
+    A task holds two tiles with their sketches and sets. It compares members of different components, the
+    closest sketches first, and gives out only links that join what was apart: fewer than it has members.
+    """
+    limit, percent = most_differing_bits(similarity), round(100 * similarity)
 
-    def pairs(rows: pd.DataFrame) -> pd.DataFrame:
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
         odd = np.array(rows["odd"].tolist(), np.int64).view(np.uint64).reshape(len(rows), -1)
-        ids, size = rows["doc_id"].to_numpy(), rows["n_shingles"].to_numpy()
-        comp, tile = rows["component"].to_numpy(), rows["tile"].to_numpy()
-        one_tile = rows["i"].iloc[0] == rows["j"].iloc[0]
+        ids, size, tile = rows["doc_id"].to_numpy(), rows["n_shingles"].to_numpy(), rows["tile"].to_numpy()
+        own = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
+        group = rows["component"].to_numpy().copy()
+        one, two = rows["i"].iloc[0], rows["j"].iloc[0]
         found = []
-        for x in range(len(rows)):
-            if one_tile:
-                others = np.arange(x + 1, len(rows))
-            elif tile[x] == rows["i"].iloc[0]:
-                others = np.flatnonzero(tile == rows["j"].iloc[0])
-            else:
-                continue
-            close = np.bitwise_count(odd[others] ^ odd[x]).sum(axis=1) <= limit
-            close &= comp[others] != comp[x]
-            close &= 100 * np.minimum(size[others], size[x]) >= percent * np.maximum(size[others], size[x])
-            found.append(np.stack((np.minimum(ids[others[close]], ids[x]), np.maximum(ids[others[close]], ids[x])), axis=1))
-        return pd.DataFrame(np.concatenate(found) if found else np.empty((0, 2), np.int64), columns=["a", "b"])
+        for x in np.flatnonzero(tile == one).tolist():
+            others = np.arange(x + 1, len(rows)) if one == two else np.flatnonzero(tile == two)
+            others = others[group[others] != group[x]]
+            others = others[100 * np.minimum(size[others], size[x]) >= percent * np.maximum(size[others], size[x])]
+            bits = np.bitwise_count(odd[others] ^ odd[x]).sum(axis=1)
+            near = np.argsort(bits, kind="stable")[: np.count_nonzero(bits <= limit)]
+            for y in others[near].tolist():
+                if group[y] != group[x] and _alike(own[x], own[y], percent):
+                    found.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                    group[group == group[y]] = group[x]
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     tiled = members.withColumn("tile", F.pmod(F.xxhash64("doc_id"), tiles).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), tiles - 1))
     )
+    kept = ["tile", "doc_id", "component", "n_shingles", "odd", "shingles"]
     return (
-        tiled.select(
-            "key",
-            F.least("tile", "other").alias("i"),
-            F.greatest("tile", "other").alias("j"),
-            "tile",
-            "doc_id",
-            "component",
-            "n_shingles",
-            "odd",
-        )
+        tiled.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), *kept)
         .groupBy("key", "i", "j")
-        .applyInPandas(pairs, "a long, b long")
+        .applyInPandas(links, "a long, b long")
     )
 
 
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have ``percent`` of their union in common, or more."""
+    if len(x) > len(y):
+        x, y = y, x
+    both = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets have ``percent`` of their union in common, or more."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            good = []
-            for one, two in zip(batch["set_of_a"], batch["set_of_b"], strict=True):
-                x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
+            good = [
+                _alike(np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64), percent)
+                for one, two in zip(batch["set_of_a"], batch["set_of_b"], strict=True)
+            ]
             yield batch.loc[good, ["a", "b"]]
 
     of = lambda side: sets.select(F.col("doc_id").alias(side), F.col("shingles").alias(f"set_of_{side}"))
