@@ -8,7 +8,7 @@ agree with good chance. Each repetition has its own random bits and its own samp
 Every word of an item begins a window over the rest of the item, and every word of a document one over the text
 that follows. Windows that agree in all samples of a repetition are candidates; the item's place in the document
 follows from the two offsets, and the item-sized stretch there is compared by exact edit
-distance. Samples are taken in the order of the walk, and a document window is given up at the first
+distance, unless it has fewer of the item's four-letter pieces than the allowed edits must leave. Samples are taken in the order of the walk, and a document window is given up at the first
 sample that no item window has, so most cost a few steps.
 
 An item with up to ``max_edits`` of its length in edits has stretches without an edit, and many windows that
@@ -35,10 +35,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemill.llm.common import process_memory, table, text_of
 
-REPEATS = 3
-SPAN = 40
+REPEATS = 5
+SPAN = 48
 #: Sampled positions of a walk: some early ones, which part most windows, and some in the rest.
-EARLY, LATE = 6, 5
+EARLY, LATE = 6, 10
 EARLY_STEPS = 12
 FILTER_BITS = 18
 BLOCK_CHARS = 8 << 20
@@ -97,6 +97,7 @@ class Items:
         self.ids = [i for i, _ in items]
         self.texts = [normal(t).strip() for _, t in items]
         self.limits = [int(max_edits * len(t)) for t in self.texts]
+        self.grams = [_grams(_codes(t)) for t in self.texts]
         rng = np.random.default_rng(seed)
         self.moves = rng.integers(0, 2, (REPEATS, SPAN, 256), np.uint8)
         self.samples = [
@@ -186,15 +187,24 @@ class Items:
         for t, text in enumerate(texts):
             best: dict[int, tuple] = {}
             for i, low, high in self._stretches(once[cuts[t] : cuts[t + 1], 1:]):
-                got = nearest(self.texts[i], text[max(0, low) : high], self.limits[i])
+                low = max(0, low)
+                if not self._may_match(i, codes[begins[t] + low : begins[t] + min(high, len(text))]):
+                    continue
+                got = nearest(self.texts[i], text[low:high], self.limits[i])
                 if got and (i not in best or got[0] < best[i][0]):
-                    best[i] = (got[0], max(0, low) + got[1], max(0, low) + got[2])
+                    best[i] = (got[0], low + got[1], low + got[2])
             for i in self.short:
                 if m := re.search(rf"(?<!\w){re.escape(self.texts[i])}(?!\w)", text):
                     best[i] = (0, *m.span())
             yield [(self.ids[i], e, len(self.texts[i]), a, b) for i, (e, a, b) in sorted(best.items())]
 
 
+    def _may_match(self, i: int, stretch: np.ndarray) -> bool:
+        """Whether the stretch has as many of the item's four-letter pieces as the edits must leave: each edit takes four."""
+        grams = self.grams[i]
+        left = len(grams) - 4 * self.limits[i]
+        return left <= 0 or len(stretch) >= 4 and np.count_nonzero(np.isin(grams, _grams(stretch))) >= left
+
     def _stretches(self, places: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """Item, begin and end of the stretches to compare: candidates of an item that overlap are compared as one."""
         last = None
@@ -214,6 +224,12 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint8)
 
 
+def _grams(codes: np.ndarray) -> np.ndarray:
+    """The four-letter pieces, each as a number."""
+    c = codes.astype(np.uint32)
+    return c[:-3] << 24 | c[1:-2] << 16 | c[2:-1] << 8 | c[3:] if len(c) >= 4 else c[:0]
+
+
 def _word_starts(codes: np.ndarray) -> np.ndarray:
     inside = (codes != 32) & (codes != 0)
     return np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
