@@ -28,15 +28,15 @@ def ids_of(text):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet="aB'st ré́  \n\t\r\x0b\x1c\x85  12.,<|>Σς漢", max_size=30))
+@given(st.text(alphabet="aB'st ré́İΣ  \n\t\r\x0b\x1c\x85  12.,<|>Σς漢", max_size=30))
 def test_pieces_between_blanks_encode_alone(text):
     assert ENCODER.apart
-    assert np.frombuffer(ENCODER.encode([text])[0], ENCODER.width).tolist() == ids_of(text)
+    assert np.frombuffer(next(ENCODER.encode([text])), ENCODER.width).tolist() == ids_of(text)
 
 
 def test_special_strings_are_left_to_the_library():
     text = "a <|endoftext|> b<|startoftext|>c"
-    assert np.frombuffer(ENCODER.encode([text])[0], ENCODER.width).tolist() == ids_of(text)
+    assert np.frombuffer(next(ENCODER.encode([text])), ENCODER.width).tolist() == ids_of(text)
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 2500])

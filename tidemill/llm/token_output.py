@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tidemill.llm.common import process_memory, stored, table, text_of
 from tidemill.storage import scratch_dir
 
-#: Pieces whose ids a worker remembers; the first met stay.
-REMEMBERED = 1_000_000
+#: Pieces, and words, whose ids a worker remembers; the first met stay.
+REMEMBERED = 500_000
 PER_BUCKET = 2048
 SHARD_BYTES = 16 << 20
 HEADER = "<qBI"
@@ -48,41 +48,95 @@ PLACES = "doc_id long, flags int, shard long, offset long, n_tokens long, before
 class PieceEncoder:
     """Ids of whole texts as the tokenizer gives them, remembering the ids of each piece between blanks.
 
-    A piece between ASCII blanks is encoded alone, as no token of these tokenizers reaches over a
-    blank; ``fits`` says whether that holds for a tokenizer file.
+    A piece between ASCII blanks is encoded alone, as no token of these tokenizers reaches over a blank; and a piece
+    that is a Latin word before common punctuation is the lower-case word and the punctuation. Words are encoded
+    many in one string, where the vocabulary's word ends part them. ``apart`` says whether a
+    tokenizer file works that way; with others, texts are encoded as they are.
     """
 
-    BLANKS = str.maketrans("\t\n\r", "   ")
+    TAIL = ".,;:!?"
+    #: Characters of text that are split at once, and words that are encoded as one string.
+    CHUNK, WORDS = 1 << 20, 500
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.apart = self._drops_blanks()
+        size = self.tokenizer.get_vocab_size()
+        self.width = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+        self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.apart = self._works_apart()
         self.ids: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def _drops_blanks(self) -> bool:
-        probe = ["a", "it's", "1,2"]
-        whole = self.tokenizer.encode("  a\n it's\t\r1,2 ", add_special_tokens=False).ids
-        return whole == [i for p in probe for i in self.tokenizer.encode(p, add_special_tokens=False).ids]
+    def _works_apart(self) -> bool:
+        probe = ["a", "it's", "1,2", "Word.", "word", "."]
+        one = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        whole = one("  a\n it's\t\r1,2 Word. word\n.")
+        return whole == [i for p in probe for i in one(p)] and one("Word.") == one("word") + one(".")
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, self.width).tobytes() for e in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.apart:
-            return self._encode(texts)
-        known = self.ids
-        parts = [text.translate(self.BLANKS).split(" ") for text in texts]
-        new = list({p for ps in parts for p in ps if p not in known})
-        if new:
-            fresh = dict(zip(new, self._encode(new), strict=True))
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(words), self.WORDS):
+            some = words[i : i + self.WORDS]
+            (whole,) = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(whole.ids, self.width)
+            cuts = ((np.flatnonzero(self.ends_word[ids]) + 1) * self.width.itemsize).tolist()
+            if len(cuts) == len(some):
+                raw = ids.tobytes()
+                out += [raw[x:y] for x, y in zip([0, *cuts], cuts)]  # noqa: B905
+            else:
+                out += self._encode(some)
+        return out
+
+    def _fresh(self, pieces: set[str]) -> dict[str, bytes]:
+        """The ids of pieces that are not remembered."""
+        parted, odd = {}, []
+        for piece in pieces:
+            core = piece.rstrip(self.TAIL)
+            word = core.lower()
+            if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and word.isalpha())):
+                parted[piece] = word, piece[len(core) :]
+            else:
+                odd.append(piece)
+        words, known = {word for word, _ in parted.values()}, self.words
+        words.update(tail for _, tail in parted.values())
+        new = list(words.difference(known))
+        plain = [w for w in new if w.isalpha()]
+        others = [w for w in new if not w.isalpha()]
+        fresh = dict(zip(plain, self._encode_words(plain), strict=True)) | dict(zip(others, self._encode(others), strict=True))
+        if len(known) + len(fresh) <= REMEMBERED:
+            known.update(fresh)
+        own = fresh | {word: known[word] for word in words if word not in fresh}
+        out = {piece: own[word] + own[tail] if tail else own[word] for piece, (word, tail) in parted.items()}
+        out.update(zip(odd, self._encode(odd), strict=True))
+        return out
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        at = 0
+        while at < len(texts):
+            some, size = [], 0
+            while at < len(texts) and (not some or size + len(texts[at]) <= self.CHUNK):
+                some.append(texts[at])
+                size += len(texts[at])
+                at += 1
+            yield from self._encode_chunk(some) if self.apart else self._encode(some)
+
+    def _encode_chunk(self, texts: list[str]) -> list[bytes]:
+        parts = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
+        known, fresh = self.ids, {}
+        pieces = set().union(*parts)
+        if new := pieces.difference(known):
+            fresh = self._fresh(new)
             if len(known) + len(fresh) <= REMEMBERED:
                 known.update(fresh)
-            else:
-                known = {p: fresh[p] if p in fresh else known[p] for ps in parts for p in ps}
+                fresh = {}
+        if fresh:
+            known = {p: fresh[p] if p in fresh else known[p] for p in pieces}
         return [b"".join(map(known.__getitem__, ps)) for ps in parts]
 
 
@@ -106,7 +160,7 @@ def write_shards(
         end = np.array([end_id], encoder.width).tobytes()
         for batch in batches:
             records = []
-            ids = encoder.encode(list(batch["text"]))
+            ids = encoder.encode(batch["text"].tolist())
             for key, absent, raw in zip(batch["key"].tolist(), batch["absent"].tolist(), ids, strict=True):
                 flags = NO_KEY if absent else REPEATED if key == before else 0
                 before = before if absent else key
