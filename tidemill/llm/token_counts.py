@@ -29,7 +29,9 @@ from tidemill.llm.common import process_memory, table, text_of
 
 BLANK = "▁"
 #: Units that a worker remembers.
-REMEMBERED = 1_200_000
+REMEMBERED = 500_000
+#: Characters of text that are split into units at once.
+CHUNK = 4 << 20
 #: Units counted in step with each other.
 BLOCK = 100_000
 #: Signs at which a unit may be cut, if no piece lies across.
@@ -166,11 +168,21 @@ class PrefixCounter:
                 begin = i
         return [*out, unit[begin:]]
 
-    def texts_steps(self, texts: list[str]) -> list[bytes]:
-        """For each text, one signed byte per code point."""
+    def texts_steps(self, texts: list[str]) -> Iterator[bytes]:
+        """For each text, one signed byte per code point; the units of ``CHUNK`` characters are held at once."""
+        at = 0
+        while at < len(texts):
+            some, size = [], 0
+            while at < len(texts) and (not some or size + len(texts[at]) <= CHUNK):
+                some.append(texts[at])
+                size += len(texts[at])
+                at += 1
+            yield from self._texts_steps(some)
+
+    def _texts_steps(self, texts: list[str]) -> list[bytes]:
         all_units = [_units(text) for text in texts]
         known = self.units
-        new = {u for units in all_units for u in units if u not in known}
+        new = set().union(*all_units).difference(known)
         if new:
             parted = {u: self._parts(u) for u in new}
             parts = sorted({p for ps in parted.values() for p in ps if p not in known}, key=len)
@@ -249,7 +261,7 @@ def prefix_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFr
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = _counter(model_file)
         for batch in batches:
-            steps = counter.texts_steps(list(batch["text"]))
+            steps = list(counter.texts_steps(batch["text"].tolist()))
             tokens = [int(np.frombuffer(s, np.int8).sum(dtype=np.int64)) for s in steps]
             yield pd.DataFrame(
                 {
