@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 import hashlib
 import unicodedata
@@ -142,9 +142,11 @@ def test_size_kb_rounds_like_python(spark, size):
     assert value(spark, size, fn.size_kb, "long") == round(size / 1024, 1)
 
 
-def test_wall_clock_ignores_zones(spark):
+def test_wall_clock_is_utc(spark):
     moment = datetime(2025, 7, 1, 2, 30)
-    assert spark.range(1).select(fn.wall_clock(moment).alias("t")).first()["t"] == moment
+    aware = datetime(2025, 6, 30, 23, 30, tzinfo=timezone(timedelta(hours=-3)))
+    for given in (moment, aware):
+        assert spark.range(1).select(fn.wall_clock(given).alias("t")).first()["t"] == moment
 
 
 def test_latest_row_orders_nulls_last(spark):

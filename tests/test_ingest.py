@@ -1,17 +1,22 @@
 import hashlib
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows_of
 from landing import HEADER, price_file, price_line
-from tidemill.plans import ingest as ingest_module
+from tidemill.plans import archive as archive_module, ingest as ingest_module
 from tidemill.plans.fuel_prices import MODEL, MODEL_ON_CLEAN_KEY, SOURCE
 from tidemill.plans.ingest import ingest
 from tidemill.plans.staging import build_model, full_model
 from tidemill.plans.warehouse import Warehouse
 from tidemill.sources.periods import rows_of_period
+from tidemill.sources import file_units
+from tidemill.sources.csv_files import land_csv, scan_csv, scan_landing
 from tidemill.sources.file_units import checksum_files, list_files, with_size_kb
+from tidemill.storage import exclusive
 
 T1, T2, T3 = datetime(2025, 7, 1), datetime(2025, 7, 2), datetime(2025, 7, 3)
 
@@ -135,6 +140,35 @@ def test_empty_fields_are_null_and_blanks_stay(spark, place):
     assert (row["Revenda"], row["CNPJ da Revenda"], row["Nome da Rua"], row["Municipio"]) == (None, None, " ", " RIO ")
 
 
+QUOTED = {
+    '"POSTO ""BOM"" LTDA"': 'POSTO "BOM" LTDA',
+    '"POSTO ""A;B"" LTDA"': 'POSTO "A;B" LTDA',
+    '"RUA A\\"': "RUA A\\",
+    "RUA \\B\\": "RUA \\B\\",
+    '""""': '"',
+}
+
+
+def with_reseller(field):
+    return ";".join([*price_line().split(";")[:3], field, *price_line().split(";")[4:]])
+
+
+def test_quotes_are_doubled_and_backslashes_are_plain(spark, place):
+    price_file(place.incoming, "2025-01", "a.csv", [with_reseller(field) for field in QUOTED])
+    load(spark, place)
+    assert rows_of(raw(spark, place), "Revenda") == sorted(((v,) for v in QUOTED.values()), key=repr)
+    land_csv(raw(spark, place), SOURCE, str(place.archive))
+    assert rows_of(scan_landing(spark, SOURCE, str(place.archive)), "Revenda") == rows_of(raw(spark, place), "Revenda")
+
+
+def test_quoted_line_ends_need_a_contract_for_them(spark, place):
+    price_file(place.incoming, "2025-01", "a.csv", [with_reseller('"two\nlines"'), price_line()])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan_csv(spark, SOURCE, str(place.incoming)).collect()
+    several = replace(SOURCE, multi_line=True)
+    assert rows_of(scan_csv(spark, several, str(place.incoming)), "Revenda") == [("REVENDA",), ("two\nlines",)]
+
+
 def test_odd_file_names(spark, place):
     names = ["a b.csv", "p%20q.csv", "x+y.csv", "[z]{k}.csv", "é,1.csv", "q'uote.csv", "e#f*.csv"]
     paths = [price_file(place.incoming, "2025-01", n, [price_line(cnpj=str(i))]) for i, n in enumerate(names)]
@@ -194,15 +228,94 @@ def test_archive_failure_keeps_the_load(spark, place):
     assert path.exists()
 
 
-def test_large_files_are_hashed_by_block(spark, place):
+def test_checksums_of_files(spark, place, monkeypatch):
     paths = [price_file(place.incoming, "2025-01", f"{i} +%.csv", [price_line()] * (1 + 50 * i)) for i in range(4)]
     expected = sorted((f"file:{p}", p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in paths)
-    for limit in (0, 1000, 10**9):
-        assert rows_of(checksum_files(spark, str(place.incoming), one_row_bytes=limit)) == expected
+    assert rows_of(checksum_files(spark, str(place.incoming))) == expected
+    monkeypatch.setattr(file_units, "LARGEST", 3 * 1024)
+    with pytest.raises(Exception, match="too large to be one value"):
+        checksum_files(spark, str(place.incoming)).collect()
     sizes = with_size_kb(list_files(spark, str(place.incoming)))
     assert rows_of(sizes, "source_file", "size_kb") == [(n, round(s / 1024, 1)) for n, s, _ in expected]
 
 
+def test_archive_on_another_file_system_is_copied_checked_and_deleted(tmp_path):
+    from pyarrow import fs
+
+    source, target = fs.LocalFileSystem(), fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())
+    assert not source.equals(target)
+    (tmp_path / "a.csv").write_text("bytes")
+    archive_module._copy_then_delete(source, str(tmp_path / "a.csv"), target, "b.csv")
+    assert not (tmp_path / "a.csv").exists() and (tmp_path / "b.csv").read_text() == "bytes"
+
+    class Short:
+        def __getattr__(self, name):
+            return getattr(target, name)
+
+        def get_file_info(self, name):
+            return fs.FileInfo(name, fs.FileType.File, size=1)
+
+    with pytest.raises(OSError, match="incomplete"):
+        archive_module._copy_then_delete(source, str(tmp_path / "b.csv"), Short(), "c.csv")
+    assert (tmp_path / "b.csv").exists()
+
+
+def test_archive_without_a_client_fails_before_any_row_is_loaded(spark, place):
+    price_file(place.incoming, "2025-01", "a.csv", [price_line()])
+    with pytest.raises(ValueError, match="no file system client"):
+        load(spark, place, archive_root="nosuch://bucket/processed")
+    assert raw(spark, place).count() == 0
+
+
+def test_a_second_writer_fails(spark, place):
+    price_file(place.incoming, "2025-01", "a.csv", [price_line()])
+    with exclusive(spark, place.warehouse.lease_path(SOURCE.name)):
+        with pytest.raises(RuntimeError, match="another writer"):
+            load(spark, place)
+    with exclusive(spark, place.warehouse.lease_path(MODEL.table)):
+        with pytest.raises(RuntimeError, match="another writer"):
+            build_model(spark, SOURCE, MODEL, place.warehouse)
+    assert load(spark, place).files_loaded == 1
+
+
+def test_commit_markers_must_be_on(spark, place):
+    price_file(place.incoming, "2025-01", "a.csv", [price_line()])
+    conf, name = spark._jsc.hadoopConfiguration(), "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf.set(name, "false")
+    try:
+        with pytest.raises(RuntimeError, match="_SUCCESS"):
+            load(spark, place)
+    finally:
+        conf.unset(name)
+
+
+@pytest.mark.parametrize(
+    "broken, message",
+    [
+        (lambda e: e.withColumn("rows_ingested", F.lit(7).cast("long")), "7 of 2 raw rows"),
+        (lambda e: e.withColumn("file_checksum", F.lit(None).cast("string")), "without required values.*file_checksum"),
+    ],
+)
+def test_ledger_constraints_hold_before_the_commit(spark, place, monkeypatch, broken, message):
+    price_file(place.incoming, "2025-01", "a.csv", [price_line(), price_line(cnpj="2")])
+    entries = ingest_module.ledger_entries
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_module, "ledger_entries", lambda *a: broken(entries(*a)))
+        with pytest.raises(RuntimeError, match=message):
+            load(spark, place)
+    assert raw(spark, place).count() == ledger(spark, place).count() == 0
+    assert load(spark, place).files_loaded == 1
+
+
+def test_incremental_reads_list_only_new_batches(spark, place):
+    for i in range(4):
+        price_file(place.incoming, "2025-01", f"{i}.csv", [price_line(cnpj=str(i))])
+        load(spark, place)
+    newest = place.warehouse.read_raw(spark, SOURCE, after=3)
+    assert len(newest.inputFiles()) == 1 and rows_of(newest, "batch_id") == [(4,)]
+    assert place.warehouse.read_raw(spark, SOURCE, after=4).collect() == []
+
+
 def test_views_answer_sql(spark, place):
     price_file(place.incoming, "2025-01", "a.csv", [price_line()])
     load(spark, place)

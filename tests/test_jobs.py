@@ -1,3 +1,5 @@
+import pytest
+
 from landing import price_file, price_line
 from tidemill.__main__ import parser, run
 
@@ -24,3 +26,10 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
     assert job(*stream)[0] == 0
     assert job("build", "--full-refresh")[0] == 0
     assert job("check")[1].count("pass") == 19
+    assert job("period", "--year", "2026", "--semester", "1") == (0, "2025-02: 1 rows\n")
+    assert job("period", "--year", "2025", "--semester", "01") == (0, "2025-01: 2 rows\n")
+    with pytest.raises(Exception, match="semester must be"):
+        job("period", "--year", "2025", "--semester", "3")
+    with pytest.raises(FileNotFoundError):
+        job("period", "--year", "2020", "--semester", "1")
+    assert job("expire")[1].endswith("stored slices dropped\n")

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from tidemill.plans.fuel_prices import MODEL, SOURCE
+from tidemill.registry import all_queries
 from tidemill.plans.staging import clean, full_model
 from tidemill.registry.raw_prices import raw_prices
 
@@ -42,3 +43,14 @@ def test_one_half_year_reads_one_directory(spark, stored_raw):
 
     plan = plan_of(rows_of_period(stored_raw, "1997-01"))
     assert re.search(r"PartitionFilters: \[[^\]]*partition#\d+ = 1997-01", plan)
+
+
+def test_the_adapter_needs_no_second_exchange(spark):
+    plan = plan_of(full_model(raw_prices(spark, SF), MODEL))
+    assert len(re.findall(r"(?<!Broadcast)Exchange ", plan)) == 1
+
+
+@pytest.mark.parametrize("name, scans", [("dq_accepted_values", 1), ("dq_regex", 1), ("semester_fallback", 1), ("dq_length", 2)])
+def test_one_scan_for_a_group_of_checks(spark, name, scans):
+    plan = plan_of(all_queries()[name](spark, SF))
+    assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", plan)) == scans

@@ -57,16 +57,32 @@ def test_a_lost_checkpoint_loads_nothing_twice(spark, tmp_path):
     assert loaded(spark, warehouse) == before
 
 
-def test_archive_moves_files_of_earlier_batches(spark, tmp_path):
+def test_archive_moves_every_file_in_the_same_run(spark, tmp_path):
     for i in range(3):
         price_file(tmp_path / "incoming", "2025-01", f"{i}.csv", [price_line(cnpj=str(i))])
     warehouse = Warehouse(str(tmp_path / "wh"))
-    run_files(spark, tmp_path, warehouse, files_per_trigger=1, archive_root=str(tmp_path / "done"))
-    moved = {p.name for p in (tmp_path / "done").rglob("*.csv")}
-    left = {p.name for p in (tmp_path / "incoming").rglob("*.csv")}
-    assert moved | left == {"0.csv", "1.csv", "2.csv"}
-    assert moved
+    run_files(spark, tmp_path, warehouse, files_per_trigger=2, archive_root=str(tmp_path / "done"))
+    assert sorted(p.name for p in (tmp_path / "done").rglob("*.csv")) == ["0.csv", "1.csv", "2.csv"]
+    assert list((tmp_path / "incoming").rglob("*.csv")) == []
     assert len(loaded(spark, warehouse)) == 3
+    run_files(spark, tmp_path, warehouse, files_per_trigger=2, archive_root=str(tmp_path / "done"))
+    assert len(loaded(spark, warehouse)) == 3
+
+
+def test_a_small_batch_writes_only_its_own_rows(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "latest"), EVENTS, "k", ("ts", "v"))
+    table.replace(spark.range(5000).selectExpr("CAST(id AS STRING) AS k", "1L AS ts", "'old' AS v"), 0)
+    for number in (1, 2):
+        table.append(spark.createDataFrame([("7", number + 1, f"new {number}"), ("7", 0, "late")], EVENTS), number)
+    written = [spark.read.parquet(path).count() for path in table.deltas(spark)]
+    assert written == [1, 1] and table.mark(spark) == 2
+    assert table.read(spark).count() == 5000
+    assert rows_of(table.read(spark).where("k = '7'")) == [("7", 3, "new 2")]
+    before = rows_of(table.read(spark))
+    table.compact(spark)
+    assert table.deltas(spark) == [] and rows_of(table.read(spark)) == before
+    assert table.expire(spark) == 3
+    assert rows_of(table.read(spark)) == before and table.mark(spark) == 2
 
 
 def test_latest_over_a_stream_equals_the_batch(spark, tmp_path):

@@ -13,7 +13,7 @@ from tidemill.session import build_session
 from tidemill.sources.file_units import checksum_files
 
 spark = build_session("workers", "local[2]")
-files = checksum_files(spark, sys.argv[2], one_row_bytes=1).cache()
+files = checksum_files(spark, sys.argv[2]).cache()
 assert files.count() == 2
 assert archive_files(files, sys.argv[2], sys.argv[3]) == 0
 """

@@ -7,14 +7,17 @@ import logging
 import sys
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
+from tidemill.functions import normalize_semester
+from tidemill.operators.ledger import loads_with_rows
 from tidemill.operators.quality import freshness, run_checks
 from tidemill.plans.fuel_prices import MODEL, SOURCE
 from tidemill.plans.ingest import ingest
 from tidemill.plans.staging import build_model
 from tidemill.plans.warehouse import Warehouse
 from tidemill.session import build_session
+from tidemill.sources.periods import rows_of_period
 from tidemill.streaming.file_stream import ingest_stream
 
 
@@ -27,6 +30,8 @@ def parser() -> argparse.ArgumentParser:
         ("build", "bring the model up to date"),
         ("check", "run the data-quality checks; fails if one fails"),
         ("freshness", "age of the newest load; fails when it is too old"),
+        ("period", "rows of a half-year, or of the one before it when it has none"),
+        ("expire", "drop stored slices that newer versions replaced; for times without readers"),
     ):
         job = jobs.add_parser(name, help=about)
         job.add_argument("--warehouse", required=True)
@@ -35,6 +40,9 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--archive")
         if name == "stream":
             job.add_argument("--checkpoint", required=True)
+        if name == "period":
+            job.add_argument("--year", required=True, type=int)
+            job.add_argument("--semester", required=True)
         if name == "build":
             job.add_argument("--full-refresh", action="store_true")
     return top
@@ -56,10 +64,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         return int(any(line["status"] == "fail" for line in report))
     elif args.job == "freshness":
         now = datetime.now(timezone.utc)
-        raw = warehouse.read_raw(spark, SOURCE)
-        age = freshness(raw, SOURCE.loaded_at, [now], SOURCE.warn_after_days, SOURCE.error_after_days).first()
+        loads = loads_with_rows(warehouse.read_ledger(spark, SOURCE))
+        age = freshness(loads, "ingestion_ts", [now], SOURCE.warn_after_days, SOURCE.error_after_days).first()
         print(f"{age['status']}: newest load {age['newest']}")
         return int(age["status"] == "error")
+    elif args.job == "period":
+        half = spark.range(1).select(normalize_semester(F.lit(args.semester)).alias("half")).first()["half"]
+        raw = warehouse.read_raw(spark, SOURCE)
+        rows = rows_of_period(raw, f"{args.year}-{half}", warehouse.periods(spark, SOURCE))
+        line = rows.groupBy("partition").agg(F.count("*").alias("n")).first()
+        print(f"{line['partition']}: {line['n']} rows")
+    elif args.job == "expire":
+        print(f"{warehouse.model_table(MODEL).expire(spark)} stored slices dropped")
     return 0
 
 

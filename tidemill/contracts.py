@@ -18,7 +18,10 @@ class SourceColumn:
 
 @dataclass(frozen=True)
 class SourceContract:
-    """Files of one source: their header, their dialect, and how old the newest load may be."""
+    """Files of one source: their header, their dialect, and how old the newest load may be.
+
+    ``multi_line`` allows line ends inside quotes; a file is then read by one task.
+    """
 
     name: str
     table: str
@@ -26,6 +29,7 @@ class SourceContract:
     columns: tuple[SourceColumn, ...]
     date_format: str = "dd/MM/yyyy"
     csv_options: dict[str, str] = field(default_factory=dict)
+    multi_line: bool = False
     file_glob: str = "*.csv"
     loaded_at: str = "ingestion_ts"
     warn_after_days: int = 180

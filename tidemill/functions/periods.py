@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, functions as F
 
@@ -65,5 +65,7 @@ def partition_of_path(path: str | Column) -> Column:
 
 
 def wall_clock(moment: datetime) -> Column:
-    """A zone-less timestamp literal, whatever the zones of Python and the session."""
+    """A zone-less timestamp literal, whatever the zone of the session; a moment with a zone counts in UTC."""
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(timezone.utc)
     return F.lit(moment.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")

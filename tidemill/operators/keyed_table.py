@@ -1,9 +1,11 @@
 """A Parquet table with one row per key, changed by whole-slice replacement.
 
-Every change writes a new directory ``v=<number>-<mark>-<full|part>`` with one
+Every change writes a new directory ``v=<number>-<mark>-<full|part|delta>`` with one
 sub-directory per slice. A version counts once its ``_SUCCESS`` file exists, so a job
 that dies half-way leaves the table as it was and its retry overwrites the remains. The
-content of a slice is its newest committed directory. ``mark`` is how far into its input
+content of a slice is its newest committed directory. A ``delta`` version holds the newest
+rows of one small batch and lies over the slices until ``compact``: readers keep the newest
+row per key over both, so adding a delta costs what the batch holds. ``mark`` is how far into its input
 the table has come (the last raw batch, or the last micro-batch).
 """
 
@@ -20,9 +22,8 @@ from tidemill.operators.latest import latest_per_key, newest_first
 from tidemill.operators.upsert import merge_latest
 from tidemill.storage import delete_dir, escape_glob, glob_paths
 
-_VERSION = re.compile(r"/v=(\d+)-(-?\d+)-(full|part)(?=/|$)")
+_VERSION = re.compile(r"/v=(\d+)-(-?\d+)-(full|part|delta)(?=/|$)")
 _SLICE = "_table_slice"
-_FEW_SLICES = 4
 # Directory name Spark gives to a NULL or empty partition value.
 _NULL_SLICE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -31,7 +32,7 @@ _NULL_SLICE = "__HIVE_DEFAULT_PARTITION__"
 class Version:
     number: int
     mark: int
-    full: bool
+    kind: str
     path: str
 
 
@@ -48,7 +49,7 @@ class KeyedTable:
         found = []
         for marker in glob_paths(spark, f"{self.root}/v=*/_SUCCESS"):
             number, mark, kind = _VERSION.search(marker).groups()
-            found.append(Version(int(number), int(mark), kind == "full", marker.rsplit("/", 1)[0]))
+            found.append(Version(int(number), int(mark), kind, marker.rsplit("/", 1)[0]))
         return sorted(found, key=lambda v: v.number, reverse=True)
 
     def mark(self, spark: SparkSession) -> int | None:
@@ -64,23 +65,39 @@ class KeyedTable:
             by_version.setdefault(path.rsplit("/", 1)[0], []).append(path)
         current: dict[str, str] = {}
         for version in versions:
+            if version.kind == "delta":
+                continue
             for path in by_version.get(version.path, []):
                 current.setdefault(unquote(path.rsplit("=", 1)[1]), path)
-            if version.full:
+            if version.kind == "full":
                 break
         return current
 
+    def deltas(self, spark: SparkSession) -> list[str]:
+        """Directories of the deltas since the last full version."""
+        found = []
+        for version in self.versions(spark):
+            if version.kind == "full":
+                break
+            if version.kind == "delta":
+                found.append(version.path)
+        return found
+
     def read(self, spark: SparkSession, slices: list[str] | None = None) -> DataFrame:
+        """The newest row per key of the given slices (all by default) and of the deltas."""
         current = self.slices(spark)
         paths = [p for name, p in sorted(current.items()) if slices is None or name in slices]
-        if not paths:
-            return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(*[escape_glob(p) for p in paths])
+        base = spark.read.schema(self.schema).parquet(*[escape_glob(p) for p in paths]) if paths else None
+        over = self.deltas(spark)
+        if not over:
+            return spark.createDataFrame([], self.schema) if base is None else base
+        rows = spark.read.schema(self.schema).parquet(*[escape_glob(p) for p in over])
+        return latest_per_key(rows if base is None else base.union(rows), self.key, newest_first(self.tie_order))
 
     def replace(self, df: DataFrame, mark: int) -> None:
         """Full build: newest row per key of ``df`` becomes the whole table."""
         rows = latest_per_key(df, self.key, newest_first(self.tie_order))
-        self._publish(rows, mark, "full", many_slices=self.slice_of is not None)
+        self._publish(rows, mark, "full")
 
     def merge(self, df: DataFrame, mark: int) -> None:
         """Upsert: rewrite only the slices ``df`` touches, keeping the newest row per key."""
@@ -88,17 +105,27 @@ class KeyedTable:
         touched = self._touched(df)
         current = self.read(spark, touched)
         rows = merge_latest(current, df.select(*self.schema.names), self.key, newest_first(self.tie_order))
-        self._publish(rows, mark, "part", many_slices=touched is not None and len(touched) > _FEW_SLICES)
+        self._publish(rows, mark, "part")
+
+    def append(self, df: DataFrame, mark: int) -> None:
+        """Upsert by a delta: writes the newest rows of ``df`` and reads nothing of the table."""
+        self._publish(latest_per_key(df.select(*self.schema.names), self.key, newest_first(self.tie_order)), mark, "delta")
+
+    def compact(self, spark: SparkSession) -> None:
+        """Fold the deltas into a new full version."""
+        if self.deltas(spark):
+            self.replace(self.read(spark), self.mark(spark))
 
     def expire(self, spark: SparkSession) -> int:
-        """Drop slice directories that a newer version replaced; for times without readers."""
-        live = set(self.slices(spark).values())
+        """Drop slices that a newer version replaced and deltas folded into one; for times without readers."""
+        live = set(self.slices(spark).values()) | set(self.deltas(spark))
         committed = {v.path for v in self.versions(spark)}
         stale = [
             p
             for p in glob_paths(spark, f"{self.root}/v=*/{_SLICE}=*")
             if p not in live and p.rsplit("/", 1)[0] in committed
         ]
+        stale += [v.path for v in self.versions(spark) if v.kind == "delta" and v.path not in live]
         for path in stale:
             delete_dir(spark, path)
         return len(stale)
@@ -113,16 +140,16 @@ class KeyedTable:
         value = self.slice_of().cast("string") if self.slice_of else F.lit("all")
         return df.withColumn(_SLICE, value)
 
-    def _publish(self, rows: DataFrame, mark: int, kind: str, many_slices: bool) -> None:
-        """Rows lie by key, so every task holds rows of every slice. With few slices the tasks
-        write a file each; with many a second exchange, sized and split by adaptive execution
-        however large a slice is, keeps the number of files down to what the data needs.
+    def _publish(self, rows: DataFrame, mark: int, kind: str) -> None:
+        """Rows lie by key, so every task holds rows of every slice. A second exchange, sized and
+        split by adaptive execution however large a slice is, keeps the number of files
+        down to what the data needs.
         """
-        df = self._with_slice(rows)
-        if many_slices:
-            df = df.hint("rebalance", F.col(_SLICE))
-        versions = self.versions(df.sparkSession)
+        versions = self.versions(rows.sparkSession)
         number = versions[0].number + 1 if versions else 0
         path = f"{self.root}/v={number:06d}-{mark}-{kind}"
-        df.write.mode("overwrite").partitionBy(_SLICE).parquet(path)
+        if kind == "delta":
+            rows.write.mode("overwrite").parquet(path)
+        else:
+            self._with_slice(rows).hint("rebalance", F.col(_SLICE)).write.mode("overwrite").partitionBy(_SLICE).parquet(path)
 

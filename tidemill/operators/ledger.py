@@ -66,6 +66,11 @@ def ledger_entries(files: DataFrame, ingestion_ts: datetime) -> DataFrame:
     )
 
 
+def loads_with_rows(ledger: DataFrame) -> DataFrame:
+    """Entries of files that brought rows: their newest time is the newest load time of the raw table."""
+    return ledger.where("rows_ingested > 0")
+
+
 def duplicate_names(ledger: DataFrame) -> DataFrame:
     return duplicate_groups(ledger, "source_file")
 

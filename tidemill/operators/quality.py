@@ -81,6 +81,22 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     return rows
 
 
+def failing_pairs(df: DataFrame, checks: Sequence[Check], *carried: str) -> DataFrame:
+    """``column_name, value`` and the carried columns of every failing row of per-row checks, from one scan.
+
+    Rows without a failure are dropped before the checks' pairs are split up.
+    """
+    failing = [F.coalesce(c.failing(), F.lit(False)) for c in checks]
+    pairs = F.array(
+        *[
+            F.when(f, F.struct(F.lit(c.column).alias("column_name"), F.col(f"`{c.column}`").alias("value")))
+            for c, f in zip(checks, failing, strict=True)
+        ]
+    )
+    rows = df.where(reduce(lambda a, b: a | b, failing)).withColumn("failed", F.explode(F.array_compact(pairs)))
+    return rows.select("failed.column_name", "failed.value", *carried)
+
+
 def duplicate_groups(df: DataFrame, column: str) -> DataFrame:
     """Values held by more than one row, with their row counts; NULLs are left out."""
     value = F.col(f"`{column}`")

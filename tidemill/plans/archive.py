@@ -10,9 +10,33 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from tidemill.sources.file_units import open_file_system
 
 log = logging.getLogger(__name__)
+BLOCK = 8 * 1024 * 1024
+
+
+def open_file_system(path: str):
+    """File system and local name of a path as Spark lists it (``file:/x``, ``hdfs://…``, ``s3a://…``)."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+    if "://" not in path:
+        return fs.LocalFileSystem(), path
+    scheme, rest = path.split("://", 1)
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    authority = rest.split("/", 1)[0]
+    system, _ = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return system, rest if scheme in ("s3", "gs") else "/" + rest.split("/", 1)[1]
+
+
+def check_archive(incoming: str, archive_root: str) -> None:
+    """Open both places, so that one without a client is an error before any row is loaded."""
+    for path in (incoming, archive_root):
+        try:
+            open_file_system(path)
+        except Exception as error:
+            raise ValueError(f"no file system client for {path}: {error}") from error
 
 
 def archive_files(files: DataFrame, incoming: str, archive_root: str) -> int:
@@ -41,20 +65,33 @@ def archive_files(files: DataFrame, incoming: str, archive_root: str) -> int:
 
 def _move_one(path: str, root: str, archive_root: str) -> str | None:
     system, name = open_file_system(path)
-    _, target_root = open_file_system(archive_root)
+    target_system, target_root = open_file_system(archive_root)
     below = ("/" + name.lstrip("/")).removeprefix(root)
     target = f"{target_root.rstrip('/')}/{below}"
     try:
-        system.create_dir(target.rsplit("/", 1)[0], recursive=True)
-        system.move(name, target)
+        target_system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+        if system.equals(target_system):
+            system.move(name, target)
+        else:
+            _copy_then_delete(system, name, target_system, target)
     except Exception as error:  # a repeated task finds its own earlier move
         from pyarrow.fs import FileType
 
         source_gone = system.get_file_info(name).type == FileType.NotFound
-        target_there = system.get_file_info(target).type == FileType.File
+        target_there = target_system.get_file_info(target).type == FileType.File
         return None if source_gone and target_there else str(error)
     return None
 
 
+def _copy_then_delete(system, name: str, target_system, target: str) -> None:
+    """Between file systems: the source goes only when the copy has its size."""
+    with system.open_input_stream(name) as source, target_system.open_output_stream(target) as sink:
+        while block := source.read(BLOCK):
+            sink.write(block)
+    if target_system.get_file_info(target).size != system.get_file_info(name).size:
+        raise OSError(f"the copy of {name} is incomplete")
+    system.delete_file(name)
+
+
 # Task functions travel by value, so the executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -11,12 +11,19 @@ from itertools import islice
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemill.contracts import SourceContract
-from tidemill.operators.ledger import first_of_each_content, ledger_entries, name_conflicts, rows_per_file, skip_known
-from tidemill.plans.archive import archive_files
+from tidemill.operators.ledger import (
+    first_of_each_content,
+    ledger_entries,
+    missing_required,
+    name_conflicts,
+    rows_per_file,
+    skip_known,
+)
+from tidemill.plans.archive import archive_files, check_archive
 from tidemill.plans.warehouse import Warehouse
 from tidemill.sources.csv_files import scan_landing
 from tidemill.sources.file_units import checksum_files, list_files
-from tidemill.storage import path_exists
+from tidemill.storage import exclusive, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -42,14 +49,16 @@ def ingest(
 
     A folder without files is an error, as is a known name with new content; the latter
     is found before any row is loaded. Files go in batches of ``files_per_batch``, each
-    committed by its ledger entry, so a failure loses at most the running batch and the
-    driver holds the names of one batch at a time.
+    committed by its ledger entry, so a failure loses at most the running batch. The
+    driver holds the listing of the landing folder and the names of one batch.
     """
     if not path_exists(spark, incoming):
         raise FileNotFoundError(f"no folder {incoming}")
     found = list_files(spark, incoming, source.file_glob)
     if found.isEmpty():
         raise FileNotFoundError(f"no {source.file_glob} files in {incoming}")
+    if archive_root:
+        check_archive(incoming, archive_root)
     result = load_files(spark, source, [incoming], warehouse, ingestion_ts, files_per_batch)
     if archive_root:
         archive_files(found, incoming, archive_root)
@@ -64,14 +73,29 @@ def load_files(
     ingestion_ts: datetime | None = None,
     files_per_batch: int = 10_000,
 ) -> IngestResult:
-    """The loading part of ``ingest`` for given files or folders."""
-    ingestion_ts = ingestion_ts or datetime.now(timezone.utc)
+    """The loading part of ``ingest`` for given files or folders; a second writer at the same time fails."""
+    with exclusive(spark, warehouse.lease_path(source.name)):
+        return _load_files(spark, source, paths, warehouse, ingestion_ts or datetime.now(timezone.utc), files_per_batch)
+
+
+def _load_files(
+    spark: SparkSession,
+    source: SourceContract,
+    paths: Sequence[str],
+    warehouse: Warehouse,
+    ingestion_ts: datetime,
+    files_per_batch: int,
+) -> IngestResult:
     ledger = warehouse.read_ledger(spark, source)
     pending = _write_pending(spark, source, paths, warehouse, ledger)
 
-    conflicts = [r["source_file"] for r in name_conflicts(pending, ledger).select("source_file").limit(20).collect()]
-    if conflicts:
-        raise ValueError(f"loaded before with other content: {', '.join(sorted(conflicts))}")
+    clashing = name_conflicts(pending, ledger).agg(
+        F.count("*").alias("n"), F.min("source_file").alias("first"), F.max("source_file").alias("last")
+    ).first()
+    if clashing["n"]:
+        raise ValueError(
+            f"loaded before with other content: {clashing['n']} files, from {clashing['first']} to {clashing['last']}"
+        )
 
     batches, n_files = [], 0
     names = (r["source_file"] for r in pending.select("source_file").orderBy("source_file").toLocalIterator())
@@ -114,6 +138,18 @@ def _load_batch(
 
     written = spark.read.schema(source.raw_schema).parquet(raw_dir)
     mine = pending.where(F.col("source_file").between(names[0], names[-1]))
-    entries = ledger_entries(rows_per_file(mine, written), ingestion_ts)
+    entries = ledger_entries(rows_per_file(mine, written), ingestion_ts).cache()
+    _assert_complete(entries, written.count())
     entries.write.mode("overwrite").parquet(f"{warehouse.ledger_path(source)}/batch_id={batch_id}")
+    entries.unpersist()
     return batch_id
+
+
+def _assert_complete(entries: DataFrame, n_written: int) -> None:
+    """The ledger's constraints, before it is written: required values are there, and every raw row is accounted for."""
+    missing = {r["column_name"]: r["failing_rows"] for r in missing_required(entries).collect() if r["failing_rows"]}
+    if missing:
+        raise RuntimeError(f"ledger entries without required values: {missing}")
+    n_counted = entries.agg(F.coalesce(F.sum("rows_ingested"), F.lit(0))).first()[0]
+    if n_counted != n_written:
+        raise RuntimeError(f"the ledger would account for {n_counted} of {n_written} raw rows")

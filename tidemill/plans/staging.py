@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.contracts import ModelContract, SourceContract
 from tidemill.operators.latest import latest_per_key, newest_first
-from tidemill.operators.upsert import merge_latest
 from tidemill.plans.warehouse import Warehouse
+from tidemill.storage import exclusive
 
 
 def clean(raw: DataFrame, model: ModelContract) -> DataFrame:
@@ -20,11 +20,6 @@ def full_model(raw: DataFrame, model: ModelContract) -> DataFrame:
     return latest_per_key(clean(raw, model), model.key, newest_first(model.tie_order))
 
 
-def next_model(current: DataFrame, new_raw: DataFrame, model: ModelContract) -> DataFrame:
-    """The model after more raw rows, as a plan over the current state."""
-    return merge_latest(current, clean(new_raw, model), model.key, newest_first(model.tie_order))
-
-
 def build_model(
     spark: SparkSession,
     source: SourceContract,
@@ -38,7 +33,16 @@ def build_model(
     The first run and a full refresh build it whole. Later runs read only raw batches
     the model has not seen and rewrite only the half-years these touch; keeping the
     newest of newest rows gives the same table as ``rescan``, which reads all raw rows.
+    A second writer of the same warehouse fails.
     """
+    with exclusive(spark, warehouse.lease_path(model.table)):
+        _build(spark, source, model, warehouse, full_refresh, rescan)
+    return warehouse.model_table(model).read(spark)
+
+
+def _build(
+    spark: SparkSession, source: SourceContract, model: ModelContract, warehouse: Warehouse, full_refresh: bool, rescan: bool
+) -> None:
     table = warehouse.model_table(model)
     last = warehouse.committed_batch(spark, source)
     seen = table.mark(spark)
@@ -47,4 +51,3 @@ def build_model(
     elif rescan or seen < last:
         raw = warehouse.read_raw(spark, source, after=0 if rescan else seen)
         table.merge(clean(raw, model), last)
-    return table.read(spark)

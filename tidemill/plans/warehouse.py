@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemill.contracts import ModelContract, SourceContract
 from tidemill.operators.keyed_table import KeyedTable
 from tidemill.operators.ledger import LEDGER_SCHEMA
-from tidemill.storage import glob_paths, path_exists
+from tidemill.storage import glob_paths
 
 BATCH = T.StructField("batch_id", T.LongType(), False)
 
@@ -37,6 +37,9 @@ class Warehouse:
     def pending_path(self, source: SourceContract) -> str:
         return f"{self.root}/{self.control_namespace}/pending_files/{source.name}"
 
+    def lease_path(self, name: str) -> str:
+        return f"{self.root}/{self.control_namespace}/leases/{name}"
+
     def model_table(self, model: ModelContract) -> KeyedTable:
         path = f"{self.root}/{self.model_namespace}/{model.table}"
         return KeyedTable(path, model.schema, model.key, tuple(model.tie_order), model.slice_of)
@@ -69,10 +72,12 @@ class Warehouse:
         self, spark: SparkSession, source: SourceContract, path: str, schema: T.StructType, after: int
     ) -> DataFrame:
         last = self.committed_batch(spark, source)
-        if last == 0 or not path_exists(spark, path):
+        if last <= after:
             return spark.createDataFrame([], schema)
-        rows = spark.read.schema(schema).parquet(path).select(*[F.col(f"`{n}`") for n in schema.names])
-        return rows.where((F.col("batch_id") > after) & (F.col("batch_id") <= last))
+        # Batches are numbered without gaps, so the folders can be named and no other is listed.
+        folders = [f"{path}/batch_id={number}" for number in range(after + 1, last + 1)]
+        rows = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+        return rows.select(*[F.col(f"`{n}`") for n in schema.names])
 
     def register_views(self, spark: SparkSession, source: SourceContract, *models: ModelContract) -> None:
         """Temporary views under the table names, for SQL users."""

@@ -18,7 +18,7 @@ from tidemill.plans.warehouse import Warehouse
 from tidemill.registry.raw_prices import raw_prices, table, with_model, with_raw
 from tidemill.sources import tables
 from tidemill.sources.csv_files import land_csv, scan_landing
-from tidemill.sources.periods import resolve_periods
+from tidemill.sources.periods import resolve_periods, rows_of_period
 from tidemill.storage import scratch_dir
 
 LOAD_TIME = datetime(2025, 7, 1)
@@ -55,7 +55,9 @@ def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest(spark, SOURCE, f"{root}/incoming", warehouse, LOAD_TIME)
     loaded = warehouse.read_ledger(spark, SOURCE)
     return loaded.groupBy(partition_of_path("source_file").alias("partition"), "load_status").agg(
-        F.sum("rows_ingested").alias("n_rows"), F.max("ingestion_ts").alias("loaded_at")
+        F.sum("rows_ingested").alias("n_rows"),
+        F.max("ingestion_ts").alias("loaded_at"),
+        (F.count_distinct("file_checksum") == F.count("source_file")).alias("contents_differ"),
     )
 
 
@@ -95,8 +97,16 @@ def semester_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = table(spark, sf_dir, "lineitem").groupBy(period_of("l_shipdate").alias("partition")).agg(
         F.count("*").alias("n_rows")
     )
-    resolved = resolve_periods(wanted, counts)
-    return resolved.join(counts, F.col("resolved") == F.col("partition"), "left").select("wanted", "resolved", "n_rows")
+    return resolve_periods(wanted, counts)
+
+
+def period_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table partitioned by half-year, read for a period after its last: the one before it answers."""
+    path = f"{scratch_dir(spark, 'period')}/prices"
+    raw_prices(spark, sf_dir).write.partitionBy("partition").parquet(path)
+    stored = spark.read.schema(SOURCE.raw_schema).parquet(path)
+    last = table(spark, sf_dir, "lineitem").agg(period_of(F.max("l_shipdate")).alias("p")).select(next_period("p")).first()[0]
+    return file_rows(rows_of_period(stored, last))
 
 
 def content_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,10 +171,12 @@ def table_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.ensure_namespace(spark, namespace, f"{root}/{namespace}")
     counts = raw_prices(spark, sf_dir).groupBy("partition").agg(F.count("*").alias("n_rows"))
     path = f"{root}/{SOURCE.table}"
-    counts.write.option("path", path).saveAsTable(f"{namespace}.{SOURCE.table}")
-    present = tables.table_exists(spark, namespace, SOURCE.table)
-    absent = tables.table_exists(spark, namespace, f"{SOURCE.table}_absent")
-    spark.sql(f"DROP DATABASE {namespace} CASCADE")  # an external table: its files stay
+    try:
+        counts.write.option("path", path).saveAsTable(f"{namespace}.{SOURCE.table}")
+        present = tables.table_exists(spark, namespace, SOURCE.table)
+        absent = tables.table_exists(spark, namespace, f"{SOURCE.table}_absent")
+    finally:
+        spark.sql(f"DROP DATABASE {namespace} CASCADE")  # an external table: its files stay
     stored = spark.read.schema(counts.schema).parquet(path)
     return stored.select("partition", "n_rows", F.lit(present).alias("present"), F.lit(absent).alias("absent"))
 
@@ -184,6 +196,7 @@ QUERIES = {
     "partition_layout": partition_layout,
     "partition_from_path": partition_from_path,
     "semester_fallback": semester_fallback,
+    "period_rows": period_rows,
     "content_checksum": content_checksum,
     "file_sizes": file_sizes,
     "ledger_build": ledger_build,
@@ -217,11 +230,15 @@ ORACLES = {
     "csv_scan": FILE_ROWS_SQL,
     "ingest_batch": FILE_ROWS_SQL,
     "ingest_ledger": with_raw("""
-        SELECT "partition", 'loaded' AS load_status, count(*) AS n_rows, TIMESTAMP '2025-07-01' AS loaded_at
+        SELECT "partition", 'loaded' AS load_status, count(*) AS n_rows, TIMESTAMP '2025-07-01' AS loaded_at,
+          true AS contents_differ
         FROM raw_prices GROUP BY "partition\""""),
     "ingest_archive": ROWS_PER_PARTITION_SQL,
     "rows_per_file": with_raw("""
         SELECT source_file, count("Valor de Compra") AS rows_ingested FROM raw_prices GROUP BY source_file"""),
+    "period_rows": with_raw("""
+        SELECT * EXCLUDE (source_file, ingestion_ts) FROM raw_prices
+        WHERE "partition" = (SELECT max("partition") FROM raw_prices)"""),
     "partition_layout": f"""
         WITH periods AS (
           SELECT year(o_orderdate) || '-' || CASE WHEN month(o_orderdate) <= 6 THEN '01' ELSE '02' END AS period,

@@ -27,13 +27,6 @@ def _shared_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _failing_values(df: DataFrame, check: quality.Check) -> DataFrame:
-    value = F.col(f"`{check.column}`").alias("value")
-    return quality.failing_rows(df, check).select(
-        F.lit(check.column).alias("column_name"), value, "source_file", "ingestion_ts"
-    )
-
-
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = [c for c in MODEL.checks if c.kind == "not_null"]
     model = quality.run_checks(_model(spark, sf_dir), checks).select("column_name", "failing_rows")
@@ -48,21 +41,18 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_prices(spark, sf_dir)
     checks = [
         quality.accepted_values("Regiao - Sigla", REGIONS),
         quality.accepted_values("Estado - Sigla", STATES),
         quality.accepted_values("Produto", (PRODUCT,)),
     ]
-    parts = [quality.failing_rows(raw, c).withColumn("column_name", F.lit(c.column)) for c in checks]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    failing = quality.failing_pairs(raw_prices(spark, sf_dir), checks)
+    return failing.groupBy("value", "column_name").agg(F.count("*").alias("n_rows"))
 
 
 def dq_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_prices(spark, sf_dir)
     checks = [quality.match_regex("CNPJ da Revenda", "^[0-9]+$"), quality.match_regex("Cep", "^[0-9]*$")]
-    parts = [_failing_values(raw, c) for c in checks]
-    return parts[0].unionByName(parts[1])
+    return quality.failing_pairs(raw_prices(spark, sf_dir), checks, "source_file", "ingestion_ts")
 
 
 def dq_length(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +62,7 @@ def dq_length(spark: SparkSession, sf_dir: str) -> DataFrame:
         (full_model(raw, MODEL), quality.length_equals("cep", 8)),
         (raw, quality.length_equals("CNPJ da Revenda", 14)),
     ]
-    parts = [_failing_values(df, c) for df, c in checks]
+    parts = [quality.failing_pairs(df, [c], "source_file", "ingestion_ts") for df, c in checks]
     return parts[0].unionByName(parts[1])
 
 
@@ -102,10 +92,16 @@ def dq_ledger_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By every row's load time, and by the ledger of hourly files of the same events, which has a row per file."""
     moments = [datetime(2024, 6, 1), datetime(2024, 7, 31), datetime(2024, 8, 15)]
-    return quality.freshness(
-        table(spark, sf_dir, "events"), "ts", moments, SOURCE.warn_after_days, SOURCE.error_after_days
+    events = table(spark, sf_dir, "events")
+    entries = events.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(
+        F.count("*").alias("rows_ingested"), F.max("ts").alias("ingestion_ts")
     )
+    limits = moments, SOURCE.warn_after_days, SOURCE.error_after_days
+    by_row = quality.freshness(events, "ts", *limits).withColumn("source", F.lit("rows"))
+    by_ledger = quality.freshness(ledger.loads_with_rows(entries), "ingestion_ts", *limits)
+    return by_row.unionByName(by_ledger.withColumn("source", F.lit("ledger")))
 
 
 QUERIES = {
@@ -216,9 +212,10 @@ ORACLES = {
     "dq_ledger_checksum": _SHARED_SQL
     + "SELECT file_checksum AS value, count(*) AS n_rows FROM shared GROUP BY 1 HAVING count(*) > 1",
     "freshness": """
-        SELECT as_of, newest,
+        SELECT as_of, newest, source,
           CASE WHEN newest IS NULL OR as_of - newest > INTERVAL 190 DAY THEN 'error'
                WHEN as_of - newest > INTERVAL 180 DAY THEN 'warn' ELSE 'pass' END AS status
         FROM (SELECT max(ts) AS newest FROM events),
-          (VALUES (TIMESTAMP '2024-06-01'), (TIMESTAMP '2024-07-31'), (TIMESTAMP '2024-08-15')) AS moments(as_of)""",
+          (VALUES (TIMESTAMP '2024-06-01'), (TIMESTAMP '2024-07-31'), (TIMESTAMP '2024-08-15')) AS moments(as_of),
+          (VALUES ('rows'), ('ledger')) AS sources(source)""",
 }

@@ -1,8 +1,8 @@
 """The given tables as raw price rows, once for Spark and once as SQL.
 
 One raw row per ``lineitem`` row. The formulas plant what the cleaning has to cope with:
-blanks around texts, blank and missing texts, two spellings of one company number,
-other fuels, prices that are no numbers.
+blanks around texts, blank and missing texts, quotes, separators and backslashes in names,
+two spellings of one company number, other fuels, prices that are no numbers.
 """
 
 from __future__ import annotations
@@ -10,38 +10,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemill.plans.fuel_prices import SOURCE, STATES
-from tidemill.storage import total_bytes
 
 # Fixed value: first load time of the adapter.
 FIRST_LOAD = "2025-01-01 00:00:00"
 STATE_TEXT = "".join(STATES)
-BROADCAST_UP_TO = 16 * 1024 * 1024
-SPREAD_BELOW = 256 * 1024 * 1024
+BROADCAST_UP_TO = 64 * 1024 * 1024
+# What a built row holds at most: eleven texts of a reseller, two of a product, each in an object of its own.
+RESELLER_BYTES, PRODUCT_BYTES = 600, 160
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, path: str) -> DataFrame:
-    """Deal the rows of a small input out to all cores.
-
-    A file of one row group is one task. Below the limit a round-robin exchange costs
-    little; a larger table has row groups enough and is left as it is.
-    """
-    spark = df.sparkSession
-    if total_bytes(spark, path) > SPREAD_BELOW:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
-
-
-def small_side(df: DataFrame, path: str) -> DataFrame:
-    """A join side made from the file at ``path``, broadcast only if that file is small.
+def small_side(df: DataFrame, rows: DataFrame, row_bytes: int) -> DataFrame:
+    """A join side with one row for each of ``rows``, broadcast only if what is built of them is small.
 
     Spark takes a side that is itself a join for as large as the product of its inputs,
-    and would rather broadcast the fact table.
+    and would rather broadcast the fact table. Counting a file reads its footers only.
     """
-    return F.broadcast(df) if total_bytes(df.sparkSession, path) <= BROADCAST_UP_TO else df
+    return F.broadcast(df) if rows.count() * row_bytes <= BROADCAST_UP_TO else df
 
 
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,15 +37,14 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
     )
-    items = spread(items, f"{sf_dir}/lineitem.parquet")
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region").select("r_regionkey"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     suppliers = table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
     resellers = suppliers.select("s_suppkey", *[v.alias(n) for n, v in _reseller_columns().items()])
     products = table(spark, sf_dir, "part").select("p_partkey", *[v.alias(n) for n, v in _product_columns().items()])
-    resellers = small_side(resellers, f"{sf_dir}/supplier.parquet")
-    products = small_side(products, f"{sf_dir}/part.parquet")
+    resellers = small_side(resellers, table(spark, sf_dir, "supplier"), RESELLER_BYTES)
+    products = small_side(products, table(spark, sf_dir, "part"), PRODUCT_BYTES)
     joined = items.join(resellers, F.col("l_suppkey") == F.col("s_suppkey")).join(
         products, F.col("l_partkey") == F.col("p_partkey")
     )
@@ -80,7 +67,11 @@ def _reseller_columns() -> dict[str, Column]:
         "Regiao - Sigla": F.element_at(region_codes, F.col("n_regionkey") + 1),
         "Estado - Sigla": F.substring(F.lit(STATE_TEXT), F.col("n_nationkey") * 2 + 1, F.lit(2)),
         "Municipio": F.concat(F.lit("  "), F.col("n_name"), F.lit(" ")),
-        "Revenda": F.when(key % 7 == 0, "   ").otherwise(F.col("s_name")),
+        "Revenda": F.when(key % 7 == 0, "   ")
+        .when(key % 7 == 1, F.concat(F.lit('POSTO "'), F.col("s_name"), F.lit('" LTDA')))
+        .when(key % 7 == 2, F.concat(F.lit('POSTO "A;B" '), F.col("s_name")))
+        .when(key % 7 == 3, F.concat(F.col("s_name"), F.lit(";\\")))
+        .otherwise(F.col("s_name")),
         "printed_number": printed_number,
         "plain_number": F.concat(key8, F.lit("0001"), key2),
         "Nome da Rua": F.concat(F.lit("RUA "), (key % 17).cast("string")),
@@ -137,7 +128,8 @@ RAW_SQL = f"""
         AS "Regiao - Sigla",
       substr('{STATE_TEXT}', CAST(n_nationkey * 2 + 1 AS BIGINT), 2) AS "Estado - Sigla",
       '  ' || n_name || ' ' AS "Municipio",
-      CASE WHEN s_suppkey % 7 = 0 THEN '   ' ELSE s_name END AS "Revenda",
+      CASE s_suppkey % 7 WHEN 0 THEN '   ' WHEN 1 THEN 'POSTO "' || s_name || '" LTDA'
+           WHEN 2 THEN 'POSTO "A;B" ' || s_name WHEN 3 THEN s_name || ';' || chr(92) ELSE s_name END AS "Revenda",
       {_CNPJ} AS "CNPJ da Revenda",
       'RUA ' || CAST(s_suppkey % 17 AS VARCHAR) AS "Nome da Rua",
       CASE WHEN s_suppkey % 5 = 0 THEN 'S/N' ELSE CAST(s_suppkey AS VARCHAR) END AS "Numero Rua",

@@ -12,12 +12,13 @@ from tidemill.registry.files import FILE_ROWS_SQL, ROWS_PER_PARTITION_SQL, file_
 from tidemill.registry.raw_prices import table
 from tidemill.sources.csv_files import scan_landing
 from tidemill.sources.file_units import list_files
-from tidemill.storage import copy_file, is_directory, scratch_dir
+from tidemill.storage import copy_file, scratch_dir
 from tidemill.streaming.file_stream import ingest_stream
 from tidemill.streaming.latest_stream import upsert_stream
 
 EVENT_KEY = ("user_id", "event_type")
 EVENT_ORDER = ("ts", "event_id", "value", "props")
+EVENT_FILES = 9
 
 
 def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +35,7 @@ def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per half-year in the archive and the landing folder after the stream; none may be lost."""
+    """Rows per half-year in the archive alone after the stream."""
     root = landed(spark, sf_dir, "stream-archive")
     warehouse = Warehouse(f"{root}/warehouse")
     ingest_stream(
@@ -46,7 +47,7 @@ def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         archive_root=f"{root}/processed",
         files_per_trigger=8,
     ).awaitTermination()
-    kept = scan_landing(spark, SOURCE, [f"{root}/incoming", f"{root}/processed"])
+    kept = scan_landing(spark, SOURCE, f"{root}/processed")
     return kept.groupBy("partition").agg(F.count("*").alias("n_rows"))
 
 
@@ -55,15 +56,15 @@ def events_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in table(spark, sf_dir, "events").schema.fields])
-    reader = spark.readStream.schema(schema)
-    if is_directory(spark, f"{sf_dir}/events.parquet"):
-        rows = reader.parquet(f"{sf_dir}/events.parquet")
-    else:  # a stream watches folders, so a single file is named by a filter
-        rows = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """The events in several files, so that the stream has several micro-batches, then compacted."""
+    events = table(spark, sf_dir, "events")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in events.schema.fields])
     root = scratch_dir(spark, "stream-latest")
+    events.repartition(EVENT_FILES).write.parquet(f"{root}/events")
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", EVENT_FILES // 3).parquet(f"{root}/events")
     newest = KeyedTable(f"{root}/events_latest", schema, EVENT_KEY, EVENT_ORDER)
     upsert_stream(rows, newest, f"{root}/checkpoint").awaitTermination()
+    newest.compact(spark)
     return newest.read(spark)
 
 

@@ -34,10 +34,14 @@ def scan_csv(spark: SparkSession, contract: SourceContract, paths: str | Sequenc
 
     The header of every file must match the contract; a malformed row fails the read.
     Partition directories above a file do not become columns here (see ``scan_landing``).
+    A quote inside quotes is doubled and a backslash is a plain sign. Quoted line ends need a
+    contract with ``multi_line``, which makes every file one task; without it they fail the read.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     options = {
         "sep": ";",
+        "escape": '"',
+        "multiLine": str(contract.multi_line).lower(),
         **contract.csv_options,
         "header": "true",
         "enforceSchema": "false",
@@ -73,6 +77,7 @@ def land_csv(raw: DataFrame, contract: SourceContract, landing: str) -> None:
     columns = [F.col(f"`{c.name}`") for c in contract.columns]
     options = {
         "sep": ";",
+        "escape": '"',
         **contract.csv_options,
         "header": "true",
         "ignoreLeadingWhiteSpace": "false",

@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
-import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemill.functions import bytes_checksum, size_kb
 from tidemill.storage import escape_glob
 
-# Files up to this size are hashed by Spark's own function with the content in one row;
-# larger ones are read block by block in the task.
-ONE_ROW_BYTES = 64 * 1024 * 1024
-READ_BLOCK = 8 * 1024 * 1024
+# Bytes that Spark holds in one value.
+LARGEST = 2**31 - 1 - 15
 
 FILE_SOURCE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -36,54 +30,15 @@ def with_size_kb(files: DataFrame) -> DataFrame:
     return files.withColumn("size_kb", size_kb("size_bytes"))
 
 
-def checksum_files(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    file_glob: str = "*.csv",
-    one_row_bytes: int = ONE_ROW_BYTES,
-) -> DataFrame:
-    """``source_file, size_bytes, file_checksum``; a task never holds more than one block of a large file."""
-    files = _files(spark, paths, file_glob)
-    small = files.where(F.col("length") <= one_row_bytes).select(
+def checksum_files(spark: SparkSession, paths: str | Sequence[str], file_glob: str = "*.csv") -> DataFrame:
+    """``source_file, size_bytes, file_checksum``, every file read by Spark's own client.
+
+    A file is one value, so one of more than ``LARGEST`` bytes fails with a message that names it.
+    """
+    files = _files(spark, paths, file_glob).select("path", "length", "content")
+    too_large = F.raise_error(F.concat(F.lit("too large to be one value, split it: "), F.col("path")))
+    return files.select(
         F.col("path").alias("source_file"),
         F.col("length").alias("size_bytes"),
-        bytes_checksum("content").alias("file_checksum"),
-    )
-    large = files.where(F.col("length") > one_row_bytes).select(
-        F.col("path").alias("source_file"), F.col("length").alias("size_bytes")
+        F.when(F.col("length") > LARGEST, too_large).otherwise(bytes_checksum("content")).alias("file_checksum"),
     )
-    if large.isEmpty():  # from the listing alone; saves starting Python workers for nothing
-        return small
-    return small.unionByName(large.mapInPandas(hash_by_block, small.schema))
-
-
-def open_file_system(path: str):
-    """File system and local name of a path as Spark lists it (``file:/x``, ``hdfs://…``, ``s3a://…``)."""
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-    if "://" not in path:
-        return fs.LocalFileSystem(), path
-    scheme, rest = path.split("://", 1)
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    authority = rest.split("/", 1)[0]
-    system, _ = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-    return system, rest if scheme in ("s3", "gs") else "/" + rest.split("/", 1)[1]
-
-
-def hash_by_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        digests = []
-        for path in batch["source_file"]:
-            system, name = open_file_system(path)
-            digest = hashlib.sha256()
-            with system.open_input_stream(name, buffer_size=0) as stream:
-                while block := stream.read(READ_BLOCK):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield batch.assign(file_checksum=digests)
-
-
-# Task functions travel by value, so the executors need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -10,18 +10,22 @@ from tidemill.functions import previous_period
 def resolve_periods(wanted: DataFrame, available: DataFrame) -> DataFrame:
     """``wanted, resolved``: the wanted period, else the one before it, else NULL.
 
-    ``wanted`` has a column of that name and ``available`` a column ``partition``. Exactly
+    ``wanted`` has a column of that name and ``available`` a column ``partition``, once per period
+    if it has others too; those follow the resolved period. Exactly
     one step back is tried. Both sides are period lists, a few rows per year of data.
     """
+    more = [c for c in available.columns if c != "partition"]
     asked = wanted.select("wanted").distinct()
     steps = F.array(
         F.struct(F.lit(0).alias("step"), F.col("wanted").alias("candidate")),
         F.struct(F.lit(1).alias("step"), previous_period("wanted").alias("candidate")),
     )
     tried = asked.select("wanted", F.inline(steps))
-    found = tried.join(available.select("partition").distinct(), F.col("candidate") == F.col("partition"), "left")
+    present = available if more else available.distinct()
+    found = tried.join(present, F.col("candidate") == F.col("partition"), "left")
     step_found = F.when(F.col("partition").isNotNull(), F.col("step"))
-    return found.groupBy("wanted").agg(F.min_by("partition", step_found).alias("resolved"))
+    best = F.min_by(F.struct(F.col("partition").alias("resolved"), *more), step_found).alias("best")
+    return found.groupBy("wanted").agg(best).select("wanted", "best.*")
 
 
 def rows_of_period(table: DataFrame, wanted: str, available: DataFrame | None = None) -> DataFrame:

@@ -10,5 +10,6 @@ def table_exists(spark: SparkSession, namespace: str, table: str) -> bool:
 
 
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
-    at = f" LOCATION '{location}'" if location else ""
+    quoted = location.replace("\\", "\\\\").replace("'", "\\'") if location else ""
+    at = f" LOCATION '{quoted}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`{at}")

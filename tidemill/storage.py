@@ -8,6 +8,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +54,26 @@ def copy_file(spark: SparkSession, source: str, target: str) -> None:
     )
 
 
+@contextmanager
+def exclusive(spark: SparkSession, path: str) -> Iterator[None]:
+    """Hold the lease file at ``path``; another holder is an error, and so is a session without commit markers.
+
+    File systems make a file for one caller only, so of two writers one fails at once. A
+    run that died leaves its lease, and the error says which file to delete.
+    """
+    conf = spark._jsc.hadoopConfiguration()
+    if not conf.getBoolean("mapreduce.fileoutputcommitter.marksuccessfuljobs", True):
+        raise RuntimeError("commits rely on _SUCCESS files: mapreduce.fileoutputcommitter.marksuccessfuljobs is off")
+    fs, jpath = _hadoop(spark, path)
+    fs.mkdirs(jpath.getParent())
+    if not fs.createNewFile(jpath):
+        raise RuntimeError(f"another writer holds {path}; if none is running, delete that file")
+    try:
+        yield
+    finally:
+        fs.delete(jpath, False)
+
+
 def escape_glob(path: str) -> str:
     """A literal path as the glob that matches only it (readers expand globs)."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.contracts import SourceContract
+from tidemill.plans.archive import archive_files, check_archive
 from tidemill.plans.ingest import load_files
 from tidemill.plans.warehouse import Warehouse
 from tidemill.sources.file_units import FILE_SOURCE_SCHEMA
+from tidemill.storage import path_exists
 
 
 def ingest_stream(
@@ -24,23 +26,28 @@ def ingest_stream(
 
     The stream carries file names only; each micro-batch hands its names to the batch
     loader, whose ledger makes a repeated micro-batch harmless. ``files_per_trigger=1``
-    commits file by file. With ``archive_root`` Spark moves consumed files once a later
-    micro-batch starts, so the files of the last one stay until the next run.
+    commits file by file. With ``archive_root`` the files of a micro-batch are moved as soon as the
+    ledger has them; a micro-batch repeated after that finds them gone and has nothing to do.
     """
+    if archive_root:
+        check_archive(incoming, archive_root)
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SOURCE_SCHEMA)
         .option("pathGlobFilter", source.file_glob)
         .option("recursiveFileLookup", "true")
+        .option("ignoreMissingFiles", "true")
         .option("maxFilesPerTrigger", files_per_trigger)
     )
-    if archive_root:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_root)
 
     def load(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
         names = [row["path"] for row in batch.collect()]  # at most files_per_trigger names
+        names = [name for name in names if path_exists(session, name)]
         if names:
-            load_files(batch.sparkSession, source, names, warehouse, files_per_batch=files_per_trigger)
+            load_files(session, source, names, warehouse, files_per_batch=files_per_trigger)
+            if archive_root:
+                archive_files(session.createDataFrame([(name,) for name in names], "source_file string"), incoming, archive_root)
 
     return (
         reader.load(incoming)

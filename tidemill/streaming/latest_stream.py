@@ -9,16 +9,19 @@ from tidemill.operators.keyed_table import KeyedTable
 
 
 def upsert_stream(rows: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
-    """Merge each micro-batch into the table, then stop when the input is used up.
+    """Add each micro-batch to the table as a delta, then stop when the input is used up.
+
+    A micro-batch writes its own newest rows and reads none of the table; ``KeyedTable.compact`` is a
+    job of its own.
 
     The table's mark is the number of the last merged micro-batch, so one that is
-    repeated after a failure is merged once.
+    repeated after a failure is added once.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         mark = table.mark(batch.sparkSession)
         if mark is None or mark < number:
-            table.merge(batch, number)
+            table.append(batch, number)
 
     return (
         rows.writeStream.foreachBatch(merge)
