@@ -63,15 +63,16 @@ def source_targets(sized: DataFrame, weights: Sequence[float], share: float, mos
         .withColumn("limit", F.lit(float(most)) * F.col("source_size"))
     )
     everything = Window.partitionBy()
-    earlier = Window.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    by_limit = Window.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last())
+    earlier = by_limit.rowsBetween(Window.unboundedPreceding, -1)
     rated = sizes.withColumn(
         "rate",
         (F.lit(float(share)) * F.sum("source_size").over(everything) - F.coalesce(F.sum("limit").over(earlier), F.lit(0.0)))
         / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(earlier), F.lit(0.0))),
     )
-    first = F.min(F.when(F.col("rate") * F.col("weight") <= F.col("limit"), F.col("rate"))).over(everything)
+    rated = rated.withColumn("place", F.row_number().over(by_limit))
+    bearable = F.when(F.col("rate") * F.col("weight") <= F.col("limit"), F.struct("place", "rate"))
+    first = F.min(bearable).over(everything)["rate"]
     return rated.select(
         "source",
         "source_size",
@@ -212,13 +213,13 @@ weighed AS (
          [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
   FROM sources),
 rated AS (
-  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(top) OVER w, 0))
+  SELECT *, row_number() OVER (ORDER BY top / weight, source NULLS LAST) AS place, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(top) OVER w, 0))
             / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0)) AS rate
   FROM weighed
   WINDOW w AS (ORDER BY top / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 targets AS (
   SELECT source, source_size,
-         coalesce(least(top, min(CASE WHEN rate * weight <= top THEN rate END) OVER () * weight), top) AS target
+         coalesce(least(top, arg_min(rate, place) FILTER (rate * weight <= top) OVER () * weight), top) AS target
   FROM rated),
 epochs AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
