@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from tidemill.llm.toxicity import label_model, op10_toxicity, score_toxicity, toxicity_score, train
+from tidemill.llm.toxicity import LABEL_TRUST, label_model, op10_toxicity, score_toxicity, toxicity_score, train
 
 BAD = ["vexgob", "drulk", "smarnit"]
 
@@ -69,7 +69,7 @@ def test_label_model_finds_accuracies_and_correlations():
     fire = lambda hit, false: np.where(y, rng.random(8000) < hit, rng.random(8000) < false)
     good, weak = fire(0.6, 0.01), fire(0.4, 0.2)
     votes = np.stack([good, good, weak, fire(0.5, 0.02)], axis=1).astype(float)
-    labels = np.where(rng.random(8000) < 0.9, y, ~y).astype(float)
+    labels = np.where(rng.random(8000) < LABEL_TRUST, y, ~y).astype(float)
     posterior, model = label_model(votes, labels)
     assert model["accuracy"][0] > 0.85 > 0.5 > model["accuracy"][2]
     assert model["correlation"][0, 1] > 0.9 and abs(model["correlation"][0, 3]) < 0.2

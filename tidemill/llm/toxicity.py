@@ -145,28 +145,29 @@ class Reader:
 def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, dict]:
     """Posteriors of the rows from votes (rows x voters, 0 or 1) and from labels as one more voter.
 
-    The model: voter ``i`` speaks with rate ``toxic[i]`` or ``clean[i]``, and votes are correlated within either
-    class as their pooled covariance says. The log odds of a row are those of two
-    distributions with that covariance, which are linear in the votes.
+    The model: voter ``i`` speaks with rate ``toxic[i]`` or ``clean[i]`` and abstains else, which says nothing. Votes are
+    correlated within either class; a voter's log ratio is divided by one plus its positive correlations
+    with the others, so voters that repeat each other count once.
     """
     trust = math.log(LABEL_TRUST / (1 - LABEL_TRUST)) * (2 * labels - 1)
     posterior = np.where(labels > 0, LABEL_TRUST, 1 - LABEL_TRUST)
     for _ in range(rounds):
         prior = float(np.clip(posterior.mean(), 1e-4, 1 - 1e-4))
-        w1, w0 = posterior / posterior.sum(), (1 - posterior) / (1 - posterior).sum()
-        toxic, clean = w1 @ votes, w0 @ votes
-        covariance = prior * np.cov(votes.T, aweights=w1, ddof=0) + (1 - prior) * np.cov(votes.T, aweights=w0, ddof=0)
-        covariance += np.diag(np.full(len(toxic), 1e-3))
-        weights = np.linalg.solve(covariance, toxic - clean)
-        odds = math.log(prior / (1 - prior)) + (votes - (toxic + clean) / 2) @ weights + trust
+        toxic = (posterior @ votes + 1) / (posterior.sum() + 2)
+        clean = ((1 - posterior) @ votes + 1) / ((1 - posterior).sum() + 2)
+        covariance = prior * np.cov(votes.T, aweights=posterior, ddof=0)
+        covariance += (1 - prior) * np.cov(votes.T, aweights=1 - posterior, ddof=0)
+        scale = np.sqrt(np.maximum(np.diag(covariance), 1e-9))
+        correlation = covariance / np.outer(scale, scale)
+        weights = np.log(toxic / clean) / (1 + np.maximum(correlation - np.eye(len(scale)), 0).sum(axis=1))
+        odds = math.log(prior / (1 - prior)) + votes @ weights + trust
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         done = np.abs(new - posterior).max() < 1e-6
         posterior = new
         if done:
             break
-    scale = np.sqrt(np.diag(covariance))
-    accuracy = (prior * toxic + 1e-9) / (prior * toxic + (1 - prior) * clean + 1e-9)
-    return posterior, {"accuracy": accuracy, "correlation": covariance / np.outer(scale, scale), "weights": weights}
+    accuracy = prior * toxic / (prior * toxic + (1 - prior) * clean)
+    return posterior, {"accuracy": accuracy, "correlation": correlation, "weights": weights}
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 40) -> np.ndarray:
