@@ -3,7 +3,11 @@
 A byte-pair vocabulary packs what people write into few tokens and random strings into many. A run of key
 characters with few characters per token is therefore taken for a secret, unless it is a known
 digest (hexadecimal of a hash's length), a UUID, a number, or an identifier built of words. Added spans never
-overlap spans of the stated patterns, and those always stay.
+overlap spans of the stated patterns, and those always stay; what they leave of a run is tested as a run.
+
+A run that is no secret as a whole is tested again between its words, then piece by piece between ``/ _ -``, so a
+key behind a wordy path or name is found. Letters alone are also held against the letter pairs of the
+vocabulary's own tokens: words follow them, random letters do not.
 
 Defined results: a null text counts as empty and has no spans; spans are code points of the whole text, end
 exclusive, ordered by start and then by kind; every row gives one row, repeated ones and those
@@ -13,7 +17,9 @@ without ``doc_id`` included; an empty table gives no rows. Other columns are not
 from __future__ import annotations
 
 import base64
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -38,6 +44,11 @@ DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
 WORDY = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4}|[/_-]+)+\Z")
 #: At most so many characters a token; letters alone need a lower ratio, as rare words come close.
 RANDOM_RATIO, LETTERS_RATIO = 1.9, 1.5
+#: Letters alone above that ratio: at most so many characters a token, and bits a letter pair gains over even chance.
+PAIRS_RATIO, PAIRS_GAIN = 2.6, 0.0
+LEAST = 20
+SEPARATORS = re.compile(r"[/_-]+")
+EMBEDDED_UUID = re.compile(rf"(?<![0-9A-Za-z]){UUID.pattern}(?![0-9A-Za-z])")
 
 
 class Scanner:
@@ -47,6 +58,7 @@ class Scanner:
         with open(ranks_file, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.gains = _pair_gains(ranks)
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         found = []
@@ -58,11 +70,47 @@ class Scanner:
         found += [("hex", *m.span()) for m in HEX.finditer(text)]
         taken = list(found)
         for m in RUN.finditer(text):
-            start, end = m.span()
-            if self.looks_random(m[0]) and not any(s < end and start < e for _, s, e in taken):
-                found.append(("random", start, end))
+            for start, end in _without(*m.span(), taken):
+                found += [("random", a, b) for a, b in self.random_parts(text, start, end)]
         return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
+    def random_parts(self, text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+        """The run if it looks random, or its stretches between words that do, or their pieces."""
+        if self.looks_random(text[start:end]):
+            yield start, end
+            return
+        for low, high in self._between_words(text, start, end):
+            if (low, high) != (start, end) and self.looks_random(text[low:high]):
+                yield low, high
+                continue
+            for a, b in _pieces(text, low, high):
+                if b - a >= LEAST and (a, b) != (low, high) and self.looks_random(text[a:b]):
+                    yield a, b
+
+    def _between_words(self, text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+        uuids = [("uuid", *m.span()) for m in EMBEDDED_UUID.finditer(text, start, end)]
+        for low, high in _without(start, end, uuids):
+            first = last = None
+            for a, b in _pieces(text, low, high):
+                if self._is_word(text[a:b]):
+                    if first is not None and last - first >= LEAST:
+                        yield first, last
+                    first = None
+                else:
+                    first, last = a if first is None else first, b
+            if first is not None and last - first >= LEAST:
+                yield first, last
+
+    def _is_word(self, piece: str) -> bool:
+        """Four letters or more, cased as words are, with the letter pairs of words."""
+        if len(piece) < 4 or not piece.isalpha() or not WORDY.match(piece):
+            return False
+        return self.pair_gain(piece) > PAIRS_GAIN
+
+    def pair_gain(self, letters: str) -> float:
+        low = letters.lower()
+        return sum(self.gains.get(low[i : i + 2], 0.0) for i in range(len(low) - 1)) / max(1, len(low) - 1)
+
     def looks_random(self, run: str) -> bool:
         body = run.rstrip("=")
         if body.isdigit() or UUID.fullmatch(body) or (len(body) in DIGEST_LENGTHS and DIGEST.match(body)):
@@ -72,10 +120,43 @@ class Scanner:
             return False
         ratio = len(run) / len(self.encoding.encode_ordinary(run))
         if letters:
-            return ratio <= LETTERS_RATIO
+            return ratio <= LETTERS_RATIO or (ratio <= PAIRS_RATIO and self.pair_gain(body) <= PAIRS_GAIN)
         return ratio <= RANDOM_RATIO and not (ratio > LETTERS_RATIO and WORDY.match(body))
 
 
+def _without(start: int, end: int, taken: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
+    """What the taken spans leave of a run; all of it if none overlaps, else what is long enough."""
+    cuts = sorted((s, e) for _, s, e in taken if s < end and start < e)
+    for s, e in [*cuts, (end, end)]:
+        if s - start >= LEAST:
+            yield start, s
+        start = max(start, e)
+
+
+def _pieces(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """The non-empty pieces between separators."""
+    for m in SEPARATORS.finditer(text, start, end):
+        if m.start() > start:
+            yield start, m.start()
+        start = m.end()
+    if start < end:
+        yield start, end
+
+
+def _pair_gains(ranks: dict[bytes, int]) -> dict[str, float]:
+    """Bits that each letter pair of the vocabulary's tokens has over even chance of the second letter."""
+    pairs = Counter()
+    for token in ranks:
+        letters = token.strip().lower()
+        if len(letters) > 2 and letters.isalpha():
+            word = letters.decode("ascii")
+            pairs.update(map("".join, zip(word, word[1:], strict=False)))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return {
+        a + b: math.log2(26 * (pairs[a + b] + 1) / (sum(pairs[a + c] for c in letters) + 26)) for a in letters for b in letters
+    }
+
+
 def _scanner(ranks_file: str, pattern: str) -> Scanner:
     held = process_memory("secret scanners")
     if ranks_file not in held:
