@@ -87,3 +87,14 @@ def test_odd_tables(spark, odd_docs, no_docs, monkeypatch, block):
     assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(map(str, [2, 3, 4, None, None, 8, 9]))
     assert find_leaks(no_docs, bench).collect() == find_leaks(odd_docs, bench.limit(0)).collect() == []
     assert odd_docs.where(~is_leaked(bench.limit(0))).count() == odd_docs.count()
+
+
+@pytest.mark.parametrize(("size", "rate", "least"), [(60, 0, 1.0), (100, 0, 1.0), (150, 0, 1.0), (100, 0.05, 0.95), (150, 0.08, 0.95)])
+def test_recall_in_text_without_blanks(size, rate, least):
+    rng = random.Random(size)
+    text = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(n))
+    texts = [text(size) for _ in range(100)]
+    docs = [text(5 + i) + edited(rng, t, int(rate * size)) + text(100) for i, t in enumerate(texts)]
+    found = [[leak[0] for leak in leaks] for leaks in Items(list(enumerate(texts)), 0.1).leaks(docs)]
+    assert sum(f == [i] for i, f in enumerate(found)) >= least * len(docs)
+    assert all(f in ([], [i]) for i, f in enumerate(found))

@@ -6,7 +6,8 @@ edit, so their outputs have a small Hamming distance, and a few sampled position
 agree with good chance. Each repetition has its own random bits and its own sample of positions.
 
 Every word of an item begins a window over the rest of the item, and every word of a document one over the text
-that follows. Windows that agree in all samples of a repetition are candidates; the item's place in the document
+that follows. Where ``UNBROKEN`` characters have had no blank, as in Chinese or long addresses, every
+further character of a document begins one, and every ``ITEM_STEP``-th of an item. Windows that agree in all samples of a repetition are candidates; the item's place in the document
 follows from the two offsets, and the item-sized stretch there is compared by exact edit
 distance, unless it has fewer of the item's four-letter pieces than the allowed edits must leave. Samples are taken in the order of the walk, and a document window is given up at the first
 sample that no item window has, so most cost a few steps.
@@ -41,6 +42,8 @@ SPAN = 48
 EARLY, LATE = 6, 10
 EARLY_STEPS = 12
 FILTER_BITS = 18
+#: Characters without a blank after which windows begin inside, and the step of these in items.
+UNBROKEN, ITEM_STEP = 12, 2
 BLOCK_CHARS = 8 << 20
 #: Word starts that walk together, and characters of text held as an array.
 WALKERS, CHUNK = 1 << 16, 1 << 20
@@ -114,7 +117,7 @@ class Items:
         size = 0
         for i in long:
             own = _codes(self.texts[i])
-            begins = _word_starts(own)
+            begins = _window_starts(own, ITEM_STEP)
             codes += [own, np.zeros(SPAN + 1, np.uint8)]
             starts.append(begins + size)
             owner.append(np.full(len(begins), i))
@@ -176,7 +179,7 @@ class Items:
     def _leaks(self, texts: list[str]) -> Iterator[list[tuple]]:
         codes = np.concatenate([a for t in texts for a in (_codes(t), np.zeros(1, np.uint8))] + [np.zeros(SPAN + 1, np.uint8)])
         begins = np.cumsum([0] + [len(t) + 1 for t in texts])
-        starts = _word_starts(codes)
+        starts = _window_starts(codes)
         found = [self.candidates(codes, starts[i : i + WALKERS]) for i in range(0, len(starts), WALKERS)]
         hits = np.concatenate(found) if found else np.empty((0, 3), np.int64)
         text_of_hit = np.searchsorted(begins, hits[:, 0], "right") - 1
@@ -230,9 +233,13 @@ def _grams(codes: np.ndarray) -> np.ndarray:
     return c[:-3] << 24 | c[1:-2] << 16 | c[2:-1] << 8 | c[3:] if len(c) >= 4 else c[:0]
 
 
-def _word_starts(codes: np.ndarray) -> np.ndarray:
+def _window_starts(codes: np.ndarray, step: int = 1) -> np.ndarray:
+    """Starts of words, and every ``step``-th place ``UNBROKEN`` characters or more after the last one."""
     inside = (codes != 32) & (codes != 0)
-    return np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
+    first = inside & ~np.concatenate(([False], inside[:-1]))
+    places = np.arange(len(codes))
+    depth = places - np.maximum.accumulate(np.where(first, places, 0))
+    return np.flatnonzero(first | inside & (depth >= UNBROKEN) & (depth % step == 0))
 
 
 def _bits(keys: np.ndarray) -> np.ndarray:
