@@ -98,3 +98,41 @@ def test_recall_in_text_without_blanks(size, rate, least):
     found = [[leak[0] for leak in leaks] for leaks in Items(list(enumerate(texts)), 0.1).leaks(docs)]
     assert sum(f == [i] for i, f in enumerate(found)) >= least * len(docs)
     assert all(f in ([], [i]) for i, f in enumerate(found))
+
+
+def best_bounded(item, text, limit):
+    found = [
+        edits
+        for a in range(len(text))
+        if not decontaminate._inside_word(text, a)
+        for n, edits in enumerate(edit_table(item, text[a : a + len(item) + limit], False))
+        if n and edits <= limit and not decontaminate._inside_word(text, a + n)
+    ]
+    return min(found, default=None)
+
+
+def test_edited_copies_of_short_items():
+    rng = random.Random(2)
+    texts = [prose(rng, 12)[:n].strip() for n in range(10, 48) for _ in range(2)]
+    items = Items(list(enumerate(texts)), 0.1)
+    docs = [prose(rng, 5) + " " + edited(rng, t, int(0.1 * len(t))) + " " + prose(rng, 5) for t in texts]
+    for i, leaks in enumerate(items.leaks(docs)):
+        got = {leak[0]: leak[1] for leak in leaks}
+        assert got.get(i) == best_bounded(texts[i], normal(docs[i]), items.limits[i])
+
+
+@pytest.mark.parametrize(
+    ("item", "text", "edits"),
+    [
+        ("which city is the capital", "so which  city is the capital, then", 1),
+        ("which city is the capital", "so which city is the capitals", 1),
+        ("the tree", "see the trees", None),
+        ("法国的首都是哪一座城市", "请问法国的首都是哪一座城市呢", 0),
+        ("法国的首都是哪一座城市", "请问法国的首都在哪一座城市呢", 1),
+        ("capital of france", "答えはcapital of franceです", 0),
+        ("法国首都", "请问法国首都呢", 0),
+    ],
+)
+def test_short_items(item, text, edits):
+    (leaks,) = Items([(1, item)], 0.1).leaks([text])
+    assert [leak[1] for leak in leaks] == ([] if edits is None else [edits])

@@ -13,8 +13,11 @@ distance, unless it has fewer of the item's four-letter pieces than the allowed
 sample that no item window has, so most cost a few steps.
 
 An item with up to ``max_edits`` of its length in edits has stretches without an edit, and many windows that
-begin in them; the tests measure the recall on edited copies. Exact copies are found always. Items shorter than
-``SPAN`` characters have no such window and are searched for as they are, exactly, between word ends.
+begin in them; the tests measure the recall on edited and exact copies. Items shorter than ``SPAN`` characters
+are cut in one piece more than the edits allowed: a copy holds one of the pieces unchanged, so every copy within
+``max_edits`` is found by the pieces and the same exact edit distance. Such a copy runs from word end to word end;
+scripts without blanks have an end everywhere. Items too short for an edit (below 10 characters at 0.1) are
+searched for as they are.
 
 Items are the query set: they travel to the tasks in blocks of ``BLOCK_CHARS`` characters at most
 (or of one item), each block against all documents.
@@ -45,9 +48,14 @@ FILTER_BITS = 18
 #: Characters without a blank after which windows begin inside, and the step of these in items.
 UNBROKEN, ITEM_STEP = 12, 2
 BLOCK_CHARS = 8 << 20
+#: Letters by which the pieces of short items are looked up; shorter pieces are searched one by one.
+PIECE = 5
 #: Word starts that walk together, and characters of text held as an array.
 WALKERS, CHUNK = 1 << 16, 1 << 20
 SPACE = re.compile(r"\s")
+#: A sign of a word in a script that puts blanks between words: not Thai to Khmer, nor Chinese and Japanese.
+SPACED = "[^\\W\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]"
+IN_WORD = re.compile(SPACED)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LEAKS = "item_id long, edits int, item_chars int, start long, end long"
 
@@ -112,6 +120,7 @@ class Items:
         ]
         long = [i for i, t in enumerate(self.texts) if len(t) >= SPAN]
         self.short = [i for i, t in enumerate(self.texts) if 0 < len(t) < SPAN]
+        self._index_pieces()
         self.windows = []  # per repetition: sorted keys, item, offset, and a bit table per sample from the last early one on
         codes, starts, owner, offset, room = [], [], [], [], []
         size = 0
@@ -134,6 +143,69 @@ class Items:
             order = np.argsort(keys[-1][inside], kind="stable")
             self.windows.append((keys[-1][inside][order], own[inside][order], off[inside][order], tables))
 
+    def _index_pieces(self) -> None:
+        """Pieces of the short items by their first letters, and patterns of those that are too short for an edit."""
+        self.whole, found = [], []
+        for i in self.short:
+            item, parts = self.texts[i], self.limits[i] + 1
+            cuts = [len(item) * p // parts for p in range(parts + 1)]
+            if parts == 1:
+                before = rf"(?<!{SPACED})" if IN_WORD.match(item[0]) else ""
+                after = rf"(?!{SPACED})" if IN_WORD.match(item[-1]) else ""
+                self.whole.append((i, re.compile(before + re.escape(item) + after)))
+            else:
+                found += [(i, a, item[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        self.tiny = [f for f in found if len(f[2]) < PIECE]
+        found = [f for f in found if len(f[2]) >= PIECE]
+        keys = np.concatenate([_piece_keys(_codes(p))[:1] for _, _, p in found] + [np.empty(0, np.uint64)])
+        order = np.argsort(keys, kind="stable")
+        self.pieces, self.piece_keys, self.piece_bits = [found[o] for o in order], keys[order], _bits(keys)
+
+    def _short_leaks(self, text: str, codes: np.ndarray) -> dict[int, tuple]:
+        """Edits, start and end of the best copy of each short item."""
+        best: dict[int, tuple] = {}
+        for i, pattern in self.whole:
+            if m := pattern.search(text):
+                best[i] = (0, *m.span())
+        tried = set()
+        for i, begin in self._piece_hits(text, codes):
+            if (i, begin) in tried or best.get(i, (1,))[0] == 0:
+                continue
+            tried.add((i, begin))
+            got = self._bounded(i, text, begin)
+            if got and (i not in best or got < best[i]):
+                best[i] = got
+        return best
+
+    def _piece_hits(self, text: str, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Short items and where they would begin, for every place of one of their pieces."""
+        for i, a, piece in self.tiny:
+            at = text.find(piece)
+            while at >= 0:
+                yield i, at - a
+                at = text.find(piece, at + 1)
+        if not self.pieces:
+            return
+        keys = _piece_keys(codes)
+        places = np.flatnonzero(self.piece_bits[keys >> np.uint64(64 - FILTER_BITS)])
+        first, last = (np.searchsorted(self.piece_keys, keys[places], side) for side in ("left", "right"))
+        some = np.flatnonzero(last > first)
+        for place, low, high in zip(places[some].tolist(), first[some].tolist(), last[some].tolist(), strict=True):
+            for i, a, piece in self.pieces[low:high]:
+                if text.startswith(piece, place):
+                    yield i, place - a
+
+    def _bounded(self, i: int, text: str, begin: int) -> tuple[int, int, int] | None:
+        """The nearest stretch from word end to word end that begins within the allowed edits of ``begin``."""
+        item, limit, best = self.texts[i], self.limits[i], None
+        for a in range(max(0, begin - limit), min(len(text), begin + limit + 1)):
+            if _inside_word(text, a):
+                continue
+            for n, edits in enumerate(distances(item, text[a : a + len(item) + limit], False)):
+                if n and edits <= limit and (best is None or edits < best[0]) and not _inside_word(text, a + n):
+                    best = (edits, a, a + n)
+        return best
+
     def _walk(self, r: int, codes: np.ndarray, at: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """Keys after each sample, and characters used, of walks from all places."""
         place, key, keys = at.copy(), np.zeros(len(at), np.uint64), []
@@ -196,9 +268,8 @@ class Items:
                 got = nearest(self.texts[i], text[low:high], self.limits[i])
                 if got and (i not in best or got[0] < best[i][0]):
                     best[i] = (got[0], low + got[1], low + got[2])
-            for i in self.short:
-                if m := re.search(rf"(?<!\w){re.escape(self.texts[i])}(?!\w)", text):
-                    best[i] = (0, *m.span())
+            if self.short:
+                best |= self._short_leaks(text, codes[begins[t] : begins[t] + len(text)])
             yield [(self.ids[i], e, len(self.texts[i]), a, b) for i, (e, a, b) in sorted(best.items())]
 
 
@@ -223,6 +294,18 @@ class Items:
             yield last
 
 
+def _inside_word(text: str, at: int) -> bool:
+    return 0 < at < len(text) and bool(IN_WORD.match(text[at - 1]) and IN_WORD.match(text[at]))
+
+
+def _piece_keys(codes: np.ndarray) -> np.ndarray:
+    """A key of the ``PIECE`` letters from each place on."""
+    keys = np.zeros(max(0, len(codes) - PIECE + 1), np.uint64)
+    for j in range(PIECE):
+        keys = (keys + codes[j : j + len(keys)] + np.uint64(1)) * BASE
+    return keys
+
+
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint8)
 
