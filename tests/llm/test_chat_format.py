@@ -81,3 +81,27 @@ def test_query_reads_back_every_conversation(spark):
     said = r"\### Assistant: </turn> ok"
     rows += [(-7, 0, "user", said), (-7, 1, "assistant", said)]
     assert got(op3_chat_format(spark, sf)) == want(rows)
+
+
+def test_long_conversations_are_rendered_as_true_prefixes(spark):
+    def first_message(turns):
+        """Begins with a sign, wants a user first and numbers the turns."""
+        if turns and turns[0][0] != "user":
+            raise ValueError("the first turn is the user's")
+        return "<s>" + "".join(f"[{i} {r}]{t}." for i, (r, t) in enumerate(turns))
+
+    def late_rewrite(turns):
+        """The first text is cut short once there are 30 turns."""
+        return "".join(f"[{r}]{t[:2] if i == 0 and len(turns) >= 30 else t}." for i, (r, t) in enumerate(turns))
+
+    rows = [(1, i, ("user", "assistant")[i % 2], f"turn {i}") for i in range(40)]
+    turns = [r[2:] for r in rows]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = format_chats(df, first_message).orderBy("place").collect()
+    assert "<s>" + "".join(r["piece"] for r in made) == first_message(turns)
+    for n, r in enumerate(made):
+        assert (r["start"], r["end"]) == (len(first_message(turns[:n])), len(first_message(turns[: n + 1])))
+        if n % 2:
+            assert r["piece"][r["loss_start"] : r["loss_end"]] == turns[n][1]
+    rewritten = [r["rewrites"] for r in format_chats(df, late_rewrite).orderBy("place").collect()]
+    assert rewritten == [n == 29 for n in range(40)]

@@ -9,10 +9,11 @@ the template's own marks needs to be known.
 Control strings inside texts are escaped before rendering and unescaped on reading back, so no text can
 open or close a turn.
 
-Prefixes are rendered over a window of the last ``window`` turns: cost and memory per turn stay bounded in
-conversations of any length, and those up to the window are rendered whole. Conversations are
-streamed turn by turn in order; one conversation stays in one task, because its digests
-are sequential, but never in memory as a whole.
+Prefixes are true prefixes of the conversation, so the first message, turn numbers and late rewrites count at any
+length; one conversation is then held by its task and rendered once more per turn. Only a template declared
+``local`` (a turn's piece depends on that turn alone) is rendered over a window of the last turns: cost and memory
+per turn stay bounded. Conversations are streamed turn by turn in order; one conversation stays in one
+task, because its digests are sequential.
 
 Defined results: null role and null text count as empty. Rows of a conversation go by turn, null turns first,
 equal turns by role and text. Rows with null ``conv_id`` form one conversation.
@@ -56,6 +57,9 @@ def marked_turns(turns: list[Turn]) -> str:
     return "".join(f"{OPEN}{role}{COLON}{text}{CLOSE}" for role, text in turns)
 
 
+marked_turns.local = True
+
+
 def read_turn(piece: str) -> Turn:
     """Role and text of one turn as ``marked_turns`` wrote it."""
     body = piece.removeprefix(OPEN).removesuffix(CLOSE)
@@ -66,7 +70,7 @@ def read_turn(piece: str) -> Turn:
 class Incremental:
     """Renders a conversation turn by turn and tells where each turn and its text came to lie."""
 
-    def __init__(self, render: Callable[[list[Turn]], str], window: int = WINDOW):
+    def __init__(self, render: Callable[[list[Turn]], str], window: int | None = None):
         self.render, self.window = render, window
         self.recent: list[Turn] = []
         self.before = render([])
@@ -74,7 +78,7 @@ class Incremental:
 
     def add(self, role: str, text: str) -> tuple[str, int, int, int, bool, bool]:
         """Piece, start in the output, place of the text in the piece, its length, rewritten, verbatim."""
-        if len(self.recent) >= self.window:
+        if self.window and len(self.recent) >= self.window:
             self.recent = self.recent[-(self.window // 2) :]
             self.before = self.render(self.recent)
         now = self.render([*self.recent, (role, text)])
@@ -106,13 +110,16 @@ def format_chats(
     conversations: DataFrame,
     render: Callable[[list[Turn]], str] = marked_turns,
     learn_role: str = "assistant",
-    window: int = WINDOW,
+    window: int | None = None,
 ) -> DataFrame:
     """A row per turn: its piece of the formatted conversation, span, the loss span inside the piece, and flags.
 
     ``start`` and ``end`` are code points of the conversation's output; the pieces of a conversation, in
     the order of ``place``, are the output. ``loss_start`` and ``loss_end`` are set for turns of ``learn_role``.
+    ``window`` is for templates that look at no more than a turn; without it those declared ``local`` have ``WINDOW``.
     """
+    if window is None and getattr(render, "local", False):
+        window = WINDOW
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, state, place = None, None, 0
