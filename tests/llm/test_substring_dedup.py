@@ -1,0 +1,109 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tidemill.llm.substring_dedup import Groups, _bins, substring_dedup
+from tidemill.llm.words import prefix_hashes, word_hashes
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(rows, width=13):
+    split = [(i, WORD.findall(t or "")) for i, t, *_ in rows]
+    least = {}
+    for i, words in split:
+        if i is not None:
+            for k in range(len(words) - width + 1):
+                w = tuple(words[k : k + width])
+                least[w] = min(i, least.get(w, i))
+    out = []
+    for i, words in split:
+        gone = set()
+        for k in range(len(words) - width + 1):
+            if i is not None and least[tuple(words[k : k + width])] < i:
+                gone.update(range(k, k + width))
+        out.append((i, len(words), len(gone), " ".join(w for k, w in enumerate(words) if k not in gone)))
+    return sorted(out, key=repr)
+
+
+def result(spark, docs, **options):
+    done = substring_dedup(spark, docs, **options)
+    return sorted((tuple(r) for r in done.select("doc_id", "n_words", "n_removed", "kept_text").collect()), key=repr)
+
+
+def corpus(n=120, seed=3):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(40)]
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = []
+    for i in range(n):
+        parts = [" ".join(rng.choices(words, k=rng.randint(0, 40)))]
+        if rng.random() < 0.35:  # a passage that a third of all documents hold
+            parts.insert(rng.randint(0, 1), passage)
+        if rng.random() < 0.2:
+            parts.append("the " * rng.randint(10, 80))
+        if rng.random() < 0.2 and rows:
+            parts.append(rng.choice(rows)[1])
+        rows.append((rng.randint(0, 100), " \n".join(parts), "en", "s"))
+    return rows
+
+
+@pytest.mark.parametrize("group_size", [None, 20, 1000])
+def test_equals_brute_force(spark, group_size):
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    assert result(spark, docs, group_size=group_size) == brute(rows)
+
+
+def test_other_width(spark):
+    rows = corpus(40, 5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for width in (1, 2, 8):
+        assert result(spark, docs, width=width) == brute(rows, width)
+
+
+def test_odd_rows(spark, odd_rows, odd_docs, no_docs):
+    assert result(spark, odd_docs) == brute(odd_rows)
+    assert result(spark, no_docs) == []
+
+
+def test_shared_ids(spark):
+    same, other = " ".join(map(str, range(20))), " ".join(map(str, range(100, 120)))
+    rows = [(3, same), (3, same), (3, other + " " + same), (2, other), (None, same), (2**60 + 1, same)]
+    assert result(spark, spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_spans_are_the_repeats(spark):
+    shared = " ".join(f"s{i}" for i in range(55))
+    rows = [(1, f"a b {shared} c"), (2, f"x y z {shared} d e")]
+    done = substring_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id = 2").first()
+    assert done["spans"] == [[3, 58]] and done["kept_text"] == "x y z d e"
+
+
+def test_a_text_beyond_one_chunk():
+    text = ("naïve words\tof many lengths " * 60_000).encode()
+    whole, counts = word_hashes([text, b"", b" \n", b"of"])
+    assert counts.tolist() == [300_000, 0, 0, 1]
+    assert len(np.unique(whole)) == 5 and whole[-1] == whole[2]
+
+
+def test_prefix_hashes_name_word_sequences():
+    words, _ = word_hashes([b"a b c d e f g a b c d e x a b c d e f"])
+    full = prefix_hashes(words, 6)
+    assert full[6][0] == full[6][13] != full[6][7]
+    assert full[4][0] == full[4][7] == full[4][13]
+    assert prefix_hashes(words, 20) == {}
+
+
+def test_groups_are_bounded_by_the_count():
+    rng = np.random.default_rng(1)
+    words = rng.choice(30, 40_000, p=[0.4] + [0.6 / 29] * 29).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    hashes = prefix_hashes(words, 13)
+    counts = {size: np.bincount(_bins(h, 1024), minlength=1024) for size, h in hashes.items()}
+    groups = Groups(counts, 1500)
+    sizes = np.bincount(groups.of(hashes, 13), minlength=groups.count)
+    assert sizes.sum() == len(hashes[13]) and sizes.max() <= 2 * 1500
+    twice = groups.of({size: np.concatenate([h[:50], h[:50]]) for size, h in hashes.items()}, 13)
+    assert (twice[:50] == twice[50:]).all()

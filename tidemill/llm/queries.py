@@ -10,6 +10,7 @@ from tidemill.llm import (
     mixing,
     near_dedup,
     secret_scan,
+    substring_dedup,
     token_counts,
     token_output,
     toxicity,
@@ -26,6 +27,7 @@ _PARTS = (
     mixing,
     token_output,
     toxicity,
+    substring_dedup,
 )
 
 
