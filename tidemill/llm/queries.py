@@ -6,9 +6,11 @@ from tidemill.llm import (
     chat_format,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     language_id,
     mixing,
     near_dedup,
+    periodic_runs,
     secret_scan,
     substring_dedup,
     token_counts,
@@ -28,6 +30,8 @@ _PARTS = (
     token_output,
     toxicity,
     substring_dedup,
+    periodic_runs,
+    hard_negatives,
 )
 
 
