@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
@@ -88,3 +89,52 @@ def test_odd_documents(spark, odd_docs, odd_rows, no_docs):
         start += len(ids)
     assert got == want
     assert token_output(spark, no_docs, FILE).collect() == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aBK\u212aJ\u030c\u0307İ'st-_9$ \n\x00\x7f€é", max_size=12), max_size=6))
+def test_texts_of_a_chunk_keep_apart(texts):
+    assert [np.frombuffer(raw, ENCODER.width).tolist() for raw in ENCODER.encode(texts)] == [ids_of(t) for t in texts]
+
+
+def test_full_memory_changes_no_ids(monkeypatch):
+    texts = [f"Word{i}x, word{i % 7} it's été{i} {i}.5" for i in range(400)] * 2
+    monkeypatch.setattr(PieceEncoder, "HELD_BYTES", 2000)
+    monkeypatch.setattr(PieceEncoder, "CHUNK", 1000)
+    small = PieceEncoder(FILE)
+    assert [np.frombuffer(raw, small.width).tolist() for raw in small.encode(texts)] == [ids_of(t) for t in texts]
+    assert 16 * len(small.hashes) + 2 * small.held <= 2000
+
+
+def test_rows_without_id_or_of_one_id_make_many_shards(spark, tmp_path):
+    rows = [(None, f"none {i}") for i in range(900)] + [(7, f"seven {i} " * (i % 5)) for i in range(900)] + [(9, "last")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    path = str(tmp_path / "shards")
+    write_shards(docs, path, FILE, shard_bytes=1500)
+    places = scan_shards(spark, path).orderBy("shard", "offset").collect()
+    assert len(places) == len(rows) and len({r["shard"] for r in places}) > 10
+    assert [r["doc_id"] for r in places] == [None] * 900 + [7] * 900 + [9]
+    assert [r["flags"] for r in places] == [1] * 900 + [0] + [2] * 899 + [0]
+
+
+def test_files_of_few_records_keep_the_order(spark, monkeypatch, tmp_path):
+    from tidemill.llm import token_output as module
+
+    monkeypatch.setattr(module, "RECORDS_PER_FILE", 10)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(95)], "doc_id long, text string").repartition(4)
+    done = token_output(spark, docs, FILE).orderBy("start").collect()
+    assert [r["doc_id"] for r in done] == list(range(95))
+    assert [r["start"] for r in done] == [0, *np.cumsum([r["n_tokens"] for r in done])[:-1].tolist()]
+
+
+def test_query_equals_the_library(spark):
+    from tidemill.llm.token_output import op9_token_output
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit(""))).collect()
+    start, want = 0, []
+    for doc_id, text in sorted(docs):
+        ids = [*ids_of(text), 2]
+        want.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, op9_token_output(spark, sf_dir).collect())) == want

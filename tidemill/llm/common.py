@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -21,6 +23,21 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Inside, a finished write drops its shuffle files at once, and not when the driver's garbage happens to be collected.
+
+    For frames that are executed once: a second execution would shuffle anew.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """``df`` written below the shared folder and read back: the plan ends there, and lost executors lose nothing."""
     path = scratch_dir(spark, label) + "/data"
@@ -29,8 +46,10 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 
 def process_memory(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, whatever task runs in it."""
+    """A dictionary that outlives a task in its Python worker, until another operator's task runs there."""
     held = vars(sys).setdefault("_tidemill_llm", {})
+    if name not in held:
+        held.clear()
     return held.setdefault(name, {})
 
 

@@ -1,8 +1,9 @@
 """Token ids as raw binary shards, with a minimal perfect hash index from document key to place.
 
-Shards. Documents are range-partitioned by ``doc_id`` and encoded in order; each partition
-becomes one shard file, written by Spark's own committer, so a lost executor or a repeated task
-leaves nothing half done and any file system that Spark writes to will do. A record is
+Shards. Documents are encoded where they lie; their ids are dealt out by ranges of ``doc_id`` that hold about
+``SHARD_BYTES`` of text each (ranges of length and hash too, where rows have no id or share one), and sorted. Each range
+becomes one shard file, or several of ``RECORDS_PER_FILE`` records, written by Spark's own committer, so a lost executor or a
+repeated task leaves nothing half done and any file system that Spark writes to will do. A record is
 
     doc_id int64, flags uint8, ids uint32, then the ids themselves, then one line end (0x0A)
 
@@ -27,18 +28,21 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemill.llm.common import process_memory, stored, table, text_of
+from tidemill.llm.common import process_memory, shuffles_released, stored, table, text_of
+from tidemill.llm.words import span_hashes
 from tidemill.storage import scratch_dir
 
-#: Pieces, and words, whose ids a worker remembers; the first met stay.
-REMEMBERED = 500_000
 PER_BUCKET = 2048
 SHARD_BYTES = 16 << 20
+#: Bytes of ids that a task gives out at once, and records of a file: a shard of more goes on in another file.
+AT_ONCE, RECORDS_PER_FILE = 4 << 20, 1 << 16
+ORDER = ("absent", "key", "chars", "mark")
 HEADER = "<qBI"
 HEADER_SIZE = struct.calcsize(HEADER)
 NO_KEY, REPEATED = 1, 2
@@ -46,17 +50,28 @@ PLACES = "doc_id long, flags int, shard long, offset long, n_tokens long, before
 
 
 class PieceEncoder:
-    """Ids of whole texts as the tokenizer gives them, remembering the ids of each piece between blanks.
-
-    A piece between ASCII blanks is encoded alone, as no token of these tokenizers reaches over a blank; and a piece
-    that is a Latin word before common punctuation is the lower-case word and the punctuation. Words are encoded
-    many in one string, where the vocabulary's word ends part them. ``apart`` says whether a
-    tokenizer file works that way; with others, texts are encoded as they are.
+    """Ids of whole texts as the tokenizer gives them, each word encoded once and then remembered.
+
+    No token of these tokenizers reaches over a blank, nor from letters to digits or signs, so texts are cut there:
+    pieces between blanks (space, tab, line ends), and pieces of ASCII alone once more where the kind of sign changes,
+    in lower case. What is left whole, and texts with special strings, goes to the library as it is. Words are found by 64-bit hashes
+    of their bytes, a chunk of text at once; the ids of ``HELD_BYTES`` worth of words are remembered, the first met. Beyond
+    that a new word is encoded again in every chunk that has it. ``apart`` says whether a tokenizer file works that
+    way; with others, texts are encoded as they are.
     """
 
     TAIL = ".,;:!?"
-    #: Characters of text that are split at once, and words that are encoded as one string.
-    CHUNK, WORDS = 1 << 20, 500
+    #: Bytes of text that are split at once, words that are encoded as one string, and bytes of words remembered.
+    CHUNK, WORDS, HELD_BYTES = 1 << 20, 500, 32 << 20
+    #: Kinds of bytes: blank, letter, digit, sign, and what keeps a piece whole (apostrophes, controls, beyond ASCII).
+    KINDS = np.array(
+        [
+            0 if b in b" \t\n\r" else 4 if b < 33 or b > 126 or b == 39 else 1 if chr(b).isalpha() else 2 if chr(b).isdigit() else 3
+            for b in range(256)
+        ],
+        np.uint8,
+    )
+    LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
@@ -65,79 +80,125 @@ class PieceEncoder:
         size = self.tokenizer.get_vocab_size()
         self.width = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.apart = self._works_apart()
-        self.ids: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.hashes = np.zeros(0, np.uint64)
+        self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.ids, self.held = np.zeros(1 << 16, self.width), 0
 
     def _works_apart(self) -> bool:
-        probe = ["a", "it's", "1,2", "Word.", "word", "."]
+        probe = ["a", "it's", "1", ",", "2", "word", ".", "word", ".", "x", "-", "9", "9"]
         one = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
-        whole = one("  a\n it's\t\r1,2 Word. word\n.")
-        return whole == [i for p in probe for i in one(p)] and one("Word.") == one("word") + one(".")
+        return one("  a\n it's\t\r1,2 Word. word\n. X-99") == [i for p in probe for i in one(p)]
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
+    def _encode(self, pieces: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, self.width).tobytes() for e in found]
+        return [np.array(e.ids, self.width) for e in found]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
+    def _encode_words(self, words: list[str]) -> list[np.ndarray]:
         out = []
         for i in range(0, len(words), self.WORDS):
             some = words[i : i + self.WORDS]
-            (whole,) = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
-            ids = np.array(whole.ids, self.width)
-            cuts = ((np.flatnonzero(self.ends_word[ids]) + 1) * self.width.itemsize).tolist()
-            if len(cuts) == len(some):
-                raw = ids.tobytes()
-                out += [raw[x:y] for x, y in zip([0, *cuts], cuts)]  # noqa: B905
-            else:
-                out += self._encode(some)
+            (whole,) = self._encode([" ".join(some)])
+            cuts = (np.flatnonzero(self.ends_word[whole]) + 1).tolist()
+            out += [whole[x:y] for x, y in zip([0, *cuts], cuts)] if len(cuts) == len(some) else self._encode(some)  # noqa: B905
         return out
 
-    def _fresh(self, pieces: set[str]) -> dict[str, bytes]:
-        """The ids of pieces that are not remembered."""
-        parted, odd = {}, []
+    def _encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
+        """Ids of pieces without blanks: words many at once, also those before common punctuation."""
+        parted, odd = [], []
         for piece in pieces:
             core = piece.rstrip(self.TAIL)
-            word = core.lower()
-            if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and word.isalpha())):
-                parted[piece] = word, piece[len(core) :]
-            else:
+            plain = core.isalpha() and (core.isascii() or (max(core) < "\u0250" and core.lower().isalpha()))
+            parted.append((core.lower(), piece[len(core) :]) if plain else None)
+            if not plain:
                 odd.append(piece)
-        words, known = {word for word, _ in parted.values()}, self.words
-        words.update(tail for _, tail in parted.values())
-        new = list(words.difference(known))
-        plain = [w for w in new if w.isalpha()]
-        others = [w for w in new if not w.isalpha()]
-        fresh = dict(zip(plain, self._encode_words(plain), strict=True)) | dict(zip(others, self._encode(others), strict=True))
-        if len(known) + len(fresh) <= REMEMBERED:
-            known.update(fresh)
-        own = fresh | {word: known[word] for word in words if word not in fresh}
-        out = {piece: own[word] + own[tail] if tail else own[word] for piece, (word, tail) in parted.items()}
-        out.update(zip(odd, self._encode(odd), strict=True))
-        return out
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        at = 0
-        while at < len(texts):
-            some, size = [], 0
-            while at < len(texts) and (not some or size + len(texts[at]) <= self.CHUNK):
-                some.append(texts[at])
-                size += len(texts[at])
-                at += 1
-            yield from self._encode_chunk(some) if self.apart else self._encode(some)
-
-    def _encode_chunk(self, texts: list[str]) -> list[bytes]:
-        parts = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
-        known, fresh = self.ids, {}
-        pieces = set().union(*parts)
-        if new := pieces.difference(known):
-            fresh = self._fresh(new)
-            if len(known) + len(fresh) <= REMEMBERED:
-                known.update(fresh)
-                fresh = {}
+        words = list({p[0] for p in parted if p})
+        tails = list({p[1] for p in parted if p and p[1]})
+        ids = dict(zip(words, self._encode_words(words), strict=True))
+        ends = dict(zip(tails, self._encode(tails), strict=True))
+        rest = iter(self._encode(odd))
+        return [next(rest) if not p else np.concatenate((ids[p[0]], ends[p[1]])) if p[1] else ids[p[0]] for p in parted]
+
+    def encode(self, texts: list[str] | list[bytes]) -> Iterator[bytes]:
+        some, size = [], 0
+        for text in texts:
+            raw = text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass")
+            if some and size + len(raw) > self.CHUNK:
+                yield from self._encode_texts(some)
+                some, size = [], 0
+            some.append(raw)
+            size += len(raw)
+        if some:
+            yield from self._encode_texts(some)
+
+    def _encode_texts(self, texts: list[bytes]) -> list[bytes]:
+        whole = [not self.apart or (b"<" in t and any(s in t.lower() for s in self.special)) for t in texts]
+        if any(whole):
+            cut = iter(self._encode_chunk([t for t, w in zip(texts, whole, strict=True) if not w]))
+            ids = iter(self._encode([t.decode("utf-8", "replace") for t, w in zip(texts, whole, strict=True) if w]))
+            return [next(ids).tobytes() if w else next(cut) for w in whole]
+        return self._encode_chunk(texts)
+
+    def _encode_chunk(self, texts: list[bytes]) -> list[bytes]:
+        joined = b"\n".join(texts) + b"\n"
+        codes, begins, ends = self._words_of(np.frombuffer(joined, np.uint8))
+        names, first, which = np.unique(span_hashes(codes, begins, ends), return_index=True, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.hashes, names), max(len(self.hashes) - 1, 0))
+        known = self.hashes[place] == names if len(self.hashes) else np.zeros(len(names), bool)
+        new = np.flatnonzero(~known)
+        raw = codes.tobytes()
+        spans = zip(begins[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+        fresh = self._encode_pieces([raw[x:y].decode("utf-8", "replace") for x, y in spans])
+        start, size = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        start[known], size[known] = self.starts[place[known]], self.sizes[place[known]]
+        size[new] = [len(ids) for ids in fresh]
+        start[new] = self.held + np.cumsum(size[new]) - size[new]
+        pool = self._pool(fresh)
+        if len(new) and 16 * (len(self.hashes) + len(new)) + self.width.itemsize * (self.held + int(size[new].sum())) <= self.HELD_BYTES:
+            at = np.searchsorted(self.hashes, names[new])
+            self.hashes = np.insert(self.hashes, at, names[new])
+            self.starts, self.sizes = np.insert(self.starts, at, start[new]), np.insert(self.sizes, at, size[new])
+            self.held += int(size[new].sum())
+        size, start = size[which], start[which]
+        until = np.cumsum(size)
+        total = int(until[-1]) if len(until) else 0
+        ids = pool[np.repeat(start - until + size, size) + np.arange(total)].tobytes()
+        text_ends = np.cumsum([len(t) + 1 for t in texts])
+        cuts = np.concatenate((np.zeros(1, np.int64), until))[np.searchsorted(begins, text_ends)] * self.width.itemsize
+        return [ids[x:y] for x, y in zip([0, *cuts.tolist()], cuts.tolist())]  # noqa: B905
+
+    def _pool(self, fresh: list[np.ndarray]) -> np.ndarray:
+        """The remembered ids, and behind them the new ones."""
         if fresh:
-            known = {p: fresh[p] if p in fresh else known[p] for p in pieces}
-        return [b"".join(map(known.__getitem__, ps)) for ps in parts]
+            more = np.concatenate(fresh)
+            if self.held + len(more) > len(self.ids):
+                self.ids = np.concatenate((self.ids[: self.held], np.zeros(self.held + 2 * len(more), self.width)))
+            self.ids[self.held : self.held + len(more)] = more
+        return self.ids
+
+    def _words_of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes, in lower case where they are cut by kind, and where words begin and end."""
+        kind = self.KINDS[codes]
+        before = np.concatenate((np.zeros(1, np.uint8), kind[:-1]))
+        blank = kind == 0
+        begin = ~blank & (before == 0)
+        cut = ~blank & (before != 0) & ((kind != before) | (kind == 2))
+        lower = self.LOWER[codes]
+        odd = np.flatnonzero(kind == 4)
+        if len(odd):
+            starts = np.flatnonzero(begin)
+            pieces = np.unique(np.searchsorted(starts, odd, "right") - 1)
+            stops = np.flatnonzero(blank & (before != 0))
+            steps = np.zeros(len(codes) + 1, np.int8)
+            steps[starts[pieces]] += 1
+            steps[stops[pieces]] -= 1
+            kept = np.cumsum(steps[:-1], dtype=np.int8).view(bool)
+            cut &= ~kept
+            lower = np.where(kept, codes, lower)
+        edges = np.flatnonzero(begin | cut | (blank & (before != 0)))
+        first = np.flatnonzero(~blank[edges])
+        return lower, edges[first], edges[first + 1]
 
 
 def _encoder(tokenizer_file: str) -> PieceEncoder:
@@ -150,33 +211,115 @@ def _encoder(tokenizer_file: str) -> PieceEncoder:
     return held[tokenizer_file]
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """Where shards begin, as sortable keys, and whether an earlier shard ends with the same ``doc_id``."""
+
+    keys: np.ndarray
+    continued: tuple[bool, ...]
+
+    def shard_of(self, keys: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.keys, keys, "right").astype(np.int32)
+
+
+def _sortable(absent: np.ndarray, key: np.ndarray, chars: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Bytes that sort as rows do: without id first, then by id, length and hash of the text."""
+    out = np.zeros((len(key), 25), np.uint8)
+    out[:, 0] = ~absent.astype(bool)
+    for i, column in enumerate((key, chars, mark)):
+        signed = column.astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+        out[:, 1 + 8 * i : 9 + 8 * i] = signed.astype(">u8").view(np.uint8).reshape(-1, 8)
+    return out.reshape(-1).view("S25")
+
+
+def shard_cuts(spark: SparkSession, texts: DataFrame, shard_bytes: int) -> Cuts:
+    """Cuts that give every shard about ``shard_bytes`` of text, also among rows without id or of one id.
+
+    Only ids, lengths and hashes travel. The driver gets one row per shard.
+    """
+    total, rows = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    if not total or total <= shard_bytes:
+        return Cuts(np.zeros(0, "S25"), (False,))
+    sizes = texts.select(*ORDER, F.octet_length("text").alias("size"))
+    spread = sizes.repartitionByRange(1 + rows // 1_000_000, *ORDER).withColumn("part", F.spark_partition_id())
+    placed = stored(spark, spread, "sizes")
+    parts = placed.groupBy("part").agg(F.sum("size").alias("bytes"))
+    begins = parts.select("part", F.coalesce(F.sum("bytes").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("begin"))
+    running = F.sum("size").over(Window.partitionBy("part").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0))
+    shard = F.floor((F.col("begin") + F.col("running") - F.col("size")) / shard_bytes)
+    numbered = placed.withColumn("running", running).join(F.broadcast(begins), "part").withColumn("shard", shard)
+    first = numbered.groupBy("shard").agg(F.min(F.struct(*ORDER)).alias("row")).select("row.*").orderBy(*ORDER)
+    cuts = stored(spark, first.distinct(), "cuts")
+    least = placed.join(F.broadcast(cuts.select("absent", "key").distinct()), ["absent", "key"], "left_semi")
+    least = {(r["absent"], r["key"]): r["row"] for r in least.groupBy("absent", "key").agg(F.min(F.struct(*ORDER)).alias("row")).collect()}
+    rows = sorted(cuts.collect(), key=lambda r: (not r["absent"], *r[1:]))[1:]
+    found = [np.array([r[i] for r in rows], bool if i == 0 else np.int64) for i in range(4)]
+    return Cuts(_sortable(*found), (False, *(tuple(least[r["absent"], r["key"]]) != tuple(r) for r in rows)))
+
+
 def write_shards(
     docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 2, shard_bytes: int = SHARD_BYTES
 ) -> None:
-    """Write all documents, in ascending ``doc_id``, as raw shards below ``path``."""
+    """Write all documents, in ascending ``doc_id``, as raw shards below ``path``. Texts are encoded where they lie; ids travel."""
+    spark, doc_id = docs.sparkSession, F.col("doc_id").cast("long")
+    texts = docs.select(
+        doc_id.isNull().alias("absent"),
+        F.coalesce(doc_id, F.lit(0)).alias("key"),
+        F.length(text_of()).cast("long").alias("chars"),
+        F.xxhash64(text_of()).alias("mark"),
+        text_of().alias("text"),
+    )
+    cuts = shard_cuts(spark, texts, shard_bytes)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, before = _encoder(tokenizer_file), None
+        encoder = _encoder(tokenizer_file)
         end = np.array([end_id], encoder.width).tobytes()
+        for batch in batches:
+            order = [batch[c].to_numpy() for c in ORDER]
+            shards = cuts.shard_of(_sortable(*order))
+            for at, ids in _bounded(encoder.encode(batch["text"].tolist())):
+                part = slice(at, at + len(ids))
+                yield pd.DataFrame(
+                    {"shard": shards[part], **dict(zip(ORDER, (c[part] for c in order), strict=True)), "ids": [raw + end for raw in ids]}
+                )
+
+    def frame(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        before, width = None, _encoder_width(tokenizer_file)
         for batch in batches:
             records = []
-            ids = encoder.encode(batch["text"].tolist())
-            for key, absent, raw in zip(batch["key"].tolist(), batch["absent"].tolist(), ids, strict=True):
-                flags = NO_KEY if absent else REPEATED if key == before else 0
-                before = before if absent else key
-                raw += end
-                records.append(struct.pack(HEADER, key, flags, len(raw) // encoder.width.itemsize) + raw)
+            for shard, absent, key, raw in zip(batch["shard"].tolist(), batch["absent"].tolist(), batch["key"].tolist(), batch["ids"], strict=True):
+                repeated = key == before[1] if before and before[0] == shard else cuts.continued[shard]
+                flags = NO_KEY if absent else REPEATED if repeated else 0
+                before = (shard, None if absent else key)
+                records.append(struct.pack(HEADER, key, flags, len(raw) // width) + raw)
             yield pd.DataFrame({"record": records})
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ordered = texts.repartitionByRange(max(1, -(-total // shard_bytes)), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), F.length("text"), "text"
+    encoded = texts.select(*ORDER, F.col("text").cast("binary").alias("text")).mapInPandas(
+        encode, "shard int, absent boolean, key long, chars long, mark long, ids binary"
     )
-    records = ordered.select(
-        F.coalesce("doc_id", F.lit(0)).alias("key"), F.col("doc_id").isNull().alias("absent"), "text"
-    ).mapInPandas(encode, "record binary")
-    records.select(F.col("record").cast("string").alias("value")).write.option("compression", "none").text(path)
+    ordered = encoded.repartitionById(len(cuts.continued), "shard").sortWithinPartitions("shard", F.desc("absent"), "key", "chars", "mark")
+    records = ordered.select("shard", "absent", "key", "ids").mapInPandas(frame, "record binary")
+    with shuffles_released(spark):
+        records.select(F.col("record").cast("string").alias("value")).write.option("compression", "none").option(
+            "maxRecordsPerFile", RECORDS_PER_FILE
+        ).text(path)
+
+
+def _bounded(ids: Iterator[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """The ids in lists of ``AT_ONCE`` bytes (one document at least), each with the number of its first."""
+    at, some, size = 0, [], 0
+    for raw in ids:
+        some.append(raw)
+        size += len(raw)
+        if size > AT_ONCE:
+            yield at, some
+            at, some, size = at + len(some), [], 0
+    if some:
+        yield at, some
+
+
+def _encoder_width(tokenizer_file: str) -> int:
+    return _encoder(tokenizer_file).width.itemsize
 
 
 def scan_shards(spark: SparkSession, path: str, width: str = "<u2") -> DataFrame:
@@ -195,7 +338,10 @@ def _shard_files(spark: SparkSession, path: str) -> DataFrame:
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "part-*")
         .load(path)
-        .select(F.regexp_extract("path", r"part-(\d+)", 1).cast("long").alias("shard"), "content")
+        .select(
+            (F.regexp_extract("path", r"part-(\d+)", 1).cast("long") * 1_000_000 + F.regexp_extract("path", r"-c(\d+)\.", 1).cast("long")).alias("shard"),
+            "content",
+        )
     )
 
 

@@ -28,12 +28,8 @@ def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mixed(a * np.uint64(BASE) + b)
 
 
-def _hashes(text: bytes) -> np.ndarray:
-    """One hash per word of a text."""
-    codes = np.frombuffer(text + b"\n", np.uint8)
-    blank = (codes == 32) | ((codes >= 9) & (codes <= 13))
-    edges = np.flatnonzero(np.diff(blank, prepend=True))  # where words begin and end, in turn
-    begins, ends = edges[::2], edges[1::2]
+def span_hashes(codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span of bytes: equal bytes, equal hash, wherever they lie."""
     up, down = np.full(len(codes), BASE, np.uint64), np.full(len(codes), _BASE_INVERSE, np.uint64)
     up[:1] = down[:1] = 1
     up, down = np.cumprod(up), np.cumprod(down)
@@ -41,6 +37,14 @@ def _hashes(text: bytes) -> np.ndarray:
     return mixed((sums[ends] - sums[begins]) * up[begins] + (ends - begins).astype(np.uint64))
 
 
+def _hashes(text: bytes) -> np.ndarray:
+    """One hash per word of a text."""
+    codes = np.frombuffer(text + b"\n", np.uint8)
+    blank = (codes == 32) | ((codes >= 9) & (codes <= 13))
+    edges = np.flatnonzero(np.diff(blank, prepend=True))  # where words begin and end, in turn
+    return span_hashes(codes, edges[::2], edges[1::2])
+
+
 def _pieces(text: bytes) -> Iterator[bytes]:
     """A text in pieces of about ``CHUNK`` bytes that end at blanks."""
     at = 0
