@@ -5,13 +5,14 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
 from landing import HEADER, price_file, price_line
+from rows import rows_of
 from tidemill.plans import archive as archive_module, ingest as ingest_module
 from tidemill.plans.fuel_prices import MODEL, MODEL_ON_CLEAN_KEY, SOURCE
 from tidemill.plans.ingest import ingest
 from tidemill.plans.staging import build_model, full_model
-from tidemill.plans.warehouse import Warehouse
+from tidemill.plans.upkeep import expire_batches, pack_batches, to_pack
+from tidemill.plans.warehouse import Segment, Warehouse
 from tidemill.sources.periods import rows_of_period
 from tidemill.sources import file_units
 from tidemill.sources.csv_files import land_csv, scan_csv, scan_landing
@@ -120,7 +121,7 @@ def test_missing_folder_is_an_error(spark, place):
         load(spark, place)
 
 
-def test_half_years_are_known_from_directory_names(spark, place):
+def test_half_years_are_known_from_the_ledger(spark, place):
     price_file(place.incoming, "2025-01", "a.csv", [price_line()])
     price_file(place.incoming, "2024-02", "b.csv", [price_line(cnpj="2")])
     assert rows_of(place.warehouse.periods(spark, SOURCE)) == []
@@ -232,9 +233,10 @@ def test_checksums_of_files(spark, place, monkeypatch):
     paths = [price_file(place.incoming, "2025-01", f"{i} +%.csv", [price_line()] * (1 + 50 * i)) for i in range(4)]
     expected = sorted((f"file:{p}", p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in paths)
     assert rows_of(checksum_files(spark, str(place.incoming))) == expected
-    monkeypatch.setattr(file_units, "LARGEST", 3 * 1024)
-    with pytest.raises(Exception, match="too large to be one value"):
-        checksum_files(spark, str(place.incoming)).collect()
+    monkeypatch.setattr(file_units, "BLOCK", 7)
+    assert rows_of(checksum_files(spark, str(place.incoming))) == expected
+    monkeypatch.setattr(file_units, "has_client", lambda path: False)  # a store that only Spark's client reaches
+    assert rows_of(checksum_files(spark, str(place.incoming))) == expected
     sizes = with_size_kb(list_files(spark, str(place.incoming)))
     assert rows_of(sizes, "source_file", "size_kb") == [(n, round(s / 1024, 1)) for n, s, _ in expected]
 
@@ -316,6 +318,107 @@ def test_incremental_reads_list_only_new_batches(spark, place):
     assert place.warehouse.read_raw(spark, SOURCE, after=4).collect() == []
 
 
+def test_packed_batches_read_like_single_ones(spark, place):
+    for i in range(9):
+        price_file(place.incoming, f"202{i % 3}-01", f"{i}.csv", [price_line(cnpj=str(i))])
+        load(spark, place)
+        if i in (3, 5):
+            pack_batches(spark, SOURCE, place.warehouse)
+    before, entries = rows_of(raw(spark, place)), rows_of(ledger(spark, place))
+    assert [(s.first, s.last) for s in place.warehouse.cover(spark, SOURCE)] == [(1, 4), (5, 6), (7, 7), (8, 8), (9, 9)]
+    model = rows_of(build_model(spark, SOURCE, MODEL, place.warehouse))
+    pack_batches(spark, SOURCE, place.warehouse)
+    assert [(s.first, s.last) for s in place.warehouse.cover(spark, SOURCE)] == [(1, 9)]
+    assert rows_of(raw(spark, place)) == before and rows_of(ledger(spark, place)) == entries
+    assert rows_of(place.warehouse.read_raw(spark, SOURCE, after=7), "batch_id") == [(8,), (9,)]
+    assert expire_batches(spark, SOURCE, place.warehouse) > 0
+    assert expire_batches(spark, SOURCE, place.warehouse) == 0
+    assert rows_of(raw(spark, place)) == before and rows_of(ledger(spark, place)) == entries
+    assert len({f.rsplit("/", 1)[0] for f in ledger(spark, place).inputFiles()}) == 1
+    assert rows_of(build_model(spark, SOURCE, MODEL, place.warehouse, full_refresh=True)) == model
+    price_file(place.incoming, "2025-01", "new.csv", [price_line(cnpj="77")])
+    assert load(spark, place).batches == (10,)
+    assert raw(spark, place).count() == 10
+
+
+def test_segments_stay_few_after_a_thousand_batches():
+    segments, most = [], 0
+    for n in range(1, 1001):
+        segments.append(Segment(n, n, f"batch_id={n}/run=1"))
+        if n % 10 == 0 and (chosen := to_pack(segments)):
+            segments = segments[: -len(chosen)] + [Segment(chosen[0].first, chosen[-1].last, "batches=")]
+        most = max(most, len(segments))
+    assert most <= 20 and [s.last + 1 for s in segments[:-1]] == [s.first for s in segments[1:]]
+
+
+def test_a_half_year_is_read_from_its_own_folders(spark, place):
+    for i, period in enumerate(("2024-01", "2024-02", "2025-01")):
+        price_file(place.incoming, period, f"{i}.csv", [price_line(cnpj=str(i))])
+        load(spark, place)
+    rows = place.warehouse.rows_of_period(spark, SOURCE, "2025-02")
+    assert rows_of(rows, "partition", "batch_id") == [("2025-01", 3)]
+    assert all("batch_id=3/" in f and "partition=2025-01/" in f for f in rows.inputFiles())
+    pack_batches(spark, SOURCE, place.warehouse)
+    rows = place.warehouse.rows_of_period(spark, SOURCE, "2024-02")
+    assert rows_of(rows, "partition", "batch_id") == [("2024-02", 2)]
+    with pytest.raises(FileNotFoundError):
+        place.warehouse.rows_of_period(spark, SOURCE, "2020-01")
+
+
+def test_a_dead_run_needs_no_deletion_and_a_late_one_cannot_commit(spark, place, monkeypatch):
+    price_file(place.incoming, "2025-01", "a.csv", [price_line()])
+    path = place.warehouse.lease_path(SOURCE.name)
+    late = exclusive(spark, path)
+    lease = late.__enter__()  # a run that dies, or hangs, without giving its lease back
+    with pytest.raises(RuntimeError, match="another writer"):
+        load(spark, place)
+    lease.write(0)  # as after the time that a lease is good for
+    assert load(spark, place).files_loaded == 1
+    with pytest.raises(RuntimeError, match="took over"):
+        lease.check()
+    late.__exit__(None, None, None)
+    price_file(place.incoming, "2025-01", "b.csv", [price_line(cnpj="2")])
+
+    def overtaken(*args):  # another run takes over while this one writes its rows
+        lease_of_this_run = args[-1]
+        lease_of_this_run.write(0)
+        with exclusive(spark, path):
+            pass
+        return single(*args)
+
+    single = ingest_module._load_batch
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_module, "_load_batch", overtaken)
+        with pytest.raises(RuntimeError, match="lost its lease"):
+            load(spark, place)
+    assert raw(spark, place).count() == 1
+    assert load(spark, place).batches == (2,) and raw(spark, place).count() == 2
+
+
+def test_a_lease_just_taken_counts_as_held(spark, tmp_path):
+    (tmp_path / "token=000000001").touch()
+    with pytest.raises(RuntimeError, match="another writer"):
+        exclusive(spark, str(tmp_path)).__enter__()
+
+
+def test_landed_bytes_are_read_twice_at_most(spark, place):
+    """Once to hash, once to load: what follows the write reads what was written."""
+    price_file(place.incoming, "2025-01", "a.csv", [price_line(cnpj=str(i)) for i in range(50)])
+    seen = []
+    scan = ingest_module.scan_landing
+
+    def counted(*args):
+        seen.append(args[2])
+        return scan(*args)
+
+    ingest_module.scan_landing = counted
+    try:
+        load(spark, place)
+    finally:
+        ingest_module.scan_landing = scan
+    assert len(seen) == 1 and rows_of(ledger(spark, place), "rows_ingested") == [(50,)]
+
+
 def test_views_answer_sql(spark, place):
     price_file(place.incoming, "2025-01", "a.csv", [price_line()])
     load(spark, place)

@@ -32,4 +32,9 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
         job("period", "--year", "2025", "--semester", "3")
     with pytest.raises(FileNotFoundError):
         job("period", "--year", "2020", "--semester", "1")
-    assert job("expire")[1].endswith("stored slices dropped\n")
+    assert job("compact") == (0, "batches 1 to 2 packed\n")
+    assert job("compact") == (0, "no batches to pack\n")
+    assert job("period", "--year", "2025", "--semester", "1") == (0, "2025-01: 2 rows\n")
+    assert job("expire") == (0, "4 batch folders and 1 stored slices dropped\n")
+    assert job("period", "--year", "2025", "--semester", "1") == (0, "2025-01: 2 rows\n")
+    assert job("ingest", "--incoming", str(tmp_path / "in")) == (0, "0 files loaded in 0 batches\n")

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from rows import rows_of
 from tidemill.operators import ledger, quality
 from tidemill.operators.describe import describe_columns
 from tidemill.plans.fuel_prices import MODEL, MODEL_KEY

@@ -2,8 +2,8 @@ from datetime import datetime
 
 from pyspark.sql import types as T
 
-from conftest import rows_of
 from landing import price_file, price_line
+from rows import rows_of
 from tidemill.operators.keyed_table import KeyedTable
 from tidemill.operators.latest import latest_per_key, newest_first
 from tidemill.plans.fuel_prices import SOURCE
@@ -69,6 +69,21 @@ def test_archive_moves_every_file_in_the_same_run(spark, tmp_path):
     assert len(loaded(spark, warehouse)) == 3
 
 
+def test_a_move_that_fails_once_is_done_by_the_next_run(spark, tmp_path):
+    for i in range(2):
+        price_file(tmp_path / "incoming", "2025-01", f"{i}.csv", [price_line(cnpj=str(i))])
+    price_file(tmp_path / "incoming", "2025-02", "twin.csv", [price_line(cnpj="0")])
+    warehouse, done = Warehouse(str(tmp_path / "wh")), tmp_path / "done"
+    done.write_text("a file where a folder should be")
+    run_files(spark, tmp_path, warehouse, archive_root=str(done))
+    assert len(list((tmp_path / "incoming").rglob("*.csv"))) == 3 and len(loaded(spark, warehouse)) == 2
+    done.unlink()
+    price_file(tmp_path / "incoming", "2025-02", "new.csv", [price_line(cnpj="9")])
+    run_files(spark, tmp_path, warehouse, archive_root=str(done))
+    assert sorted(p.name for p in done.rglob("*.csv")) == ["0.csv", "1.csv", "new.csv", "twin.csv"]
+    assert list((tmp_path / "incoming").rglob("*.csv")) == [] and len(loaded(spark, warehouse)) == 3
+
+
 def test_a_small_batch_writes_only_its_own_rows(spark, tmp_path):
     table = KeyedTable(str(tmp_path / "latest"), EVENTS, "k", ("ts", "v"))
     table.replace(spark.range(5000).selectExpr("CAST(id AS STRING) AS k", "1L AS ts", "'old' AS v"), 0)
@@ -96,3 +111,62 @@ def test_latest_over_a_stream_equals_the_batch(spark, tmp_path):
     everything = spark.read.parquet(folder)
     assert rows_of(table.read(spark)) == rows_of(latest_per_key(everything, "k", newest_first(["ts", "v"])))
     assert rows_of(table.read(spark)) == [("a", 3, "y"), ("b", 5, "x"), ("c", 1, "x")]
+
+
+def stream_of(spark, folder, files=1):
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(folder)
+
+
+def add_file(spark, folder, rows):
+    spark.createDataFrame(rows, EVENTS).coalesce(1).write.mode("append").parquet(folder)
+
+
+def newest(df):
+    return rows_of(latest_per_key(df, "k", newest_first(["ts", "v"])))
+
+
+def test_a_late_or_equal_row_writes_nothing(spark, tmp_path):
+    folder, table = str(tmp_path / "events"), KeyedTable(str(tmp_path / "latest"), EVENTS, "k", ("ts", "v"))
+    add_file(spark, folder, [("a", 5, "x"), ("b", 5, "x"), ("hot", 1, "x")])
+    upsert_stream(stream_of(spark, folder), table, str(tmp_path / "checkpoint")).awaitTermination()
+    add_file(spark, folder, [("a", 4, "late"), ("b", 5, "x"), ("a", 5, "w")])
+    add_file(spark, folder, [("hot", n, "y") for n in range(2, 50)] + [("a", 1, "late")])
+    upsert_stream(stream_of(spark, folder), table, str(tmp_path / "checkpoint")).awaitTermination()
+    written = [rows_of(spark.read.parquet(path)) for path in reversed(table.deltas(spark))]
+    assert written == [[("a", 5, "x"), ("b", 5, "x"), ("hot", 1, "x")], [("hot", 49, "y")]]
+
+
+def test_a_fresh_checkpoint_into_the_same_table_loses_nothing(spark, tmp_path):
+    folder, table = str(tmp_path / "events"), KeyedTable(str(tmp_path / "latest"), EVENTS, "k", ("ts", "v"))
+    add_file(spark, folder, [("a", 1, "x"), ("b", 5, "x")])
+    add_file(spark, folder, [("a", 3, "y")])
+    upsert_stream(stream_of(spark, folder), table, str(tmp_path / "one")).awaitTermination()
+    other = str(tmp_path / "others")
+    add_file(spark, other, [("c", 1, "x"), ("b", 4, "late"), ("a", 9, "z")])
+    upsert_stream(stream_of(spark, other), table, str(tmp_path / "two")).awaitTermination()
+    want = newest(spark.read.parquet(folder).union(spark.read.parquet(other)))
+    assert rows_of(table.read(spark)) == want
+    table.compact(spark)
+    upsert_stream(stream_of(spark, folder), table, str(tmp_path / "three")).awaitTermination()
+    assert rows_of(table.read(spark)) == want
+
+
+def test_a_repeated_micro_batch_is_added_once(spark, tmp_path):
+    folder, table = str(tmp_path / "events"), KeyedTable(str(tmp_path / "latest"), EVENTS, "k", ("ts", "v"))
+    add_file(spark, folder, [("a", 1, "x")])
+    upsert_stream(stream_of(spark, folder), table, str(tmp_path / "checkpoint")).awaitTermination()
+    add_file(spark, folder, [("a", 2, "y")])
+    upsert_stream(stream_of(spark, folder), table, str(tmp_path / "checkpoint")).awaitTermination()
+    for commit in (tmp_path / "checkpoint" / "commits").glob("*1*"):  # as after a crash before the commit
+        commit.unlink()
+    upsert_stream(stream_of(spark, folder), table, str(tmp_path / "checkpoint")).awaitTermination()
+    assert len(table.deltas(spark)) == 2 and rows_of(table.read(spark)) == [("a", 2, "y")]
+
+
+def test_keys_of_several_columns_with_nulls(spark, tmp_path):
+    folder, table = str(tmp_path / "events"), KeyedTable(str(tmp_path / "latest"), EVENTS, ("k", "v"), ("ts",))
+    parts = [[("a", 1, None), (None, 1, "x")], [("a", 3, None), (None, None, "x")], [("a", 2, "x")]]
+    for part in parts:
+        add_file(spark, folder, part)
+    upsert_stream(stream_of(spark, folder), table, str(tmp_path / "checkpoint")).awaitTermination()
+    assert rows_of(table.read(spark)) == sorted([("a", 3, None), (None, 1, "x"), ("a", 2, "x")], key=repr)

@@ -4,7 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from conftest import rows_of
+from rows import rows_of
 from tidemill.contracts import resolve_namespace
 from tidemill.operators import upsert
 from tidemill.operators.keyed_table import KeyedTable
@@ -124,6 +124,34 @@ def test_expire_keeps_the_current_state(spark, tmp_path):
     assert len(glob_paths(spark, f"{table.root}/v=*/_table_slice=*")) == len(table.slices(spark))
 
 
+def test_a_merge_of_one_slice_keeps_the_others_with_deltas_pending(spark, tmp_path):
+    table = table_at(tmp_path / "t")
+    january, february = date(2025, 1, 1), date(2025, 2, 1)
+    table.replace(spark.createDataFrame([("1", january, 1, "x"), ("2", february, 1, "x"), ("3", february, 1, "x")], SCHEMA), 1)
+    table.append(spark.createDataFrame([("2", february, 2, "y")], SCHEMA), 2)
+    table.merge(spark.createDataFrame([("1", january, 3, "z")], SCHEMA), 3)
+    assert rows_of(table.read(spark), "k", "v") == [("1", "z"), ("2", "y"), ("3", "x")]
+    assert rows_of(table.read(spark, ["2025-01"]), "k") == [("1",)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("sliced", [True, False])
+def test_any_order_of_changes_equals_one_newest_row_pass(spark, tmp_path, seed, sliced):
+    rng = random.Random(seed)
+    table = table_at(tmp_path / "t") if sliced else table_at(tmp_path / "t", None)
+    rows = sample(60, seed)
+    table.replace(spark.createDataFrame(rows, SCHEMA), 0)
+    for mark in range(1, 7):
+        more = sample(rng.choice([1, 3, 30]), 100 * seed + mark)
+        change = rng.choice(["append", "append", "merge", "merge", "compact", "expire"])
+        if change in ("append", "merge"):
+            getattr(table, change)(spark.createDataFrame(more, SCHEMA), mark)
+            rows += more
+        else:
+            getattr(table, change)(spark)
+        assert rows_of(table.read(spark)) == brute_latest(rows), (mark, change)
+
+
 def test_empty_table_and_empty_batch(spark, tmp_path):
     table = table_at(tmp_path / "t")
     assert table.mark(spark) is None

@@ -14,10 +14,10 @@ from tidemill.operators.ledger import loads_with_rows
 from tidemill.operators.quality import freshness, run_checks
 from tidemill.plans.fuel_prices import MODEL, SOURCE
 from tidemill.plans.ingest import ingest
-from tidemill.plans.staging import build_model
+from tidemill.plans.staging import build_model, compact_model
+from tidemill.plans.upkeep import expire_batches, pack_batches
 from tidemill.plans.warehouse import Warehouse
 from tidemill.session import build_session
-from tidemill.sources.periods import rows_of_period
 from tidemill.streaming.file_stream import ingest_stream
 
 
@@ -31,7 +31,8 @@ def parser() -> argparse.ArgumentParser:
         ("check", "run the data-quality checks; fails if one fails"),
         ("freshness", "age of the newest load; fails when it is too old"),
         ("period", "rows of a half-year, or of the one before it when it has none"),
-        ("expire", "drop stored slices that newer versions replaced; for times without readers"),
+        ("compact", "pack small batches into few folders and fold the model's deltas in"),
+        ("expire", "drop slices and batch folders that newer ones replaced; for times without readers"),
     ):
         job = jobs.add_parser(name, help=about)
         job.add_argument("--warehouse", required=True)
@@ -70,12 +71,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         return int(age["status"] == "error")
     elif args.job == "period":
         half = spark.range(1).select(normalize_semester(F.lit(args.semester)).alias("half")).first()["half"]
-        raw = warehouse.read_raw(spark, SOURCE)
-        rows = rows_of_period(raw, f"{args.year}-{half}", warehouse.periods(spark, SOURCE))
+        rows = warehouse.rows_of_period(spark, SOURCE, f"{args.year}-{half}")
         line = rows.groupBy("partition").agg(F.count("*").alias("n")).first()
         print(f"{line['partition']}: {line['n']} rows")
+    elif args.job == "compact":
+        pack = pack_batches(spark, SOURCE, warehouse)
+        print(f"batches {pack.first} to {pack.last} packed" if pack else "no batches to pack")
+        compact_model(spark, MODEL, warehouse)
     elif args.job == "expire":
-        print(f"{warehouse.model_table(MODEL).expire(spark)} stored slices dropped")
+        folders = expire_batches(spark, SOURCE, warehouse)
+        print(f"{folders} batch folders and {warehouse.model_table(MODEL).expire(spark)} stored slices dropped")
     return 0
 
 

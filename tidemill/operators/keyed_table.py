@@ -6,7 +6,9 @@ that dies half-way leaves the table as it was and its retry overwrites the remai
 content of a slice is its newest committed directory. A ``delta`` version holds the newest
 rows of one small batch and lies over the slices until ``compact``: readers keep the newest
 row per key over both, so adding a delta costs what the batch holds. ``mark`` is how far into its input
-the table has come (the last raw batch, or the last micro-batch).
+a writer has come (the last raw batch, or the last micro-batch of one checkpoint); a version
+names its writer, so the numbers of one are never compared with another's. Merging and adding
+keep the newest of newest rows, so doing either twice changes nothing.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from tidemill.operators.latest import latest_per_key, newest_first
 from tidemill.operators.upsert import merge_latest
 from tidemill.storage import delete_dir, escape_glob, glob_paths
 
-_VERSION = re.compile(r"/v=(\d+)-(-?\d+)-(full|part|delta)(?=/|$)")
+_VERSION = re.compile(r"/v=(\d+)-(-?\d+)-(full|part|delta)(?:-w(\w+))?(?:-r(\d+))?(?=/|$)")
 _SLICE = "_table_slice"
 # Directory name Spark gives to a NULL or empty partition value.
 _NULL_SLICE = "__HIVE_DEFAULT_PARTITION__"
@@ -33,6 +35,8 @@ class Version:
     number: int
     mark: int
     kind: str
+    writer: str
+    run: int
     path: str
 
 
@@ -43,19 +47,20 @@ class KeyedTable:
     key: str | tuple[str, ...]
     tie_order: tuple[str, ...]
     slice_of: Callable[[], Column] | None = None
+    #: Number of the run that writes: runs never share a folder, so one that lost its lease can't add files to another's.
+    run: int = 0
 
     def versions(self, spark: SparkSession) -> list[Version]:
         """Committed versions, newest first."""
         found = []
         for marker in glob_paths(spark, f"{self.root}/v=*/_SUCCESS"):
-            number, mark, kind = _VERSION.search(marker).groups()
-            found.append(Version(int(number), int(mark), kind, marker.rsplit("/", 1)[0]))
-        return sorted(found, key=lambda v: v.number, reverse=True)
+            number, mark, kind, writer, run = _VERSION.search(marker).groups()
+            found.append(Version(int(number), int(mark), kind, writer or "", int(run or 0), marker.rsplit("/", 1)[0]))
+        return sorted(found, key=lambda v: (v.number, v.run), reverse=True)
 
-    def mark(self, spark: SparkSession) -> int | None:
-        """Mark of the newest version; None before the first."""
-        versions = self.versions(spark)
-        return versions[0].mark if versions else None
+    def mark(self, spark: SparkSession, writer: str = "") -> int | None:
+        """Mark of this writer's newest version; None before its first."""
+        return next((v.mark for v in self.versions(spark) if v.writer == writer), None)
 
     def slices(self, spark: SparkSession) -> dict[str, str]:
         """Current directory of every slice. One glob; as many names as slices ever written."""
@@ -84,7 +89,7 @@ class KeyedTable:
         return found
 
     def read(self, spark: SparkSession, slices: list[str] | None = None) -> DataFrame:
-        """The newest row per key of the given slices (all by default) and of the deltas."""
+        """The newest row per key of the given slices (all by default), deltas included."""
         current = self.slices(spark)
         paths = [p for name, p in sorted(current.items()) if slices is None or name in slices]
         base = spark.read.schema(self.schema).parquet(*[escape_glob(p) for p in paths]) if paths else None
@@ -92,6 +97,9 @@ class KeyedTable:
         if not over:
             return spark.createDataFrame([], self.schema) if base is None else base
         rows = spark.read.schema(self.schema).parquet(*[escape_glob(p) for p in over])
+        if slices is not None:
+            mine = F.coalesce(F.nullif(F.col(_SLICE), F.lit("")), F.lit(_NULL_SLICE)).isin(slices)
+            rows = self._with_slice(rows).where(mine).drop(_SLICE)
         return latest_per_key(rows if base is None else base.union(rows), self.key, newest_first(self.tie_order))
 
     def replace(self, df: DataFrame, mark: int) -> None:
@@ -107,14 +115,15 @@ class KeyedTable:
         rows = merge_latest(current, df.select(*self.schema.names), self.key, newest_first(self.tie_order))
         self._publish(rows, mark, "part")
 
-    def append(self, df: DataFrame, mark: int) -> None:
+    def append(self, df: DataFrame, mark: int, writer: str = "") -> None:
         """Upsert by a delta: writes the newest rows of ``df`` and reads nothing of the table."""
-        self._publish(latest_per_key(df.select(*self.schema.names), self.key, newest_first(self.tie_order)), mark, "delta")
+        self._publish(latest_per_key(df.select(*self.schema.names), self.key, newest_first(self.tie_order)), mark, "delta", writer)
 
     def compact(self, spark: SparkSession) -> None:
         """Fold the deltas into a new full version."""
         if self.deltas(spark):
-            self.replace(self.read(spark), self.mark(spark))
+            mark = self.mark(spark)
+            self.replace(self.read(spark), -1 if mark is None else mark)
 
     def expire(self, spark: SparkSession) -> int:
         """Drop slices that a newer version replaced and deltas folded into one; for times without readers."""
@@ -140,14 +149,14 @@ class KeyedTable:
         value = self.slice_of().cast("string") if self.slice_of else F.lit("all")
         return df.withColumn(_SLICE, value)
 
-    def _publish(self, rows: DataFrame, mark: int, kind: str) -> None:
+    def _publish(self, rows: DataFrame, mark: int, kind: str, writer: str = "") -> None:
         """Rows lie by key, so every task holds rows of every slice. A second exchange, sized and
         split by adaptive execution however large a slice is, keeps the number of files
         down to what the data needs.
         """
         versions = self.versions(rows.sparkSession)
         number = versions[0].number + 1 if versions else 0
-        path = f"{self.root}/v={number:06d}-{mark}-{kind}"
+        path = f"{self.root}/v={number:06d}-{mark}-{kind}" + (f"-w{writer}" if writer else "") + (f"-r{self.run}" if self.run else "")
         if kind == "delta":
             rows.write.mode("overwrite").parquet(path)
         else:

@@ -8,28 +8,16 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemill.file_client import open_file_system
+from tidemill.sources.file_units import list_files
+from tidemill.storage import delete_dir, glob_paths
 
 log = logging.getLogger(__name__)
 BLOCK = 8 * 1024 * 1024
 
 
-def open_file_system(path: str):
-    """File system and local name of a path as Spark lists it (``file:/x``, ``hdfs://…``, ``s3a://…``)."""
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-    if "://" not in path:
-        return fs.LocalFileSystem(), path
-    scheme, rest = path.split("://", 1)
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    authority = rest.split("/", 1)[0]
-    system, _ = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-    return system, rest if scheme in ("s3", "gs") else "/" + rest.split("/", 1)[1]
-
-
 def check_archive(incoming: str, archive_root: str) -> None:
     """Open both places, so that one without a client is an error before any row is loaded."""
     for path in (incoming, archive_root):
@@ -39,12 +27,12 @@ def check_archive(incoming: str, archive_root: str) -> None:
             raise ValueError(f"no file system client for {path}: {error}") from error
 
 
-def archive_files(files: DataFrame, incoming: str, archive_root: str) -> int:
+def archive_files(files: DataFrame, incoming: str, archive_root: str, left_behind: str | None = None) -> int:
     """Move the listed files below ``archive_root``, keeping their place below ``incoming``.
 
     Tasks do the moving. A file that cannot be moved is logged and left: the ledger
-    already knows its content, so the next run skips it and tries again. Returns the
-    number of files that stayed behind.
+    already knows its content, so the next batch run skips it and tries again; with ``left_behind``, a
+    folder, its name is noted there for ``archive_again``. Returns the number of files that stayed behind.
     """
     root = "/" + open_file_system(incoming)[1].strip("/") + "/"
 
@@ -53,8 +41,13 @@ def archive_files(files: DataFrame, incoming: str, archive_root: str) -> int:
             problems = [_move_one(path, root, archive_root) for path in batch["source_file"]]
             yield pd.DataFrame({"source_file": batch["source_file"], "problem": problems})
 
-    moved = files.select("source_file").mapInPandas(move, "source_file string, problem string")
-    left = moved.where("problem is not null").agg(
+    spark = files.sparkSession
+    moved = files.select("source_file").mapInPandas(move, "source_file string, problem string").where("problem is not null")
+    if left_behind:
+        folder = f"{left_behind}/n={1 + max(_notes(spark, left_behind), default=0)}"
+        moved.write.mode("overwrite").parquet(folder)  # moved once; a repeated task finds its own earlier moves
+        moved = spark.read.schema("source_file string, problem string").parquet(folder)
+    left = moved.agg(
         F.count("*").alias("n"), F.first("source_file").alias("name"), F.first("problem").alias("problem")
     )
     row = left.first()
@@ -63,6 +56,25 @@ def archive_files(files: DataFrame, incoming: str, archive_root: str) -> int:
     return row["n"]
 
 
+def archive_again(spark: SparkSession, incoming: str, archive_root: str, left_behind: str) -> int:
+    """Move the files that earlier runs noted as left behind and that are still there; those that stay are noted anew."""
+    notes = _notes(spark, left_behind)
+    folders = [f"{left_behind}/n={n}" for n in notes]
+    if not folders:
+        return 0
+    names = spark.read.schema("source_file string").parquet(*folders).distinct().join(
+        list_files(spark, incoming, "*").select("source_file"), "source_file", "left_semi"
+    )
+    stayed = 0 if names.isEmpty() else archive_files(names, incoming, archive_root, left_behind)
+    for folder in folders:
+        delete_dir(spark, folder)
+    return stayed
+
+
+def _notes(spark: SparkSession, left_behind: str) -> list[int]:
+    return [int(path.rsplit("/", 2)[1].removeprefix("n=")) for path in glob_paths(spark, f"{left_behind}/n=*/_SUCCESS")]
+
+
 def _move_one(path: str, root: str, archive_root: str) -> str | None:
     system, name = open_file_system(path)
     target_system, target_root = open_file_system(archive_root)

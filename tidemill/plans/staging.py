@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.contracts import ModelContract, SourceContract
 from tidemill.operators.latest import latest_per_key, newest_first
 from tidemill.plans.warehouse import Warehouse
-from tidemill.storage import exclusive
+from tidemill.storage import Lease, exclusive
 
 
 def clean(raw: DataFrame, model: ModelContract) -> DataFrame:
@@ -35,19 +37,33 @@ def build_model(
     newest of newest rows gives the same table as ``rescan``, which reads all raw rows.
     A second writer of the same warehouse fails.
     """
-    with exclusive(spark, warehouse.lease_path(model.table)):
-        _build(spark, source, model, warehouse, full_refresh, rescan)
+    with exclusive(spark, warehouse.lease_path(model.table)) as lease:
+        _build(spark, source, model, warehouse, full_refresh, rescan, lease)
     return warehouse.model_table(model).read(spark)
 
 
 def _build(
-    spark: SparkSession, source: SourceContract, model: ModelContract, warehouse: Warehouse, full_refresh: bool, rescan: bool
+    spark: SparkSession,
+    source: SourceContract,
+    model: ModelContract,
+    warehouse: Warehouse,
+    full_refresh: bool,
+    rescan: bool,
+    lease: Lease,
 ) -> None:
-    table = warehouse.model_table(model)
+    table = replace(warehouse.model_table(model), run=lease.token)
     last = warehouse.committed_batch(spark, source)
     seen = table.mark(spark)
+    lease.check()
     if seen is None or full_refresh:
         table.replace(clean(warehouse.read_raw(spark, source), model), last)
     elif rescan or seen < last:
         raw = warehouse.read_raw(spark, source, after=0 if rescan else seen)
         table.merge(clean(raw, model), last)
+
+
+def compact_model(spark: SparkSession, model: ModelContract, warehouse: Warehouse) -> None:
+    """Fold the model's deltas into its slices. A second writer fails."""
+    with exclusive(spark, warehouse.lease_path(model.table)) as lease:
+        lease.check()
+        replace(warehouse.model_table(model), run=lease.token).compact(spark)

@@ -5,11 +5,14 @@ Only file *names* pass through here. Rows are always read and written by Spark.
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -25,11 +28,24 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.globStatus(jpath) or [])
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark's listings name it."""
+    fs, jpath = _hadoop(spark, path)
+    return fs.makeQualified(jpath).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = _hadoop(spark, path)
     return fs.exists(jpath)
 
 
+def still_there(spark: SparkSession, names: list[str]) -> list[str]:
+    """Those of the given files that exist, by one listing per folder."""
+    folders = sorted({name.rsplit("/", 1)[0] for name in names})
+    found = {path for folder in folders for path in glob_paths(spark, escape_glob(folder) + "/*")}
+    return [name for name in names if name in found]
+
+
 def is_directory(spark: SparkSession, path: str) -> bool:
     fs, jpath = _hadoop(spark, path)
     return fs.exists(jpath) and fs.getFileStatus(jpath).isDirectory()
@@ -54,24 +70,93 @@ def copy_file(spark: SparkSession, source: str, target: str) -> None:
     )
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, jpath = _hadoop(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, jpath = _hadoop(spark, path)
+    stream = fs.create(jpath, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+#: A lease that was neither released nor renewed for so long belongs to a dead run.
+LEASE_SECONDS = 6 * 3600
+
+
+@dataclass(frozen=True)
+class Lease:
+    """The right to commit below a lease folder, good while no later token is there."""
+
+    spark: SparkSession
+    folder: str
+    token: int
+    owner: str
+
+    @property
+    def path(self) -> str:
+        return f"{self.folder}/token={self.token:09d}"
+
+    def check(self) -> None:
+        """Before every commit: fails once another run has taken over, else holds the lease for longer."""
+        if max(_tokens(self.spark, self.folder), default=0) != self.token:
+            raise RuntimeError(f"{self.owner} lost its lease {self.path}: another writer took over")
+        self.write(time.time() + LEASE_SECONDS)
+
+    def write(self, until: float) -> None:
+        write_text(self.spark, self.path, json.dumps({"owner": self.owner, "until": until}))
+
+
+def _tokens(spark: SparkSession, folder: str) -> list[int]:
+    return [int(path.rsplit("=", 1)[1]) for path in glob_paths(spark, f"{folder}/token=*")]
+
+
+def _holder(spark: SparkSession, folder: str, token: int) -> str | None:
+    """Who holds a token still; None when it was given back or has run out."""
+    path = f"{folder}/token={token:09d}"
+    text = read_text(spark, path)
+    if not text:  # taken a moment ago, or by a run that died in that moment
+        fs, jpath = _hadoop(spark, path)
+        text = json.dumps({"owner": "another writer", "until": fs.getFileStatus(jpath).getModificationTime() / 1000 + LEASE_SECONDS})
+    state = json.loads(text)
+    return state["owner"] if state["until"] > time.time() else None
+
+
 @contextmanager
-def exclusive(spark: SparkSession, path: str) -> Iterator[None]:
-    """Hold the lease file at ``path``; another holder is an error, and so is a session without commit markers.
+def exclusive(spark: SparkSession, path: str) -> Iterator[Lease]:
+    """Hold the lease below ``path``; another holder is an error, and so is a session without commit markers.
 
-    File systems make a file for one caller only, so of two writers one fails at once. A
-    run that died leaves its lease, and the error says which file to delete.
+    File systems make a file for one caller only, so of two writers one gets the next token and the other fails at
+    once. A run that died keeps its token for ``LEASE_SECONDS`` after its last commit; then the next run takes a later
+    one, and should the dead run come back, ``Lease.check`` keeps it from committing.
     """
     conf = spark._jsc.hadoopConfiguration()
     if not conf.getBoolean("mapreduce.fileoutputcommitter.marksuccessfuljobs", True):
         raise RuntimeError("commits rely on _SUCCESS files: mapreduce.fileoutputcommitter.marksuccessfuljobs is off")
-    fs, jpath = _hadoop(spark, path)
-    fs.mkdirs(jpath.getParent())
-    if not fs.createNewFile(jpath):
-        raise RuntimeError(f"another writer holds {path}; if none is running, delete that file")
+    fs, jfolder = _hadoop(spark, path)
+    fs.mkdirs(jfolder)
+    tokens = _tokens(spark, path)
+    newest = max(tokens, default=0)
+    owner = _holder(spark, path, newest) if newest else None
+    lease = Lease(spark, path, newest + 1, f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}")
+    if owner or not fs.createNewFile(_hadoop(spark, lease.path)[1]):
+        raise RuntimeError(f"another writer holds {path}: {owner or 'it began just now'}")
+    lease.write(time.time() + LEASE_SECONDS)
+    for token in tokens:
+        fs.delete(_hadoop(spark, f"{path}/token={token:09d}")[1], False)
     try:
-        yield
+        yield lease
     finally:
-        fs.delete(jpath, False)
+        if max(_tokens(spark, path), default=0) == lease.token:
+            lease.write(0)
 
 
 def escape_glob(path: str) -> str:
