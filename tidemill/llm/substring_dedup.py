@@ -13,7 +13,8 @@ also has; longer repeats are chains of such nodes along suffix links (the next w
    documents hold travels once per chunk.
 3. Each group is a subtree: its suffixes in tree order, equal ones side by side, are its deep internal nodes.
    A suffix is a repeat where its node has a smaller document.
-4. The repeats go back to their documents by a join; what consecutive windows cover are the maximal repeats.
+4. The repeats go back to their documents, gathered by buckets of documents and joined; what consecutive windows
+   cover are the maximal repeats.
 
 A node's string is held as 64 hash bits beside its group, a word's as 64. Suffixes travel packed, about 9 bytes each.
 
@@ -26,20 +27,19 @@ each. An empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm.common import WORD, stored, table, text_of
+from tidemill.llm.common import WORD, shuffles_released, stored, table, text_of
 from tidemill.llm.words import mixed, prefix_hashes, word_hashes
 
 #: Suffixes that one task holds as a subtree, words that a task folds at once, bins per prefix length at most.
-GROUP_SIZE, CHUNK_WORDS, MOST_BINS = 1 << 22, 1 << 20, 1 << 16
+GROUP_SIZE, CHUNK_WORDS, MOST_BINS = 1 << 21, 1 << 20, 1 << 16
 PACKED = "grp long, settled boolean, ids binary, names binary, counts binary, nodes binary"
-REPEATS = "doc_id long, name long, nodes binary"
+BUCKETED = "bucket long, ids binary, names binary, counts binary, nodes binary"
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -112,12 +112,9 @@ def _bins(h: np.ndarray, bins: int) -> np.ndarray:
     return (mixed(h, 3) % np.uint64(bins)).astype(np.int64)
 
 
-def prefix_groups(docs: DataFrame, width: int, group_size: int | None = None) -> Groups:
+def prefix_groups(docs: DataFrame, width: int, group_size: int) -> Groups:
     """The survey: bins of prefixes counted over all documents, as many as the text asks for, ``MOST_BINS`` a length at most."""
-    spark = docs.sparkSession
     total = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 5  # words, by a generous guess
-    if not group_size:
-        group_size = int(np.clip(total // (4 * spark.sparkContext.defaultParallelism), 1 << 16, GROUP_SIZE))
     bins = min(MOST_BINS, 1 << max(10, int(16 * total // group_size).bit_length()))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,47 +177,63 @@ def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
     return ids, names, np.repeat(np.arange(len(ids)), counts), cat("nodes", "<u8")
 
 
-def _repeats(ids: np.ndarray, names: np.ndarray, entry: np.ndarray, nodes: np.ndarray) -> pd.DataFrame:
-    """One row per document with its repeats, from entries ordered by document."""
-    at = np.flatnonzero(np.diff(entry, prepend=-1))
-    raw, ends = nodes.astype("<u8").tobytes(), np.append(at, len(entry))
-    own = entry[at]
-    return pd.DataFrame(
-        {"doc_id": ids[own], "name": names[own], "nodes": [raw[8 * x : 8 * y] for x, y in zip(ends[:-1], ends[1:], strict=True)]}
-    )
+def _by_bucket(ids: np.ndarray, names: np.ndarray, entry: np.ndarray, nodes: np.ndarray, buckets: int) -> Iterator[tuple]:
+    """Repeats by bucket of documents, packed, from entries ordered by document."""
+    mine = (mixed(names.view(np.uint64) ^ mixed(ids.view(np.uint64), 2)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(mine[entry], kind="stable")
+    entry, nodes = entry[order], nodes[order]
+    rows = pd.DataFrame({"doc_id": ids, "name": names})
+    for part in np.split(np.arange(len(entry)), np.flatnonzero(np.diff(mine[entry])) + 1):
+        if len(part):
+            yield int(mine[entry[part[0]]]), *_packed(rows, entry[part], nodes[part])
 
 
-def _subtree(rows: pd.DataFrame) -> pd.DataFrame:
+def _subtree(rows: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """The repeats of one group: suffixes in tree order, nodes being the stretches of equal ones."""
     settled = rows["settled"].to_numpy()
-    done = _repeats(*_unpacked(rows[settled]))
+    out = list(_by_bucket(*_unpacked(rows[settled]), buckets))
     ids, names, entry, nodes = _unpacked(rows[~settled])
-    if not len(nodes):
-        return done
-    order = np.argsort(nodes, kind="stable")
-    begins = np.flatnonzero(np.diff(nodes[order], prepend=~nodes[order[:1]]))
-    least = np.minimum.reduceat(ids[entry[order]], begins)
-    least = np.repeat(least, np.diff(np.append(begins, len(order))))
-    repeat = np.sort(order[ids[entry[order]] > least])
-    return pd.concat([done, _repeats(ids, names, entry[repeat], nodes[repeat])])
-
-
-def repeated_windows(docs: DataFrame, width: int = 13, group_size: int | None = None) -> DataFrame:
-    """``doc_id, name, nodes``: per document and group, the windows that a smaller document has too (hashes, packed)."""
+    if len(nodes):
+        order = np.argsort(nodes, kind="stable")
+        begins = np.flatnonzero(np.diff(nodes[order], prepend=~nodes[order[:1]]))
+        least = np.minimum.reduceat(ids[entry[order]], begins)
+        least = np.repeat(least, np.diff(np.append(begins, len(order))))
+        repeat = np.sort(order[ids[entry[order]] > least])
+        out += _by_bucket(ids, names, entry[repeat], nodes[repeat], buckets)
+    return pd.DataFrame(out, columns=[c.split()[0] for c in BUCKETED.split(", ")])
+
+
+def _by_document(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row per document of a bucket with its repeats."""
+    ids, names, entry, nodes = _unpacked(rows)
+    order = np.lexsort((nodes, names[entry], ids[entry]))
+    ids, names, nodes = ids[entry[order]], names[entry[order]], nodes[order]
+    new = (np.diff(ids, prepend=~ids[:1]) != 0) | (np.diff(names, prepend=~names[:1]) != 0)
+    at, raw = np.append(np.flatnonzero(new), len(new)), nodes.tobytes()
+    found = [raw[8 * x : 8 * y] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    return pd.DataFrame({"doc_id": ids[at[:-1]], "name": names[at[:-1]], "nodes": found})
+
+
+def repeated_windows(spark: SparkSession, docs: DataFrame, width: int = 13, group_size: int = GROUP_SIZE) -> DataFrame:
+    """``doc_id, name, nodes``: of each document the windows that a smaller document has too (sorted hashes, packed)."""
     named = _documents(docs).where("doc_id is not null")
     groups = prefix_groups(named, width, group_size)
+    buckets = groups.count
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [c.split()[0] for c in PACKED.split(", ")]
-        for rows, words, sizes in _chunks(batches):
+        for rows, words, sizes in _chunks(batch.drop_duplicates(["doc_id", "name"]) for batch in batches):
             yield pd.DataFrame(_folded(rows, words, sizes, width, groups), columns=columns)
 
-    return (
+    found = (
         named.mapInPandas(fold, PACKED)
-        .repartition(groups.count, "grp")
+        .repartition(buckets, "grp")
         .groupBy("grp")
-        .applyInPandas(_subtree, REPEATS)
+        .applyInPandas(lambda rows: _subtree(rows, buckets), BUCKETED)
     )
+    with shuffles_released(spark):
+        repeats = stored(spark, found, "repeats")
+    return repeats.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_by_document, "doc_id long, name long, nodes binary")
 
 
 def _covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
@@ -229,13 +242,10 @@ def _covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
     return np.cumsum(steps[:n]) > 0
 
 
-def substring_dedup(spark: SparkSession, docs: DataFrame, width: int = 13, group_size: int | None = None) -> DataFrame:
+def substring_dedup(spark: SparkSession, docs: DataFrame, width: int = 13, group_size: int = GROUP_SIZE) -> DataFrame:
     """``doc_id, n_words, n_removed, spans, kept_text`` of every row: repeated passages (word numbers, end exclusive) and
     what is left, one blank between words."""
-    repeats = stored(spark, repeated_windows(docs, width, group_size), "repeats")
-    gc.collect()
-    spark._jvm.System.gc()  # the packed suffixes are done with: lets Spark's cleaner drop their shuffle files
-    by_row = repeats.groupBy("doc_id", "name").agg(F.collect_list("nodes").alias("nodes"))
+    by_row = repeated_windows(spark, docs, width, group_size)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -244,7 +254,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, width: int = 13, group
                 words = text.split()
                 spans, kept = [], words
                 if packed is not None:
-                    marks = np.unique(np.frombuffer(b"".join(packed), "<u8"))
+                    marks = np.frombuffer(packed, "<u8")
                     hashes, _ = word_hashes([text])
                     found = prefix_hashes(hashes, width)[width]
                     place = np.minimum(np.searchsorted(marks, found), len(marks) - 1)
