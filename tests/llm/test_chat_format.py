@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from tidemill.llm.chat_format import (
@@ -105,3 +106,33 @@ def test_long_conversations_are_rendered_as_true_prefixes(spark):
             assert r["piece"][r["loss_start"] : r["loss_end"]] == turns[n][1]
     rewritten = [r["rewrites"] for r in format_chats(df, late_rewrite).orderBy("place").collect()]
     assert rewritten == [n == 29 for n in range(40)]
+
+
+def test_a_template_wrongly_declared_local_is_an_error(spark):
+    def numbered(turns):
+        return "".join(f"[{i} {r}]{t}." for i, (r, t) in enumerate(turns))
+
+    numbered.local = True
+    rows = [(c, i, ("user", "assistant")[i % 2], f"turn {i}") for c in (1, 2) for i in range(70 if c == 2 else 5)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert "".join(r["piece"] for r in format_chats(df.where("conv_id = 1"), numbered).orderBy("place").collect()) == numbered(
+        [r[2:] for r in rows if r[0] == 1]
+    )
+    with pytest.raises(Exception, match="declared local"):
+        format_chats(df, numbered).collect()
+
+
+def test_local_templates_have_true_prefixes_first_and_are_proven_after():
+    seen = []
+
+    def counted(turns):
+        seen.append(len(turns))
+        return marked_turns(turns)
+
+    state = Incremental(counted, window=16, proven=64)
+    turns = [("user", f"turn {i}") for i in range(300)]
+    output = "".join(state.add(*turn)[0] for turn in turns)
+    state.prove()
+    assert output == marked_turns(turns)
+    assert set(range(1, 65)) <= set(seen) and {128, 256, 300} <= set(seen)
+    assert sum(n > 64 for n in seen) == 3 and sum(seen) < 64 * 65 + 16 * 2 * 300 + 2 * 700

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from tidemill.llm import decontaminate
-from tidemill.llm.decontaminate import Items, distances, find_leaks, is_leaked, nearest, normal
+from tidemill.llm.decontaminate import Items, distances, find_leaks, is_leaked, nearest, normal, without_leaks
 
 
 def edit_table(pattern, text, free):
@@ -136,3 +136,45 @@ def test_edited_copies_of_short_items():
 def test_short_items(item, text, edits):
     (leaks,) = Items([(1, item)], 0.1).leaks([text])
     assert [leak[1] for leak in leaks] == ([] if edits is None else [edits])
+
+
+def test_items_with_a_common_opening_cost_in_proportion():
+    from time import process_time
+
+    stem = "which of the following statements about the history of "
+    rng = random.Random(4)
+    texts = [stem + prose(rng, 12) for _ in range(800)]
+    docs = [" ".join(rng.sample(texts, 20)) + " " + " ".join(stem + prose(rng, 12) for _ in range(20)) for _ in range(6)]
+    taken = {}
+    for n in (200, 800):
+        items = Items(list(enumerate(texts[:n])), 0.1)
+        begin = process_time()
+        found = [{leak[0] for leak in leaks} for leaks in items.leaks(docs)]
+        taken[n] = process_time() - begin
+        for doc, got in zip(docs, found, strict=True):
+            assert {i for i, t in enumerate(texts[:n]) if normal(t) in normal(doc)} <= got
+    assert taken[800] < 2.5 * taken[200] + 0.5
+
+
+def test_repetitions_follow_the_target_recall():
+    rng = random.Random(11)
+    texts = [prose(rng, rng.randint(12, 60)) for _ in range(150)]
+    copies = [edited(rng, t, int(0.1 * len(t))) for t in texts]
+    recall, repeats = {}, {}
+    for target in (0.5, 0.99):
+        items = Items(list(enumerate(texts)), 0.1, target)
+        repeats[target] = len(items.windows)
+        docs = [prose(rng, 20) + " " + c + " " + prose(rng, 20) for c in copies]
+        recall[target] = sum(i in {leak[0] for leak in leaks} for i, leaks in enumerate(items.leaks(docs))) / len(docs)
+    assert repeats[0.5] <= repeats[0.99] <= decontaminate.MOST_REPEATS
+    assert recall[0.99] >= 0.97 and recall[0.99] >= recall[0.5] >= 0.5
+
+
+def test_blocks_of_items_are_passes_of_their_own(spark, odd_docs, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 60)
+    rows = [(1, "three four five"), (2, "no id at all"), (3, "very LONG text. many words in one very long text. many")]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    left = without_leaks(spark, odd_docs, bench)
+    assert left.columns == odd_docs.columns
+    assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(map(str, [2, 3, 4, None, 8, 9]))
+    assert without_leaks(spark, odd_docs, bench.limit(0)).count() == odd_docs.count()

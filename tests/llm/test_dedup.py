@@ -5,7 +5,7 @@ import pytest
 
 from tidemill.llm.common import connected_components
 from tidemill.llm.exact_dedup import exact_dedup
-from tidemill.llm.near_dedup import differing_bits, most_differing_bits, near_dedup, shingle_sets, sketch
+from tidemill.llm.near_dedup import differing_bits, most_differing_bits, near_dedup, shingle_sets, sketch, without_near_duplicates
 from tidemill.llm.queries import llm_queries
 
 
@@ -134,3 +134,18 @@ def test_exact_duplicates(spark, odd_docs, odd_rows, no_docs):
 def test_exact_dedup_runs_no_python(spark):
     plan = llm_queries()["op7_exact_dedup"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_row_goes_by_its_id_and_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(3, a, "x"), (5, a, "x"), (5, b, "x"), (6, c, "x"), (6, c, "x"), (None, a, "x"), (None, a, "x"), (7, c + " more", "x"), (8, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, name string")
+    kept = without_near_duplicates(spark, docs)
+    assert kept.columns == docs.columns
+    texts = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    some_a = [t for t in texts if t[1] == a and t[0] is not None]
+    assert len(some_a) == 1 and (5, b) in texts and texts.count((6, c)) == 1 and (7, c + " more") not in texts
+    assert texts.count((None, a)) == 2 and (8, None) in texts
+    plain = spark.createDataFrame([(i, t, "x") for i, t in enumerate([a, a, b, c, c])], "doc_id long, text string, name string")
+    assert sorted(r["doc_id"] for r in without_near_duplicates(spark, plain).collect()) == [0, 2, 3]
+    assert without_near_duplicates(spark, docs.limit(0)).collect() == []

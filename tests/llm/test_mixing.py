@@ -1,6 +1,8 @@
 from collections import defaultdict
 
-from tidemill.llm.mixing import mix, mixed_documents
+import duckdb
+
+from tidemill.llm.mixing import ORACLES, keyed, mix, mixed_documents, op8_mixing
 
 
 def water_fill(sizes, weights, share, most):
@@ -54,3 +56,27 @@ def test_odd_documents(spark, odd_docs, odd_rows, no_docs):
     assert out.columns == odd_docs.columns
     assert out.count() == sum(r["repeats"] for r in rows)
     assert mix(spark, no_docs).collect() == mixed_documents(spark, no_docs).collect() == []
+
+
+def test_rows_without_id_or_of_one_id_meet_their_target(spark, tmp_path):
+    docs = [(None, f"none {i} " * (i % 9 + 1), "a") for i in range(600)]
+    docs += [(7, f"seven {i} " * (i % 7 + 1), "b") for i in range(600)] + [(i, f"own {i} " * 5, "c") for i in range(600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    taken, target = defaultdict(int), {}
+    for r in mix(spark, df, share=1.1).collect():
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert all(abs(taken[s] - target[s]) <= 20 for s in target)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = op8_mixing(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(ORACLES["op8_mixing"]).fetchall()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1:])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+
+
+def test_cells_are_even_at_any_weight(spark):
+    rows = spark.range(200_000).selectExpr("id AS doc_id", "'a' AS source", "repeat('#', 40) AS text")
+    most = keyed(rows, "mix").groupBy("cell").count().agg({"count": "max"}).first()[0]
+    assert most <= 200_000 / 1000

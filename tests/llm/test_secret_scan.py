@@ -111,3 +111,31 @@ def test_words_around_known_forms_stay():
         "thisisaverylongwordwithoutblanks",
     ):
         assert random_spans(f"see {plain} there") == [], plain
+
+
+def test_time_grows_with_the_text_alone():
+    """Thousands of base spans, and runs beside them; one text of 5 MB."""
+    from time import process_time
+
+    from tidemill.llm.secret_scan import Scanner
+
+    scanner = Scanner(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    line = "token=abc123DEF456 and 0123456789abcdef01234567 then plain-words/in/a/longer-path of text "
+    taken = {}
+    for n in (4_000, 16_000):
+        begin = process_time()
+        spans = scanner.spans(line * n)
+        taken[n] = process_time() - begin
+        assert sum(k == "assign" for k, *_ in spans) == sum(k == "hex" for k, *_ in spans) == n
+    assert taken[16_000] < 8 * taken[4_000] + 0.5
+    assert len(scanner.spans(line * (5_000_000 // len(line)))) >= 2 * (5_000_000 // len(line))
+
+
+def test_what_taken_spans_leave():
+    from tidemill.llm.secret_scan import Taken
+
+    taken = Taken([(30, 40), (35, 60), (0, 10), (200, 201)])
+    assert list(taken.left_of(0, 100)) == [(10, 30), (60, 100)]
+    assert list(taken.left_of(61, 90)) == [(61, 90)]
+    assert list(taken.left_of(32, 58)) == []
+    assert list(Taken([]).left_of(5, 40)) == [(5, 40)]

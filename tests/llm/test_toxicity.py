@@ -1,9 +1,11 @@
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 
-from tidemill.llm.toxicity import LABEL_TRUST, label_model, op10_toxicity, score_toxicity, toxicity_score, train
+from tidemill.llm.toxicity import ADDRESS, LABEL_TRUST, fitting_rows, label_model, op10_toxicity, score_toxicity, toxicity_score, train
 
 BAD = ["vexgob", "drulk", "smarnit"]
 
@@ -101,3 +103,50 @@ def test_given_tables(spark):
     truth = dict(map(tuple, spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic").collect()))
     rows = [r for r in op10_toxicity(spark, sf).collect() if r["held_out"] and r["doc_id"] in truth]
     assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in rows]) >= 0.97
+
+
+def test_the_label_is_a_voter_whose_accuracy_is_estimated():
+    rng = np.random.default_rng(1)
+    y = rng.random(9000) < 0.25
+    votes = np.stack([np.where(y, rng.random(9000) < 0.7, rng.random(9000) < 0.02) for _ in range(5)], axis=1).astype(float)
+    for right in (0.95, 0.8):
+        labels = np.where(rng.random(9000) < right, y, ~y).astype(float)
+        labels[rng.random(9000) < 0.4] = np.nan
+        posterior, model = label_model(votes, labels)
+        assert all(abs(p - right) < 0.04 for p in model["label"])
+        unlabelled = np.isnan(labels)
+        assert np.mean((posterior > 0.5)[unlabelled] == y[unlabelled]) >= 0.95
+        assert np.mean((posterior > 0.5) == y) >= right
+
+
+def test_rows_without_label_are_read_too(spark):
+    docs, labels = corpus(900)
+    d, l = frames(spark, docs, labels)
+    fit = fitting_rows(spark, d, l, 24_000, 8_000).collect()
+    known = {i for i, _, t in labels if t is not None}
+    not_held = [i for i, *_ in docs if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sum(r["toxic"] is None for r in fit) == len([i for i in not_held if i not in known])
+    assert sum(r["toxic"] is not None for r in fit) == len([i for i in not_held if i in known])
+
+
+def test_scores_by_hand(spark):
+    docs, labels = corpus(600)
+    d, l = frames(spark, docs, labels)
+    model = train(spark, d, l)
+    n = len(model.entries)
+    for r in score_toxicity(d, model).collect():
+        text = docs[r["doc_id"]][1]
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        z = model.weights[-1]
+        for i, entry in enumerate(model.entries):
+            seen = sum(w == entry or (entry[-1] == "*" and len(w) >= len(entry) and w.startswith(entry[:-1])) for w in words)
+            z += model.weights[i] * (1 + math.log(seen)) if seen else 0
+        patterns = [
+            float(text.isupper()),
+            min(1, 20 * text.count("!") / len(text)),
+            1 - min(len(text), sum(map(len, words)) + text.count(" ")) / len(text),
+            max(words.count(w) for w in words) / len(words),
+            min(1, 10 * sum(w in ADDRESS for w in words) / len(words)),
+        ]
+        z += sum(model.weights[n + j] * p for j, p in enumerate(patterns))
+        assert abs(r["score"] - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-9

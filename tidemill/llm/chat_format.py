@@ -10,9 +10,11 @@ Control strings inside texts are escaped before rendering and unescaped on readi
 open or close a turn.
 
 Prefixes are true prefixes of the conversation, so the first message, turn numbers and late rewrites count at any
-length; one conversation is then held by its task and rendered once more per turn. Only a template declared
-``local`` (a turn's piece depends on that turn alone) is rendered over a window of the last turns: cost and memory
-per turn stay bounded. Conversations are streamed turn by turn in order; one conversation stays in one
+length; one conversation is then held by its task and rendered once more per turn. A template declared
+``local`` (a turn's piece depends on that turn alone) has true prefixes for ``PROVEN`` turns; beyond, successive prefixes are rendered
+over a window of the last turns, and whole ones only at twice as many turns each time and at the end, where
+the pieces so far must be the output, else the declaration is wrong and an error. So a long conversation costs a few times
+what it holds; its turns are held up to ``HELD_CHARS`` characters, from where on the declaration is trusted. Conversations are streamed turn by turn in order; one conversation stays in one
 task, because its digests are sequential.
 
 Defined results: null role and null text count as empty. Rows of a conversation go by turn, null turns first,
@@ -32,7 +34,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemill.llm.common import stored, table, text_of
 
 Turn = tuple[str, str]
-WINDOW = 16
+#: Turns of a window; turns of a local template that are rendered as true prefixes; characters of a conversation held to prove it.
+WINDOW, PROVEN, HELD_CHARS = 16, 64, 64 << 20
 OPEN, COLON, CLOSE = "### ", ": ", "</turn>\n"
 CONTROL = re.compile(r"\\|###|</turn>")
 ROLE_CONTROL = re.compile(r"\\|###|</turn>|: ")
@@ -70,17 +73,44 @@ def read_turn(piece: str) -> Turn:
 class Incremental:
     """Renders a conversation turn by turn and tells where each turn and its text came to lie."""
 
-    def __init__(self, render: Callable[[list[Turn]], str], window: int | None = None):
-        self.render, self.window = render, window
+    def __init__(self, render: Callable[[list[Turn]], str], window: int | None = None, proven: int = 0):
+        self.render, self.window, self.proven = render, window, proven
         self.recent: list[Turn] = []
         self.before = render([])
         self.base = len(self.before)
+        self.turns: list[Turn] | None = [] if window else None
+        self.n_turns, self.chars, self.output = 0, 0, hashlib.sha256(self.before.encode("utf-8", "surrogatepass"))
 
     def add(self, role: str, text: str) -> tuple[str, int, int, int, bool, bool]:
         """Piece, start in the output, place of the text in the piece, its length, rewritten, verbatim."""
-        if self.window and len(self.recent) >= self.window:
+        if self.window and self.n_turns >= self.proven and len(self.recent) >= self.window:
             self.recent = self.recent[-(self.window // 2) :]
             self.before = self.render(self.recent)
+        added = self._add(role, text)
+        if self.window:
+            self._note(role, text, added[0])
+        return added
+
+    def _note(self, role: str, text: str, piece: str) -> None:
+        """Keep what the whole output must be, and look at it when the turns have doubled."""
+        self.n_turns += 1
+        self.chars += len(role) + len(text)
+        self.output.update(piece.encode("utf-8", "surrogatepass"))
+        if self.turns is not None:
+            self.turns.append((role, text))
+            if self.chars > HELD_CHARS:
+                self.turns = None
+            elif self.n_turns & (self.n_turns - 1) == 0:
+                self.prove()
+
+    def prove(self) -> None:
+        """The whole conversation, rendered at once, is what the pieces say."""
+        if self.turns is not None and self.n_turns > self.proven:
+            whole = self.render(self.turns)
+            if len(whole) != self.base or hashlib.sha256(whole.encode("utf-8", "surrogatepass")).digest() != self.output.digest():
+                raise ValueError(f"the template is declared local, but {self.n_turns} turns are not rendered as their pieces")
+
+    def _add(self, role: str, text: str) -> tuple[str, int, int, int, bool, bool]:
         now = self.render([*self.recent, (role, text)])
         rewrites = not now.startswith(self.before)
         cut = _common(self.before, now) if rewrites else len(self.before)
@@ -116,10 +146,11 @@ def format_chats(
 
     ``start`` and ``end`` are code points of the conversation's output; the pieces of a conversation, in
     the order of ``place``, are the output. ``loss_start`` and ``loss_end`` are set for turns of ``learn_role``.
-    ``window`` is for templates that look at no more than a turn; without it those declared ``local`` have ``WINDOW``.
+    ``window`` is for templates that look at no more than a turn; without it those declared ``local`` have ``WINDOW`` after ``PROVEN`` turns.
     """
+    proven = 0
     if window is None and getattr(render, "local", False):
-        window = WINDOW
+        window, proven = WINDOW, PROVEN
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, state, place = None, None, 0
@@ -129,7 +160,9 @@ def format_chats(
                 batch["conv"].tolist(), batch["absent"].tolist(), batch["turn"].astype("Int64"), batch["role"], batch["text"], strict=True
             ):
                 if state is None or current != (conv, absent):
-                    current, state, place = (conv, absent), Incremental(render, window), 0
+                    if state:
+                        state.prove()
+                    current, state, place = (conv, absent), Incremental(render, window, proven), 0
                 piece, start, head, size, rewrites, verbatim = state.add(escape(role, ROLE_CONTROL), escape(text))
                 learn = role == learn_role and verbatim
                 out.append(
@@ -141,6 +174,8 @@ def format_chats(
             names = ["conv_id", *(c.split()[0] for c in PIECES.split(", "))]
             longs = dict.fromkeys(["conv_id", "turn", "loss_start", "loss_end"], "Int64")
             yield pd.DataFrame(out, columns=names).astype(longs)
+        if state:
+            state.prove()
 
     turns = conversations.select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv"),

@@ -13,7 +13,9 @@ distance, unless it has fewer of the item's four-letter pieces than the allowed
 sample that no item window has, so most cost a few steps.
 
 An item with up to ``max_edits`` of its length in edits has stretches without an edit, and many windows that
-begin in them; the tests measure the recall on edited and exact copies. Items shorter than ``SPAN`` characters
+begin in them. Repetitions are added until ``TARGET_RECALL`` of some items' copies, edited as far as allowed, are proposed; the tests
+measure the recall on edited and exact copies. A window that many items share, such as a common opening, would propose all of
+them; items with enough other windows go without it. Items shorter than ``SPAN`` characters
 are cut in one piece more than the edits allowed: a copy holds one of the pieces unchanged, so every copy within
 ``max_edits`` is found by the pieces and the same exact edit distance. Such a copy runs from word end to word end;
 scripts without blanks have an end everywhere. Items too short for an edit (below 10 characters at 0.1) are
@@ -37,10 +39,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemill.llm.common import process_memory, table, text_of
+from tidemill.llm.common import process_memory, stored, table, text_of
 
-REPEATS = 5
+#: Share of copies at the edit limit that the repetitions together must propose; tried out on ``TRIED`` items, up to ``MOST_REPEATS``.
+TARGET_RECALL, TRIED, MOST_REPEATS = 0.99, 200, 16
 SPAN = 48
+#: Windows that more items share are left out of items that have ``LEAST_RARE`` others.
+SHARED, LEAST_RARE = 8, 6
 #: Sampled positions of a walk: some early ones, which part most windows, and some in the rest.
 EARLY, LATE = 6, 10
 EARLY_STEPS = 12
@@ -104,44 +109,63 @@ def nearest(item: str, text: str, limit: int) -> tuple[int, int, int] | None:
 class Items:
     """Benchmark items with the sampled embeddings of their windows."""
 
-    def __init__(self, items: list[tuple[int | None, str]], max_edits: float, seed: int = 7):
+    def __init__(self, items: list[tuple[int | None, str]], max_edits: float, target_recall: float = TARGET_RECALL, seed: int = 7):
         self.ids = [i for i, _ in items]
         self.texts = [normal(t).strip() for _, t in items]
         self.limits = [int(max_edits * len(t)) for t in self.texts]
         self.grams = [_grams(_codes(t)) for t in self.texts]
         rng = np.random.default_rng(seed)
-        self.moves = rng.integers(0, 2, (REPEATS, SPAN, 256), np.uint8)
+        self.moves = rng.integers(0, 2, (MOST_REPEATS, SPAN, 256), np.uint8)
         self.samples = [
             sorted(
                 rng.choice(EARLY_STEPS, EARLY, replace=False).tolist()
                 + (EARLY_STEPS + rng.choice(SPAN - EARLY_STEPS, LATE, replace=False)).tolist()
             )
-            for _ in range(REPEATS)
+            for _ in range(MOST_REPEATS)
         ]
         long = [i for i, t in enumerate(self.texts) if len(t) >= SPAN]
         self.short = [i for i, t in enumerate(self.texts) if 0 < len(t) < SPAN]
         self._index_pieces()
         self.windows = []  # per repetition: sorted keys, item, offset, and a bit table per sample from the last early one on
-        codes, starts, owner, offset, room = [], [], [], [], []
-        size = 0
-        for i in long:
-            own = _codes(self.texts[i])
-            begins = _window_starts(own, ITEM_STEP)
-            codes += [own, np.zeros(SPAN + 1, np.uint8)]
-            starts.append(begins + size)
-            owner.append(np.full(len(begins), i))
-            offset.append(begins)
-            room.append(len(own) - begins)
-            size += len(own) + SPAN + 1
-        for r in range(REPEATS):
-            if not long:
-                break
-            at, own, off = np.concatenate(starts), np.concatenate(owner), np.concatenate(offset)
-            keys, used = self._walk(r, np.concatenate(codes), at)
-            inside = used <= np.concatenate(room)  # the walk did not leave the item
-            tables = [_bits(k[inside]) for k in keys[EARLY - 1 :]]
-            order = np.argsort(keys[-1][inside], kind="stable")
-            self.windows.append((keys[-1][inside][order], own[inside][order], off[inside][order], tables))
+        if not long:
+            return
+        windows = _laid_out([_codes(self.texts[i]) for i in long], ITEM_STEP)
+        copies = self._edited_copies(rng, long)
+        met = np.zeros(len(copies), bool)
+        while len(self.windows) < MOST_REPEATS and (not self.windows or met.mean() < target_recall):
+            self.windows.append(self._indexed(len(self.windows), np.array(long), *windows))
+            met |= [len(self._found(self.windows[-1], len(self.windows) - 1, i, copy)) > 0 for i, copy in copies]
+
+    def _indexed(self, r: int, long: np.ndarray, codes: np.ndarray, at: np.ndarray, own: np.ndarray, off: np.ndarray, room: np.ndarray) -> tuple:
+        """The windows of one repetition. Those that many items share propose all of these wherever one
+        of them is, so an item with enough others goes without."""
+        keys, used = self._walk(r, codes, at)
+        inside = used <= room  # the walk did not leave the item
+        last, own, off = keys[-1][inside], own[inside], off[inside]
+        _, group = np.unique(last, return_inverse=True)
+        pairs = np.unique(np.stack((group, own), axis=1), axis=0)
+        rare = np.bincount(pairs[:, 0], minlength=group.max(initial=-1) + 1)[group] <= SHARED
+        keep = rare | (np.bincount(own[rare], minlength=len(long))[own] < LEAST_RARE)
+        tables = [_bits(k[inside][keep]) for k in keys[EARLY - 1 :]]
+        order = np.argsort(last[keep], kind="stable")
+        return last[keep][order], long[own[keep][order]], off[keep][order], tables
+
+    def _edited_copies(self, rng: np.random.Generator, long: list[int]) -> list[tuple[int, np.ndarray]]:
+        """Some items, each with as many edits as are allowed, as codes."""
+        out = []
+        for i in rng.permutation(long)[:TRIED].tolist():
+            copy = _codes(self.texts[i]).tolist()
+            for _ in range(self.limits[i]):
+                at, kind, letter = rng.integers(len(copy)), rng.integers(3), int(rng.integers(97, 123))
+                copy[at : at + (kind != 1)] = [] if kind == 0 else [letter]
+            out.append((i, np.array(copy, np.uint8)))
+        return out
+
+    def _found(self, windows: tuple, r: int, i: int, copy: np.ndarray) -> np.ndarray:
+        """Windows of a copy that agree with one of the item's."""
+        codes, at, *_ = _laid_out([copy], 1)
+        keys, _ = self._walk(r, codes, at)
+        return np.intersect1d(keys[-1], windows[0][windows[1] == i])
 
     def _index_pieces(self) -> None:
         """Pieces of the short items by their first letters, and patterns of those that are too short for an edit."""
@@ -294,6 +318,17 @@ class Items:
             yield last
 
 
+def _laid_out(texts: list[np.ndarray], step: int) -> tuple[np.ndarray, ...]:
+    """Texts one after the other with room behind each; where their windows begin, whose they are, where in it, and the room left."""
+    begins = [_window_starts(t, step) for t in texts]
+    sizes = np.array([len(t) + SPAN + 1 for t in texts])
+    base = np.cumsum(sizes) - sizes
+    own = np.repeat(np.arange(len(texts)), [len(b) for b in begins])
+    off = np.concatenate(begins)
+    codes = np.concatenate([c for t in texts for c in (t, np.zeros(SPAN + 1, np.uint8))])
+    return codes, off + base[own], own, off, np.array([len(t) for t in texts])[own] - off
+
+
 def _inside_word(text: str, at: int) -> bool:
     return 0 < at < len(text) and bool(IN_WORD.match(text[at - 1]) and IN_WORD.match(text[at]))
 
@@ -376,22 +411,32 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.1) ->
     return texts.mapInPandas(lambda batches: iter(()), schema) if found is None else found
 
 
-def is_leaked(benchmark: DataFrame, max_edits: float = 0.1, text: str = "text") -> Column:
-    """Whether the text holds an item; for filters on documents of any columns."""
+def _leak_flag(rows: list[tuple[int | None, str]], max_edits: float):
+    @F.pandas_udf("boolean")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(leaks) for leaks in _items(rows, max_edits).leaks(list(texts))])
 
-    def flag(rows):
-        @F.pandas_udf("boolean")
-        def run(texts: pd.Series) -> pd.Series:
-            return pd.Series([bool(leaks) for leaks in _items(rows, max_edits).leaks(list(texts))])
+    return run
 
-        return run
 
+def is_leaked(benchmark: DataFrame, max_edits: float = 0.1, text: str = "text") -> Column:
+    """Whether the text holds an item; for filters by a benchmark of one block (``without_leaks`` takes any)."""
     out = F.lit(False)
     for rows in item_blocks(benchmark):
-        out = out | flag(rows)(text_of(text))
+        out = out | _leak_flag(rows, max_edits)(text_of(text))
     return out
 
 
+def without_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.1) -> DataFrame:
+    """The documents without an item, all columns. Of several blocks of items each is a pass over what the one before left."""
+    blocks = list(item_blocks(benchmark))
+    for n, rows in enumerate(blocks):
+        docs = docs.where(~_leak_flag(rows, max_edits)(text_of()))
+        if n + 1 < len(blocks):
+            docs = stored(spark, docs, "unleaked")
+    return docs
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -35,13 +35,32 @@ BUCKETS = 1 << 15
 TEMPER, MOST = 0.1, 20.0
 LEAN = 5.0
 CHUNK = 1 << 20
-UNSEEN = re.compile(r"(?is)<!--.*?-->|<(script|style|nav|noscript)\b.*?</\1\s*>")
+#: Languages that the text model knows at most, those with most documents: its size is no matter of the input.
+MODELLED = 256
+OPENS = re.compile(r"(?i)<!--|<(script|style|nav|noscript)\b")
+CLOSES = {"": re.compile("-->")} | {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style", "nav", "noscript")}
 TAG = re.compile(r"<[^>]*>")
 
 
 def visible_text(page: str) -> str:
-    """The page without scripts, styles, menus, comments and tags."""
-    return html.unescape(TAG.sub(" ", UNSEEN.sub(" ", page)))
+    """The page without scripts, styles, menus, comments and tags.
+
+    What has no end is left in. Every sign is passed over a few times at most, whatever is left open: an
+    end that was looked for once and is not there is not looked for again.
+    """
+    parts, at, kept, endless = [], 0, 0, set()
+    while opened := OPENS.search(page, at):
+        name = (opened[1] or "").lower()
+        closed = None if name in endless else CLOSES[name].search(page, opened.end())
+        if closed:
+            parts += [page[kept : opened.start()], " "]
+            at = kept = closed.end()
+        else:
+            endless.add(name)
+            at = opened.start() + 1
+    seen = "".join([*parts, page[kept:]])
+    last = seen.rfind(">") + 1  # behind it no tag ends
+    return html.unescape(TAG.sub(" ", seen[:last]) + seen[last:])
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -73,8 +92,11 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
 
 
 def text_model(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages, and tempered log likelihood of each bucket (languages x ``BUCKETS``): a size that no input changes."""
-    counts = trigram_counts(docs).toPandas()
+    """Languages, and tempered log likelihood of each bucket: ``MODELLED`` x ``BUCKETS`` numbers at most."""
+    lang = F.col("lang").cast("string").alias("lang")
+    known = docs.where("lang is not null").groupBy(lang).agg(F.count("*").alias("n"))
+    langs = [r["lang"] for r in known.orderBy(F.desc("n"), "lang").limit(MODELLED).collect()]
+    counts = trigram_counts(docs.where(F.col("lang").cast("string").isin(langs))).toPandas()
     langs = sorted(counts["lang"].unique())
     n = np.ones((len(langs), BUCKETS))
     if langs:
@@ -101,7 +123,8 @@ def page_evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> Data
             yield batch.assign(text_logs=logs)
 
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    tag = F.lower(F.regexp_extract(text_of("html"), r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
+    opening = F.regexp_extract(text_of("html"), r"(?i)<html\b([^>]*)", 1)
+    tag = F.lower(F.regexp_extract(opening, r"(?i)\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
     named = pages.select("page_id", host.alias("host"), tag.alias("declared"), text_of("html").alias("html"))
     named = named.select(
         "page_id",

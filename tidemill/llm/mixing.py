@@ -7,12 +7,13 @@ documents come first. A source whose target exceeds its size is taken whole as
 often as it fits, and only the rest is a prefix, cut where its word sum is nearest.
 
 The prefix sum of a source never runs in one task: keys fall into ``CELLS`` ordered
-cells, whose sums are partial aggregates; the running sum over cells finds the one cell
+cells, even in the logarithm, so that no weight crowds a cell: one holds about a four-thousandth of its source at
+most. Their sums are partial aggregates; the running sum over cells finds the one cell
 in which the cut lies, and only that cell's documents are sorted.
 
 Defined results: a null text has size 0, empty texts too; they are taken with 0 words. A
-null source is a source of its own, last in order. Keys depend on ``doc_id`` alone, so
-reruns agree; rows that repeat a ``doc_id`` (or have none) draw the same key and are taken alike. A source
+null source is a source of its own, last in order. Keys depend on ``doc_id`` and text, so
+reruns agree and rows without ``doc_id`` or of one differ by text; only rows that repeat both draw the same key and are taken alike. A source
 without words is not in the mix. With no words at all, targets are 0. An empty table gives no rows. Other columns
 are not read.
 """
@@ -25,7 +26,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemill.llm.common import WORD, stored, table, text_of
 
-CELLS = 4096
+CELLS = 1 << 16
+#: Logarithms of the least and the greatest key that 52 bits and a weight of 0.1 can give.
+LOG_KEYS = (-37.0, 6.0)
 #: Sources up to which their table (a hundred bytes each) is sent to all tasks; beyond, it is joined.
 BROADCAST_SOURCES = 100_000
 #: Signs that prose has few of; their share lowers a document's quality weight.
@@ -40,8 +43,9 @@ def quality_weight() -> Column:
 
 
 def draw(seed: str, quality: Column) -> Column:
-    """An exponential key at rate ``quality``, from the document's id alone."""
-    bits = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13)
+    """An exponential key at rate ``quality``, from the document's id and text."""
+    own = F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(text_of()))
+    bits = F.substring(F.md5(own), 1, 13)
     uniform = (F.conv(bits, 16, 10).cast("long") + 1) / F.lit(4503599627370497.0)
     return -F.log(uniform) / quality
 
@@ -85,7 +89,8 @@ def keyed(docs: DataFrame, seed: str) -> DataFrame:
     rows = docs.select(
         F.struct(*docs.columns).alias("doc"), F.col("source"), draw(seed, quality_weight()).alias("key"), text_of().alias("text")
     )
-    cell = F.least(F.lit(CELLS - 1), F.floor((1 - F.exp(-F.col("key"))) * CELLS).cast("int"))
+    place = F.floor((F.log("key") - LOG_KEYS[0]) / (LOG_KEYS[1] - LOG_KEYS[0]) * CELLS)
+    cell = F.least(F.lit(CELLS - 1), F.greatest(F.lit(0), place)).cast("int")
     return rows.select("doc", "source", "key", cell.alias("cell"), "text")
 
 
@@ -204,7 +209,7 @@ WITH sized AS (
   FROM documents),
 keyed AS (
   SELECT doc_id, source, size,
-         -ln((('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 1) / 4503599627370497.0::DOUBLE)
+         -ln((('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(t)), 1, 13))::BIGINT + 1) / 4503599627370497.0::DOUBLE)
            / (0.1::DOUBLE + 0.9::DOUBLE * clean * clean * clean * clean) AS key
   FROM sized),
 sources AS (SELECT source, sum(size)::DOUBLE AS source_size FROM sized GROUP BY source),

@@ -20,8 +20,8 @@ A pair at similarity 0.8 shares no bucket with probability (1 - 0.8**5)**30 < 1e
 is refused with less than that.
 
 Defined results: a null text counts as empty; an empty set has no link. Words are taken from whole texts
-of any length. Equal texts are linked. Rows that share a ``doc_id`` are the same document and so
-share a component; a row without ``doc_id`` is linked with nothing, has no component and
+of any length. Equal texts are linked. Rows that share a ``doc_id`` are nodes of one name: what links one of their texts may
+link the others (``without_near_duplicates`` tells them apart); a row without ``doc_id`` is linked with nothing, has no component and
 is kept. An empty table gives no rows. Other columns are not read.
 """
 
@@ -42,7 +42,7 @@ TILE = 256
 CHUNK = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, odd array<long>"
+SKETCH = "key long, absent boolean, name long, n_shingles long, set_a long, set_b long, keys array<long>, odd array<long>"
 
 
 def _mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -95,7 +95,7 @@ def _coefficients() -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(docs: DataFrame, width: int) -> DataFrame:
-    """A row per document: size of its set, 128 bits that name the set, band keys, odd sketch."""
+    """A row per document: a name of its text, size of its set, 128 bits that name the set, band keys, odd sketch."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         times, plus = _coefficients()
@@ -119,13 +119,15 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
                 odd = np.packbits(np.bincount(flips, minlength=SKETCH_BITS) & 1).view(np.int64)
                 set_a, set_b = _mixed(own, 3).sum(), _mixed(own, 4).sum()
                 out.append((len(own), set_a.astype(np.int64), set_b.astype(np.int64), keys.view(np.int64), odd))
-            yield pd.DataFrame(
-                [(key, *o) for key, o in zip(batch["doc_id"], out, strict=True)],
-                columns=["doc_id", "n_shingles", "set_a", "set_b", "keys", "odd"],
-            ).astype({"doc_id": "Int64"})
+            found = pd.DataFrame(out, columns=["n_shingles", "set_a", "set_b", "keys", "odd"])
+            yield found.assign(**{c: batch[c].to_numpy() for c in ("key", "absent", "name")})
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return texts.mapInPandas(rows, SKETCH)
+    doc_id = F.col("doc_id").cast("long")
+    texts = docs.select(
+        F.coalesce(doc_id, F.lit(0)).alias("key"), doc_id.isNull().alias("absent"), F.xxhash64(text_of()).alias("name"), text_of().alias("text")
+    )
+    found = texts.mapInPandas(rows, SKETCH)
+    return found.select(F.when(~F.col("absent"), F.col("key")).alias("doc_id"), *found.columns[2:])
 
 
 def differing_bits(a: str, b: str) -> Column:
@@ -144,6 +146,11 @@ def most_differing_bits(similarity: float) -> int:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row; links need ``similarity`` of the sets or more."""
+    return _decided(spark, docs, width, similarity).drop("name")
+
+
+def _decided(spark: SparkSession, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The rows of ``near_dedup`` with the ``name`` of their text."""
     sketches = stored(spark, sketch(docs, width), "sketches")
     named = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = stored(
@@ -186,19 +193,43 @@ def near_dedup(spark: SparkSession, docs: DataFrame, width: int = 5, similarity:
 
     by_set = ["set_a", "set_b", "n_shingles"]
     whole = (
-        sketches.select("doc_id", *by_set)
+        sketches.select("doc_id", "name", *by_set)
         .join(classes, by_set, "left")
         .join(components.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
+        .select("doc_id", "name", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
     )
     return whole.select(
         "doc_id",
+        "name",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
         (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"),
     )
 
 
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that stay, with all columns: one of each group, one of rows equal in id and text.
+
+    A row is its id and text. Texts that share an id are documents of their own here: each goes by a hash of both instead of the id,
+    so none goes because another one of that id does.
+    """
+    key, name = F.col("doc_id").cast("long"), F.xxhash64(text_of())
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), key.alias("doc_id"), name.alias("name"), text_of().alias("text"))
+    names = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("name").alias("low"), F.max("name").alias("high"))
+    shared = stored(spark, names.where("low <> high").select("doc_id"), "shared")
+    if not shared.isEmpty():
+        told = rows.join(shared.withColumn("told", F.lit(True)), "doc_id", "left")
+        rows = told.withColumn("doc_id", F.when(F.col("told"), F.xxhash64("doc_id", "name")).otherwise(F.col("doc_id")))
+    decided = stored(spark, _decided(spark, rows.select("doc_id", "text"), width, similarity), "decided")
+    dropped = decided.where("not kept").select("doc_id", "name").distinct()
+    rows = rows.select("doc", "doc_id", "name").join(dropped, ["doc_id", "name"], "left_anti")
+    repeated = decided.where("kept and doc_id is not null").groupBy("doc_id", "name").agg(F.count("*").alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        once = rows.where("doc_id is not null").dropDuplicates(["doc_id", "name"])
+        rows = once.union(rows.where("doc_id is null"))
+    return rows.select("doc.*")
+
+
 def _sets_of(docs: DataFrame, width: int) -> DataFrame:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -68,9 +69,9 @@ class Scanner:
         if "AKIA" in text:
             found += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
         found += [("hex", *m.span()) for m in HEX.finditer(text)]
-        taken = list(found)
+        taken = Taken([(s, e) for _, s, e in found])
         for m in RUN.finditer(text):
-            for start, end in _without(*m.span(), taken):
+            for start, end in taken.left_of(*m.span()):
                 found += [("random", a, b) for a, b in self.random_parts(text, start, end)]
         return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
@@ -88,8 +89,8 @@ class Scanner:
                     yield a, b
 
     def _between_words(self, text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
-        uuids = [("uuid", *m.span()) for m in EMBEDDED_UUID.finditer(text, start, end)]
-        for low, high in _without(start, end, uuids):
+        uuids = Taken([m.span() for m in EMBEDDED_UUID.finditer(text, start, end)])
+        for low, high in uuids.left_of(start, end):
             first = last = None
             for a, b in _pieces(text, low, high):
                 if self._is_word(text[a:b]):
@@ -124,13 +125,29 @@ class Scanner:
         return ratio <= RANDOM_RATIO and not (ratio > LETTERS_RATIO and WORDY.match(body))
 
 
-def _without(start: int, end: int, taken: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
-    """What the taken spans leave of a run; all of it if none overlaps, else what is long enough."""
-    cuts = sorted((s, e) for _, s, e in taken if s < end and start < e)
-    for s, e in [*cuts, (end, end)]:
-        if s - start >= LEAST:
-            yield start, s
-        start = max(start, e)
+class Taken:
+    """Spans that are taken, merged, and found by bisection: a run meets only those that overlap it."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.begins: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.begins.append(start)
+                self.ends.append(end)
+
+    def left_of(self, start: int, end: int) -> Iterator[tuple[int, int]]:
+        """What the spans leave of a run; all of it if none overlaps, else what is long enough."""
+        i = bisect_right(self.ends, start)
+        while i < len(self.begins) and self.begins[i] < end:
+            if self.begins[i] - start >= LEAST:
+                yield start, self.begins[i]
+            start = max(start, self.ends[i])
+            i += 1
+        if end - start >= LEAST:
+            yield start, end
 
 
 def _pieces(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:

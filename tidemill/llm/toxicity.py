@@ -3,15 +3,16 @@
 1. Lexicon. Words and word beginnings of the fitting rows are counted by toxic and clean documents in a
    grouped aggregation; the ``ENTRIES`` that tell most become lexicon entries.
 2. Voters. The ``VOTERS`` best entries and a few patterns (shouting, exclamation marks, signs, repeated words,
-   direct address) each vote or abstain on a document; the given label is one more voter that errs now and then.
-3. Label model. Expectation maximisation estimates how often each voter speaks on toxic and on
-   clean documents, and the correlations of the votes within either; the voters' weights come from
-   both, so voters that repeat each other count once. It yields a posterior for each row.
-4. Classifier. A logistic regression on entry counts and patterns is fitted to the posteriors. It alone
+   direct address) each vote or abstain on a document; the given label is one more voter, absent from rows without one.
+3. Label model. Expectation maximisation over labelled and other rows estimates how often each voter speaks on toxic and on
+   clean documents, how often the given label is right in either class, and the correlations of the votes within either; the
+   voters' weights come from these, so voters that repeat each other count once. It yields a posterior for each row.
+4. Classifier. A logistic regression on entry counts and patterns is fitted to the posteriors of the labelled rows. It alone
    scores documents, from their whole texts.
 
-``fit_rows`` bounds the labelled rows that are fitted on: a share of them by hash of ``doc_id``, close to that many
-where there are more. Everything else covers all rows. What the driver holds is bounded by ``fit_rows`` and ``ENTRIES``.
+``fit_rows`` bounds the labelled rows that are fitted on, ``more_rows`` those without a label: a share of them by hash of
+``doc_id``, close to that many where there are more. Everything else covers all rows. What the driver holds is bounded by both and
+``ENTRIES``.
 Labels are learnt only from rows whose crc32 of ``doc_id`` as text leaves another remainder than 1 by 3.
 The score reads the text and nothing else.
 
@@ -39,8 +40,8 @@ ENTRIES, VOTERS = 400, 60
 SUPPORT = 3
 #: Nats of log likelihood that an entry must gain: among ten thousands of words, chance alone gives fewer.
 LEAST_GAIN = 9.0
-#: How often a given label is taken to be right.
-LABEL_TRUST = 0.98
+#: How often a given label is taken to be right at first, and how many rows that belief counts for beside the rows themselves.
+LABEL_TRUST, BELIEF = 0.98, 20
 LETTERS = re.compile(r"[^\W\d_]+")
 ADDRESS = frozenset("you your du dein euch tu vous ton toi usted".split())
 PATTERNS = ("shouting", "exclaims", "signs", "repeats", "address")
@@ -71,14 +72,19 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fitting_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
-    """``text, toxic`` of the labelled rows to fit on."""
+def fitting_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int, more_rows: int) -> DataFrame:
+    """``text, toxic`` of the labelled rows to fit on, and of some without label (null), none of them held out."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out())
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    share = min(1.0, fit_rows / max(1, known.count()))
-    picked = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    below = lambda share: F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
+    picked = known.where(below(min(1.0, fit_rows / max(1, known.count()))))
+    texts = docs.select("doc_id", text_of().alias("text"))
     # About fit_rows rows of two numbers: the parameter is the bound of the broadcast.
-    return stored(spark, docs.select("doc_id", text_of().alias("text")).join(F.broadcast(picked), "doc_id").select("text", "toxic"), "fit")
+    fit = texts.join(F.broadcast(picked), "doc_id").select("text", "toxic")
+    some = below(min(1.0, more_rows / max(1, docs.count())))
+    others = texts.where(F.col("doc_id").isNotNull() & some).where(~held_out())
+    others = others.join(F.broadcast(known.where(some).select("doc_id")), "doc_id", "left_anti")
+    return stored(spark, fit.union(others.select("text", F.lit(None).cast("int"))), "fit")
 
 
 def lexicon(fit: DataFrame, n_rows: int, n_toxic: int) -> list[str]:
@@ -142,32 +148,40 @@ class Reader:
         return row
 
 
-def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, dict]:
-    """Posteriors of the rows from votes (rows x voters, 0 or 1) and from labels as one more voter.
+def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, dict]:
+    """Posteriors of the rows from votes (rows x voters, 0 or 1) and from labels as one more voter, which abstains where it is nan.
 
-    The model: voter ``i`` speaks with rate ``toxic[i]`` or ``clean[i]`` and abstains else, which says nothing. Votes are
-    correlated within either class; a voter's log ratio is divided by one plus its positive correlations
-    with the others, so voters that repeat each other count once.
+    The model: voter ``i`` speaks with rate ``toxic[i]`` or ``clean[i]`` and is silent else, and either is evidence. Votes are
+    correlated within either class; a voter's log ratios are divided by one plus its positive correlations
+    with the others, so voters that repeat each other count once. The given label is a voter whose accuracy in either
+    class is estimated like the rest, from ``LABEL_TRUST`` on; rows without one are told by the other voters alone.
     """
-    trust = math.log(LABEL_TRUST / (1 - LABEL_TRUST)) * (2 * labels - 1)
-    posterior = np.where(labels > 0, LABEL_TRUST, 1 - LABEL_TRUST)
+    given = ~np.isnan(labels)
+    says = np.where(given, labels > 0, False)
+    base = float(np.clip(says[given].mean() if given.any() else 0.5, 1e-4, 1 - 1e-4))
+    posterior = np.where(given, np.where(says, LABEL_TRUST, 1 - LABEL_TRUST), base)
     for _ in range(rounds):
         prior = float(np.clip(posterior.mean(), 1e-4, 1 - 1e-4))
         toxic = (posterior @ votes + 1) / (posterior.sum() + 2)
         clean = ((1 - posterior) @ votes + 1) / ((1 - posterior).sum() + 2)
+        # How often the label is right in either class.
+        hit = (posterior[given & says].sum() + BELIEF * LABEL_TRUST) / (posterior[given].sum() + BELIEF)
+        pass_ = ((1 - posterior)[given & ~says].sum() + BELIEF * LABEL_TRUST) / ((1 - posterior)[given].sum() + BELIEF)
+        told = np.where(says, math.log(hit / (1 - pass_)), math.log((1 - hit) / pass_)) * given
         covariance = prior * np.cov(votes.T, aweights=posterior, ddof=0)
         covariance += (1 - prior) * np.cov(votes.T, aweights=1 - posterior, ddof=0)
         scale = np.sqrt(np.maximum(np.diag(covariance), 1e-9))
         correlation = covariance / np.outer(scale, scale)
-        weights = np.log(toxic / clean) / (1 + np.maximum(correlation - np.eye(len(scale)), 0).sum(axis=1))
-        odds = math.log(prior / (1 - prior)) + votes @ weights + trust
+        alike = 1 + np.maximum(correlation - np.eye(len(scale)), 0).sum(axis=1)
+        weights, silence = np.log(toxic / clean) / alike, np.log((1 - toxic) / (1 - clean)) / alike
+        odds = math.log(prior / (1 - prior)) + votes @ (weights - silence) + silence.sum() + told
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         done = np.abs(new - posterior).max() < 1e-6
         posterior = new
         if done:
             break
     accuracy = prior * toxic / (prior * toxic + (1 - prior) * clean)
-    return posterior, {"accuracy": accuracy, "correlation": correlation, "weights": weights}
+    return posterior, {"accuracy": accuracy, "correlation": correlation, "weights": weights, "label": (hit, pass_)}
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 40) -> np.ndarray:
@@ -203,14 +217,15 @@ class Model:
         return out
 
 
-def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int = 24_000) -> Model:
-    fit = fitting_rows(spark, docs, labels, fit_rows)
-    n_rows, n_toxic = fit.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int = 24_000, more_rows: int = 8_000) -> Model:
+    """Fitted on about ``fit_rows`` labelled rows and ``more_rows`` others: the lexicon by the labelled ones, the rest by all."""
+    fit = fitting_rows(spark, docs, labels, fit_rows, more_rows)
+    n_rows, n_toxic = fit.agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if n_toxic in (0, n_rows):
         share = n_toxic / n_rows if n_rows else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model([], np.array([0.0] * len(PATTERNS) + [math.log(share / (1 - share))]))
-    entries = lexicon(fit, n_rows, n_toxic)
+    entries = lexicon(fit.where("toxic is not null"), n_rows, n_toxic)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(entries)
@@ -218,7 +233,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int
             rows = [reader.row(t).astype(np.float16).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"row": rows, "toxic": batch["toxic"]})
 
-    # fit_rows rows of ENTRIES small numbers.
+    # fit_rows + more_rows rows of ENTRIES small numbers.
     got = fit.mapInPandas(read, "row binary, toxic int").toPandas()
     x = np.frombuffer(b"".join(got["row"]), np.float16).reshape(len(got), -1).astype(np.float32)
     y = got["toxic"].to_numpy(np.float64)
@@ -226,7 +241,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int
     patterns = x[:, n:-1]
     votes = np.concatenate((x[:, : min(n, VOTERS)] > 0, patterns > np.maximum(0.05, np.quantile(patterns, 0.9, axis=0))), axis=1)
     posterior, _ = label_model(votes.astype(np.float64), y)
-    return Model(entries, fit_logistic(x, posterior))
+    labelled = ~np.isnan(y)  # where nothing but votes tells, a toxic text without a listed word would teach that it is clean
+    return Model(entries, fit_logistic(x[labelled], posterior[labelled]))
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
