@@ -1,7 +1,8 @@
 """From raw documents to token shards: five stages, each on all that the one before kept.
 
 1. ``toxicity``: documents that the classifier rejects go.
-2. ``near_dedup``: of each group of near-duplicates the smallest ``doc_id`` stays (five-word shingles, 0.8).
+2. ``near_dedup``: of each group of near-duplicates the smallest ``doc_id`` stays (five-word shingles, 0.8); a row goes by its
+   id and text, so texts that share an id are told apart, and of rows equal in both one stays.
 3. ``decontaminate``: documents that hold a benchmark item go.
 4. ``mix``: each source is taken as often as its target asks, the rest as a weighted sample.
 5. ``token_output``: the mix becomes binary shards with an index; the result is read back from them.
@@ -15,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemill.llm.common import stored, table
-from tidemill.llm.decontaminate import is_leaked
+from tidemill.llm.decontaminate import without_leaks
 from tidemill.llm.mixing import mixed_documents
-from tidemill.llm.near_dedup import near_dedup
+from tidemill.llm.near_dedup import without_near_duplicates
 from tidemill.llm.token_output import token_output
 from tidemill.llm.toxicity import toxicity_score, train
 
@@ -30,12 +31,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    dropped = near_dedup(spark, docs, width=5, similarity=0.8).where("not kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    return without_near_duplicates(spark, docs, width=5, similarity=0.8)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs.where(~is_leaked(table(spark, sf_dir, "benchmark")))
+    return without_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
