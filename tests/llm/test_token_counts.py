@@ -2,7 +2,7 @@ import public_tokenizers
 import sentencepiece
 from hypothesis import given, settings, strategies as st
 
-from tidemill.llm.token_counts import PrefixCounter, counts_of, fitting_prefix, prefix_counts
+from tidemill.llm.token_counts import PrefixCounter, counts_of, fitting_prefix, fitting_prefixes, op1_token_counts, prefix_counts
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -39,3 +39,30 @@ def test_odd_documents(spark, odd_docs, odd_rows, no_docs):
     want = sorted((str(r[0]), len(t.encode()), n := len(PIECES.encode(t)), n > 4) for r, t in zip(odd_rows, texts, strict=True))
     assert sorted((str(r[0]), *r[1:4]) for r in got.collect()) == want
     assert prefix_counts(no_docs, MODEL).collect() == []
+
+
+def test_a_stored_table_answers_any_budget(spark, odd_docs, odd_rows, tmp_path):
+    prefix_counts(odd_docs, MODEL).write.parquet(str(tmp_path / "prefixes"))
+    kept = spark.read.parquet(str(tmp_path / "prefixes"))
+    budgets = (0, 1, 5, 100)
+    got = sorted((str(r["doc_id"]), r["n_bytes"], r["fits"]) for r in fitting_prefixes(kept, budgets).collect())
+    want = []
+    for doc_id, text, *_ in odd_rows:
+        text = text or ""
+        short = text[:2000]  # any prefix within these budgets is shorter
+        counts = [len(PIECES.encode(short[:p])) for p in range(len(short) + 1)]
+        want.append((str(doc_id), len(text.encode()), [max(p for p, n in enumerate(counts) if n <= b) for b in budgets]))
+    assert got == sorted(want)
+
+
+def test_query_counts_like_the_library(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = op1_token_counts(spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        text = texts[r["doc_id"]]
+        n = len(PIECES.encode(text))
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(text.encode()), n, n > 4096)
+        for name, budget in (("fit_chars_512", 512), ("fit_chars_1024", 1024)):
+            assert r[name] == len(text) if n <= budget else len(PIECES.encode(text[: r[name]])) <= budget

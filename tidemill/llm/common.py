@@ -14,7 +14,20 @@ from tidemill.storage import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows that pass to a Python worker at once where the session leaves Spark's default: texts are long, and batches are held
+#: several times over, in the JVM and in the worker.
+ROWS_AT_ONCE = 1500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep the memory of Python steps low in this session, unless it has a batch size of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(ROWS_AT_ONCE))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,10 +51,11 @@ def shuffles_released(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def stored(spark: SparkSession, df: DataFrame, label: str, **options: str) -> DataFrame:
     """``df`` written below the shared folder and read back: the plan ends there, and lost executors lose nothing."""
+    small_batches(spark)
     path = scratch_dir(spark, label) + "/data"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

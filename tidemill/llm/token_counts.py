@@ -9,7 +9,8 @@ remembers the units it has met. The count of a text is the sum of its units, wit
 second encoding.
 
 The stored form is one signed byte per code point: how the count changes when the
-text grows by that code point. Its running sum is the count of each prefix.
+text grows by that code point. Its running sum is the count of each prefix, so a table of it answers
+any budget later (``fitting_prefixes``).
 
 Defined results: a null text counts as empty and has no tokens; rows are kept one for one,
 repeated ones and those without ``doc_id`` included; texts are taken whole; an empty
@@ -19,16 +20,16 @@ table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 import collections
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm.common import process_memory, table, text_of
+from tidemill.llm.common import process_memory, stored, table, text_of
 
 BLANK = "▁"
-#: Units that a worker remembers.
+#: Units that a worker remembers, the first met; later ones are counted again in every chunk that has them, which only takes time.
 REMEMBERED = 500_000
 #: Characters of text that are split into units at once.
 CHUNK = 4 << 20
@@ -281,11 +282,27 @@ def prefix_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFr
     )
 
 
+def fitting_prefixes(counted: DataFrame, budgets: Sequence[int]) -> DataFrame:
+    """``counted`` with ``fits``: for each budget, the code points of the longest prefix within it. From ``prefix_steps``
+    alone, so a stored table answers any budget without its texts or the tokenizer."""
+
+    @F.pandas_udf("array<long>")
+    def fits(steps: pd.Series, n_tokens: pd.Series) -> pd.Series:
+        return pd.Series(
+            [[len(s) if n <= b else fitting_prefix(s, b) for b in budgets] for s, n in zip(steps, n_tokens, strict=True)], dtype=object
+        )
+
+    return counted.withColumn("fits", fits("prefix_steps", "n_tokens"))
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     counted = prefix_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
-    return counted.drop("prefix_steps")
+    kept = stored(spark, counted, "prefixes", compression="zstd")
+    return fitting_prefixes(kept, (512, 1024)).select(
+        "doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars", F.col("fits")[0].alias("fit_chars_512"), F.col("fits")[1].alias("fit_chars_1024")
+    )
 
 
 QUERIES = {"op1_token_counts": op1_token_counts}

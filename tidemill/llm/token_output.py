@@ -39,7 +39,7 @@ from tidemill.llm.words import span_hashes
 from tidemill.storage import scratch_dir
 
 PER_BUCKET = 2048
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 #: Bytes of ids that a task gives out at once, and records of a file: a shard of more goes on in another file.
 AT_ONCE, RECORDS_PER_FILE = 4 << 20, 1 << 16
 ORDER = ("absent", "key", "chars", "mark")

@@ -42,6 +42,8 @@ SUPPORT = 3
 LEAST_GAIN = 9.0
 #: How often a given label is taken to be right at first, and how many rows that belief counts for beside the rows themselves.
 LABEL_TRUST, BELIEF = 0.98, 20
+#: Words whose entries a task remembers before it begins anew.
+REMEMBERED = 150_000
 LETTERS = re.compile(r"[^\W\d_]+")
 ADDRESS = frozenset("you your du dein euch tu vous ton toi usted".split())
 PATTERNS = ("shouting", "exclaims", "signs", "repeats", "address")
@@ -130,7 +132,7 @@ class Reader:
         for word, n in words.items():
             places = self.of_word.get(word)
             if places is None:
-                if len(self.of_word) > 500_000:
+                if len(self.of_word) > REMEMBERED:
                     self.of_word.clear()
                 places = self.of_word[word] = tuple(self.place[e] for e in entries_of(word) if e in self.place)
             for i in places:
