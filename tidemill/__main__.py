@@ -10,8 +10,9 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession, functions as F
 
 from tidemill.functions import normalize_semester
+from tidemill.operators.check_states import run_stored_checks
 from tidemill.operators.ledger import loads_with_rows
-from tidemill.operators.quality import freshness, run_checks
+from tidemill.operators.quality import freshness
 from tidemill.plans.fuel_prices import MODEL, SOURCE
 from tidemill.plans.ingest import ingest
 from tidemill.plans.staging import build_model, compact_model
@@ -59,7 +60,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     elif args.job == "build":
         build_model(spark, SOURCE, MODEL, warehouse, full_refresh=args.full_refresh)
     elif args.job == "check":
-        report = run_checks(warehouse.model_table(MODEL).read(spark), MODEL.checks).collect()  # a line per check
+        report = run_stored_checks(spark, warehouse.model_table(MODEL), MODEL.checks).collect()  # a line per check
         for line in report:
             print(f"{line['status']:5} {line['column_name']}.{line['check_name']}: {line['failures']}")
         return int(any(line["status"] == "fail" for line in report))

@@ -102,6 +102,21 @@ class KeyedTable:
             rows = self._with_slice(rows).where(mine).drop(_SLICE)
         return latest_per_key(rows if base is None else base.union(rows), self.key, newest_first(self.tie_order))
 
+    def read_units(self, spark: SparkSession, units: list[tuple[str, str]]) -> list[DataFrame]:
+        """Rows of the given slices of the given version folders, with columns ``version`` and ``slice``; a frame per version."""
+        schema = T.StructType([*self.schema.fields, T.StructField(_SLICE, T.StringType())])
+        current, by_version = self.slices(spark), {}
+        for version, name in units:
+            by_version.setdefault(version, []).append(escape_glob(current[name]))
+        name = F.coalesce(F.nullif(F.col(_SLICE), F.lit("")), F.lit(_NULL_SLICE)).alias("slice")
+        return [
+            spark.read.schema(schema)
+            .option("basePath", f"{self.root}/{version}")
+            .parquet(*paths)
+            .select(F.lit(version).alias("version"), name, *[F.col(f"`{n}`") for n in self.schema.names])
+            for version, paths in by_version.items()
+        ]
+
     def replace(self, df: DataFrame, mark: int) -> None:
         """Full build: newest row per key of ``df`` becomes the whole table."""
         rows = latest_per_key(df, self.key, newest_first(self.tie_order))
