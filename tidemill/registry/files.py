@@ -14,6 +14,7 @@ from tidemill.operators.describe import describe_columns
 from tidemill.plans.fuel_prices import MODEL, SOURCE
 from tidemill.plans.ingest import ingest
 from tidemill.plans.staging import full_model
+from tidemill.plans.upkeep import expire_batches, pack_batches
 from tidemill.plans.warehouse import Warehouse
 from tidemill.registry.raw_prices import raw_prices, table, with_model, with_raw
 from tidemill.sources import tables
@@ -48,6 +49,26 @@ def ingest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_rows(warehouse.read_raw(spark, SOURCE))
 
 
+def _packed(spark: SparkSession, sf_dir: str, label: str) -> Warehouse:
+    """A warehouse loaded in several small batches, packed, and rid of what the pack replaced."""
+    root = landed(spark, sf_dir, label)
+    warehouse = Warehouse(f"{root}/warehouse")
+    ingest(spark, SOURCE, f"{root}/incoming", warehouse, LOAD_TIME, files_per_batch=6)
+    pack_batches(spark, SOURCE, warehouse)
+    expire_batches(spark, SOURCE, warehouse)
+    return warehouse
+
+
+def ingest_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return file_rows(_packed(spark, sf_dir, "packed").read_raw(spark, SOURCE))
+
+
+def period_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A half-year of the packed warehouse, asked for by the one after the last: the one before it answers."""
+    warehouse = _packed(spark, sf_dir, "packed-period")
+    return file_rows(warehouse.rows_of_period(spark, SOURCE, _after_last(spark, sf_dir)))
+
+
 def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per half-year as the ledger has them after an ingestion."""
     root = landed(spark, sf_dir, "ledger")
@@ -105,8 +126,11 @@ def period_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark, 'period')}/prices"
     raw_prices(spark, sf_dir).write.partitionBy("partition").parquet(path)
     stored = spark.read.schema(SOURCE.raw_schema).parquet(path)
-    last = table(spark, sf_dir, "lineitem").agg(period_of(F.max("l_shipdate")).alias("p")).select(next_period("p")).first()[0]
-    return file_rows(rows_of_period(stored, last))
+    return file_rows(rows_of_period(stored, _after_last(spark, sf_dir)))
+
+
+def _after_last(spark: SparkSession, sf_dir: str) -> str:
+    return table(spark, sf_dir, "lineitem").agg(period_of(F.max("l_shipdate")).alias("p")).select(next_period("p")).first()[0]
 
 
 def content_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,6 +214,8 @@ def contract_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "csv_scan": csv_scan,
     "ingest_batch": ingest_batch,
+    "ingest_packed": ingest_packed,
+    "period_packed": period_packed,
     "ingest_ledger": ingest_ledger,
     "ingest_archive": ingest_archive,
     "rows_per_file": rows_per_file,
@@ -229,6 +255,7 @@ _TYPE_OF = {name: kind for kind, names in _TYPES.items() for name in names}
 ORACLES = {
     "csv_scan": FILE_ROWS_SQL,
     "ingest_batch": FILE_ROWS_SQL,
+    "ingest_packed": FILE_ROWS_SQL,
     "ingest_ledger": with_raw("""
         SELECT "partition", 'loaded' AS load_status, count(*) AS n_rows, TIMESTAMP '2025-07-01' AS loaded_at,
           true AS contents_differ
@@ -239,6 +266,7 @@ ORACLES = {
     "period_rows": with_raw("""
         SELECT * EXCLUDE (source_file, ingestion_ts) FROM raw_prices
         WHERE "partition" = (SELECT max("partition") FROM raw_prices)"""),
+    "period_packed": FILE_ROWS_SQL + ' WHERE "partition" = (SELECT max("partition") FROM raw_prices)',
     "partition_layout": f"""
         WITH periods AS (
           SELECT year(o_orderdate) || '-' || CASE WHEN month(o_orderdate) <= 6 THEN '01' ELSE '02' END AS period,
