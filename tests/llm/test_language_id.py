@@ -121,3 +121,16 @@ def test_the_model_knows_a_bounded_number_of_languages(spark, monkeypatch):
     more = docs(spark).union(spark.createDataFrame([(1000 + i, text("en", 50), f"tag{i}") for i in range(40)], "doc_id long, text string, lang string"))
     langs, model = text_model(more)
     assert len(langs) == 2 and model.shape[0] == 2
+
+
+def test_frequent_hosts_change_the_way_not_the_result(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [
+        (i, f"https://{'hot' if rng.random() < 0.4 else f'h{i}'}.example.{rng.choice(['de', 'fr'])}/", page(rng.choice(list(WORDS)), rng.choice(["de", "fr", ""]), 5))
+        for i in range(90)
+    ]
+    results = []
+    for heavy in (0.01, 0.2, 2.0):
+        monkeypatch.setattr(language_id, "HEAVY", heavy)
+        results.append({i: (r["lang"], r["host"], round(r["confidence"], 9)) for i, r in run(spark, rows).items()})
+    assert len(results[0]) == 90 and results[0] == results[1] == results[2]

@@ -34,6 +34,8 @@ BUCKETS = 1 << 15
 #: Weight of a trigram's log likelihood, and most evidence in favour that a text may give, in nats.
 TEMPER, MOST = 0.1, 20.0
 LEAN = 5.0
+#: Share of all pages from which a host, suffix or tag is taken out of the shuffle; at most one in so many can have it.
+HEAVY = 0.01
 CHUNK = 1 << 20
 #: Languages that the text model knows at most, those with most documents: its size is no matter of the input.
 MODELLED = 256
@@ -140,6 +142,16 @@ def page_evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> Data
     )
 
 
+def _with_sums(pages: DataFrame, values: DataFrame, key: str, n_pages: int) -> DataFrame:
+    """The pages with their value's sums. Values with a ``HEAVY`` share of all pages, which are few, meet their pages by a
+    broadcast; pages of the others, a small share each, are shuffled to them."""
+    frequent = F.col("pages") >= max(1.0, HEAVY * n_pages)
+    heavy, light = values.where(frequent).drop("pages"), values.where(~frequent).drop("pages")
+    often = pages.join(F.broadcast(heavy), key)
+    seldom = pages.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key)
+    return often.unionByName(seldom)
+
+
 def identify(spark: SparkSession, pages: DataFrame, docs: DataFrame) -> DataFrame:
     """``page_id, host, declared, text_lang, lang, confidence`` of every page."""
     langs, model = text_model(docs)
@@ -153,7 +165,7 @@ def identify(spark: SparkSession, pages: DataFrame, docs: DataFrame) -> DataFram
 
     def sums(by: str | None, name: str) -> DataFrame:
         parts = [F.sum(F.exp(F.col("text_logs")[i])) for i in range(n)]
-        return (seen.groupBy(by) if by else seen.groupBy()).agg(F.array(*parts).alias(name))
+        return (seen.groupBy(by) if by else seen.groupBy()).agg(F.array(*parts).alias(name), F.count("*").alias("pages"))
 
     def each(make) -> Column:
         return F.array(*[make(i) for i in range(n)])
@@ -161,13 +173,14 @@ def identify(spark: SparkSession, pages: DataFrame, docs: DataFrame) -> DataFram
     own = lambda i: F.exp(F.col("text_logs")[i])
     total = lambda name: sum((F.col(name)[i] for i in range(1, n)), F.col(name)[0])
     # How often a value comes with each language, smoothed: likelihoods for the declared tag and the suffix.
-    overall = sums(None, "overall").first()["overall"]
+    overall, pages_seen = sums(None, "overall").first()
     tags = sums("declared", "by_tag")
     suffixes = sums("suffix", "by_suffix")
     hosts, domains = sums("host", "by_host"), sums("domain", "by_domain")
-    joined = (
-        seen.join(hosts, "host").join(domains, "domain").join(suffixes, "suffix").join(tags, "declared")
-    ).withColumn("overall", F.array(*[F.lit(x or 0.0) for x in overall]))
+    joined = seen
+    for key, values in (("host", hosts), ("domain", domains), ("suffix", suffixes), ("declared", tags)):
+        joined = stored(spark, _with_sums(joined, values, key, pages_seen), key)
+    joined = joined.withColumn("overall", F.array(*[F.lit(x or 0.0) for x in overall]))
     less = lambda name, i: F.greatest(F.col(name)[i] - own(i), F.lit(0.0))
     prior = joined.withColumn("p_all", each(lambda i: (less("overall", i) + 1) / (total("overall") - 1 + n)))
     prior = prior.withColumn(

@@ -32,7 +32,7 @@ BLANK = "▁"
 #: Units that a worker remembers, the first met; later ones are counted again in every chunk that has them, which only takes time.
 REMEMBERED = 500_000
 #: Characters of text that are split into units at once.
-CHUNK = 4 << 20
+CHUNK = 8 << 20
 #: Units counted in step with each other.
 BLOCK = 100_000
 #: Signs at which a unit may be cut, if no piece lies across.
@@ -252,6 +252,20 @@ def _counter(model_file: str) -> PrefixCounter:
     return held[model_file]
 
 
+def _gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows in frames of about ``CHUNK`` characters: what many texts share is counted once for all of them."""
+    some, size = [], 0
+    for batch in batches:
+        own = int(batch["n_bytes"].sum())
+        if some and size + own > CHUNK:
+            yield pd.concat(some, ignore_index=True)
+            some, size = [], 0
+        some.append(batch)
+        size += own
+    if some:
+        yield pd.concat(some, ignore_index=True)
+
+
 def prefix_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit, fit_chars, prefix_steps`` of every row.
 
@@ -261,7 +275,7 @@ def prefix_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFr
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = _counter(model_file)
-        for batch in batches:
+        for batch in _gathered(batches):
             steps = list(counter.texts_steps(batch["text"].tolist()))
             tokens = [int(np.frombuffer(s, np.int8).sum(dtype=np.int64)) for s in steps]
             yield pd.DataFrame(
