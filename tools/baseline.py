@@ -21,7 +21,7 @@ import duckdb  # noqa: E402
 
 from tidemill.registry import all_oracles  # noqa: E402
 from tidemill.registry.quality import _REPORT_SQL  # noqa: E402
-from tidemill.registry.raw_prices import CLEAN_SQL, MODEL_SQL, RAW_SQL, TIES, with_model, with_raw  # noqa: E402
+from tidemill.registry.raw_prices import CLEAN_SQL, MODEL_SQL, TIES, with_model, with_raw  # noqa: E402
 
 TABLES = "region nation supplier part orders lineitem events documents pages labels".split()
 LATE = "regexp_matches(source_file, '/part-[5-9]\\.csv$')"
