@@ -178,3 +178,27 @@ def test_blocks_of_items_are_passes_of_their_own(spark, odd_docs, monkeypatch):
     assert left.columns == odd_docs.columns
     assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(map(str, [2, 3, 4, None, 8, 9]))
     assert without_leaks(spark, odd_docs, bench.limit(0)).count() == odd_docs.count()
+
+
+def test_long_items_equal_a_search_of_all_pairs():
+    """Every item against every document by edit distance alone: nothing else is found, and what is found is the best."""
+    rng = random.Random(21)
+    texts = [prose(rng, rng.randint(10, 40)) for _ in range(40)]
+    docs = []
+    for _ in range(120):
+        parts = [prose(rng, rng.randint(0, 60))]
+        for i in rng.sample(range(40), rng.choice([0, 1, 2])):
+            parts += [edited(rng, texts[i], int(rng.choice([0, 0.04, 0.09, 0.1, 0.12, 0.2]) * len(texts[i]))), prose(rng, 20)]
+        docs.append(" ".join(parts))
+    items = Items(list(enumerate(texts)), 0.1)
+    want, got = {}, {}
+    for d, leaks in enumerate(items.leaks(docs)):
+        got |= {(d, i): edits for i, edits, *_ in leaks}
+        low = normal(docs[d])
+        for i, t in enumerate(items.texts):
+            edits = min(distances(t, low, True))
+            if edits <= items.limits[i]:
+                want[d, i] = edits
+    assert len(want) > 60
+    assert all(want.get(pair) == edits for pair, edits in got.items())
+    assert len(got) >= 0.97 * len(want)
