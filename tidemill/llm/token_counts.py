@@ -31,8 +31,8 @@ from tidemill.llm.common import process_memory, stored, table, text_of
 BLANK = "▁"
 #: Units that a worker remembers, the first met; later ones are counted again in every chunk that has them, which only takes time.
 REMEMBERED = 500_000
-#: Characters of text that are split into units at once.
-CHUNK = 8 << 20
+#: Characters of text that are split into units at once, and of the texts whose units are counted together.
+CHUNK, GATHERED = 4 << 20, 32 << 20
 #: Units counted in step with each other.
 BLOCK = 100_000
 #: Signs at which a unit may be cut, if no piece lies across.
@@ -253,11 +253,11 @@ def _counter(model_file: str) -> PrefixCounter:
 
 
 def _gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows in frames of about ``CHUNK`` characters: what many texts share is counted once for all of them."""
+    """The rows in frames of about ``GATHERED`` bytes: what many texts share is counted once for all of them."""
     some, size = [], 0
     for batch in batches:
         own = int(batch["n_bytes"].sum())
-        if some and size + own > CHUNK:
+        if some and size + own > GATHERED:
             yield pd.concat(some, ignore_index=True)
             some, size = [], 0
         some.append(batch)
