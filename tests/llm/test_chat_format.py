@@ -136,3 +136,16 @@ def test_local_templates_have_true_prefixes_first_and_are_proven_after():
     assert output == marked_turns(turns)
     assert set(range(1, 65)) <= set(seen) and {128, 256, 300} <= set(seen)
     assert sum(n > 64 for n in seen) == 3 and sum(seen) < 64 * 65 + 16 * 2 * 300 + 2 * 700
+
+
+def test_a_conversation_of_any_size_proves_a_template_declared_local():
+    """Beyond 64 million characters too, the turns must be rendered as their pieces."""
+
+    def numbered(turns):
+        return "".join(f"[{i} {r}]{t}." for i, (r, t) in enumerate(turns))
+
+    state = Incremental(numbered, window=2, proven=2)
+    with pytest.raises(ValueError, match="declared local"):
+        for role, size in (("user", 1), ("assistant", 1), ("user", 65 << 20), ("assistant", 1), ("user", 1)):
+            state.add(role, "x" * size)
+        state.prove()

@@ -14,7 +14,7 @@ length; one conversation is then held by its task and rendered once more per tur
 ``local`` (a turn's piece depends on that turn alone) has true prefixes for ``PROVEN`` turns; beyond, successive prefixes are rendered
 over a window of the last turns, and whole ones only at twice as many turns each time and at the end, where
 the pieces so far must be the output, else the declaration is wrong and an error. So a long conversation costs a few times
-what it holds; its turns are held up to ``HELD_CHARS`` characters, from where on the declaration is trusted. Conversations are streamed turn by turn in order; one conversation stays in one
+what it holds; its turns are held, at any size, so the declaration is never just trusted. Conversations are streamed turn by turn in order; one conversation stays in one
 task, because its digests are sequential.
 
 Defined results: null role and null text count as empty. Rows of a conversation go by turn, null turns first,
@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemill.llm.common import stored, table, text_of
 
 Turn = tuple[str, str]
-#: Turns of a window; turns of a local template that are rendered as true prefixes; characters of a conversation held to prove it.
-WINDOW, PROVEN, HELD_CHARS = 16, 64, 64 << 20
+#: Turns of a window; turns of a local template that are rendered as true prefixes.
+WINDOW, PROVEN = 16, 64
 OPEN, COLON, CLOSE = "### ", ": ", "</turn>\n"
 CONTROL = re.compile(r"\\|###|</turn>")
 ROLE_CONTROL = re.compile(r"\\|###|</turn>|: ")
@@ -78,8 +78,8 @@ class Incremental:
         self.recent: list[Turn] = []
         self.before = render([])
         self.base = len(self.before)
-        self.turns: list[Turn] | None = [] if window else None
-        self.n_turns, self.chars, self.output = 0, 0, hashlib.sha256(self.before.encode("utf-8", "surrogatepass"))
+        self.turns: list[Turn] = []
+        self.n_turns, self.output = 0, hashlib.sha256(self.before.encode("utf-8", "surrogatepass"))
 
     def add(self, role: str, text: str) -> tuple[str, int, int, int, bool, bool]:
         """Piece, start in the output, place of the text in the piece, its length, rewritten, verbatim."""
@@ -94,18 +94,14 @@ class Incremental:
     def _note(self, role: str, text: str, piece: str) -> None:
         """Keep what the whole output must be, and look at it when the turns have doubled."""
         self.n_turns += 1
-        self.chars += len(role) + len(text)
         self.output.update(piece.encode("utf-8", "surrogatepass"))
-        if self.turns is not None:
-            self.turns.append((role, text))
-            if self.chars > HELD_CHARS:
-                self.turns = None
-            elif self.n_turns & (self.n_turns - 1) == 0:
-                self.prove()
+        self.turns.append((role, text))
+        if self.n_turns & (self.n_turns - 1) == 0:
+            self.prove()
 
     def prove(self) -> None:
         """The whole conversation, rendered at once, is what the pieces say."""
-        if self.turns is not None and self.n_turns > self.proven:
+        if self.window and self.n_turns > self.proven:
             whole = self.render(self.turns)
             if len(whole) != self.base or hashlib.sha256(whole.encode("utf-8", "surrogatepass")).digest() != self.output.digest():
                 raise ValueError(f"the template is declared local, but {self.n_turns} turns are not rendered as their pieces")
