@@ -165,9 +165,9 @@ class KeyedTable:
         return df.withColumn(_SLICE, value)
 
     def _publish(self, rows: DataFrame, mark: int, kind: str, writer: str = "") -> None:
-        """Rows lie by key, so every task holds rows of every slice. A second exchange, sized and
-        split by adaptive execution however large a slice is, keeps the number of files
-        down to what the data needs.
+        """Rows lie by key, so every task holds rows of every slice and writes a file for each: as many as there are
+        tasks, which adaptive execution sizes by the data. A second exchange by slice would leave fewer files, and move
+        every row once more.
         """
         versions = self.versions(rows.sparkSession)
         number = versions[0].number + 1 if versions else 0
@@ -175,5 +175,5 @@ class KeyedTable:
         if kind == "delta":
             rows.write.mode("overwrite").parquet(path)
         else:
-            self._with_slice(rows).hint("rebalance", F.col(_SLICE)).write.mode("overwrite").partitionBy(_SLICE).parquet(path)
+            self._with_slice(rows).write.mode("overwrite").partitionBy(_SLICE).parquet(path)
 
