@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, functions as F
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import SparkSession
 
 from tidemill.contracts import SourceContract
 from tidemill.plans.warehouse import Segment, Warehouse
-from tidemill.storage import delete_dir, exclusive, glob_paths
+from tidemill.storage import delete_dir, escape_glob, exclusive, glob_paths, total_bytes
+
+#: Parquet that one task of a pack reads and writes, and so the size of the files that stay.
+FILE_BYTES = 32 * 1024 * 1024
+AT_A_TIME = 8
 
 
 def to_pack(segments: list[Segment]) -> list[Segment]:
@@ -34,14 +40,33 @@ def pack_batches(spark: SparkSession, source: SourceContract, warehouse: Warehou
         if not chosen:
             return None
         pack = Segment(chosen[0].first, chosen[-1].last, f"batches={chosen[0].first}-{chosen[-1].last}-{lease.token}")
-        rows = warehouse.read_segments(spark, source, chosen).hint("rebalance", F.col("partition"))
-        rows.write.mode("overwrite").partitionBy("partition").parquet(f"{warehouse.raw_path(source)}/{pack.folder}")
+        _pack_rows(spark, source, warehouse, chosen, pack.folder)
         entries = warehouse.read_segments(spark, source, chosen, of_ledger=True).hint("rebalance")
         lease.check()
         entries.write.mode("overwrite").parquet(f"{warehouse.ledger_path(source)}/{pack.folder}")
         return pack
 
 
+def _pack_rows(spark: SparkSession, source: SourceContract, warehouse: Warehouse, chosen: list[Segment], folder: str) -> None:
+    """Raw rows of the segments, half-year by half-year: folders of one need no exchange to become few files, and no sort.
+
+    A small half-year is one task, so several are written at a time.
+    """
+    path = warehouse.raw_path(source)
+    found: dict[str, list[tuple[Segment, str]]] = {}
+    for segment in chosen:
+        for of_period in glob_paths(spark, f"{path}/{segment.folder}/partition=*"):
+            found.setdefault(of_period.rsplit("/", 1)[1], []).append((segment, of_period))
+
+    def write(name: str) -> None:
+        n_files = -(-sum(total_bytes(spark, of_period) for _, of_period in found[name]) // FILE_BYTES)
+        rows = warehouse.read_folders(spark, source, [(s, f"{s.folder}/{escape_glob(name)}") for s, _ in found[name]])
+        rows.drop("partition").coalesce(max(1, n_files)).write.mode("overwrite").parquet(f"{path}/{folder}/{name}")
+
+    with ThreadPoolExecutor(AT_A_TIME) as pool:
+        list(pool.map(write, sorted(found)))
+
+
 def expire_batches(spark: SparkSession, source: SourceContract, warehouse: Warehouse) -> int:
     """Drop folders of batches that a pack replaced, and of runs that never committed; for times without readers."""
     with exclusive(spark, warehouse.lease_path(source.name)):

@@ -115,13 +115,19 @@ class Warehouse:
         self, spark: SparkSession, source: SourceContract, segments: Sequence[Segment], of_ledger: bool = False
     ) -> DataFrame:
         """Rows of the given segments. Their folders are named, so no other is listed."""
+        return self.read_folders(spark, source, [(s, s.folder) for s in segments], of_ledger)
+
+    def read_folders(
+        self, spark: SparkSession, source: SourceContract, folders: Sequence[tuple[Segment, str]], of_ledger: bool = False
+    ) -> DataFrame:
+        """Rows of the given folders, each of a segment or of one half-year of it."""
         path = self.ledger_path(source) if of_ledger else self.raw_path(source)
         schema = T.StructType([*(LEDGER_SCHEMA if of_ledger else source.raw_schema).fields, BATCH])
         columns = [F.col(f"`{n}`") for n in schema.names]
         parts = []
-        if singles := [f"{path}/{s.folder}" for s in segments if not s.packed]:
+        if singles := [f"{path}/{folder}" for s, folder in folders if not s.packed]:
             parts.append(spark.read.schema(schema).option("basePath", path).parquet(*singles).select(*columns))
-        if packs := [f"{path}/{s.folder}" for s in segments if s.packed]:
+        if packs := [f"{path}/{folder}" for s, folder in folders if s.packed]:
             parts.append(spark.read.schema(schema).option("basePath", path).parquet(*packs).select(*columns))
         return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], schema)
 
