@@ -5,9 +5,15 @@ import re
 import pytest
 
 from tidemill.plans.fuel_prices import MODEL, SOURCE
+from tidemill.plans.ingest import ingest
+from tidemill.plans.upkeep import pack_batches
+from tidemill.plans.warehouse import Warehouse
 from tidemill.registry import all_queries
 from tidemill.plans.staging import clean, full_model
+from tidemill.registry import raw_prices as adapter
 from tidemill.registry.raw_prices import raw_prices
+from landing import price_file, price_line
+from rows import rows_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -56,3 +62,46 @@ def test_the_adapter_deals_out_narrow_rows_and_the_model_shuffles_once(spark):
 def test_one_scan_for_a_group_of_checks(spark, name, scans):
     plan = plan_of(all_queries()[name](spark, SF))
     assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", plan)) == scans
+
+
+def test_a_large_product_table_deals_out_the_rows_by_itself(spark, monkeypatch):
+    small = rows_of(raw_prices(spark, SF))
+    monkeypatch.setattr(adapter, "BROADCAST_UP_TO", 0)
+    df = raw_prices(spark, SF)
+    assert re.findall(r"(?<!Broadcast)Exchange hashpartitioning\((\w+)#", plan_of(df)) == ["l_partkey", "p_partkey"]
+    assert rows_of(df) == small
+    monkeypatch.setattr(adapter, "TEXTS_UP_TO", 0)
+    assert rows_of(raw_prices(spark, SF)) == small
+
+
+def test_rows_for_landing_files_are_gathered_before_their_texts_are_made(spark):
+    df = raw_prices(spark, SF, by_period=True)
+    assert re.findall(r"(?<!Broadcast)Exchange hashpartitioning\((\w+)#", plan_of(df)) == ["partition"]
+    assert rows_of(df) == rows_of(raw_prices(spark, SF))
+
+
+@pytest.fixture
+def hints(spark, monkeypatch):
+    """Columns that wide rows were gathered by."""
+    frame, seen = type(spark.range(0)), []
+    plain = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda df, name, *columns: seen.extend(columns) or plain(df, name, *columns))
+    return seen
+
+
+def test_a_build_moves_rows_by_key_only(spark, stored_raw, tmp_path, hints):
+    model = Warehouse(str(tmp_path)).model_table(MODEL)
+    model.replace(clean(stored_raw, MODEL), 1)
+    model.merge(clean(stored_raw, MODEL), 2)
+    assert not hints and rows_of(model.read(spark)) == rows_of(full_model(stored_raw, MODEL))
+
+
+def test_a_pack_moves_no_raw_rows(spark, tmp_path, hints):
+    warehouse = Warehouse(str(tmp_path / "warehouse"))
+    for n in range(4):
+        price_file(tmp_path / "in", f"2025-0{n % 2 + 1}", f"part-{n}.csv", [price_line(price=f"{n},00")])
+    ingest(spark, SOURCE, str(tmp_path / "in"), warehouse, files_per_batch=1)
+    before = rows_of(warehouse.read_raw(spark, SOURCE))
+    pack_batches(spark, SOURCE, warehouse)
+    packed = warehouse.read_raw(spark, SOURCE)
+    assert not hints and rows_of(packed) == before and len(packed.inputFiles()) == 2

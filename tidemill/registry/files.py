@@ -28,7 +28,7 @@ LOAD_TIME = datetime(2025, 7, 1)
 def landed(spark: SparkSession, sf_dir: str, label: str) -> str:
     """The raw price rows as CSV files in a scratch landing folder."""
     root = scratch_dir(spark, label)
-    land_csv(raw_prices(spark, sf_dir), SOURCE, f"{root}/incoming")
+    land_csv(raw_prices(spark, sf_dir, by_period=True), SOURCE, f"{root}/incoming", gathered=True)
     return root
 
 

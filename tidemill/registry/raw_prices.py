@@ -14,48 +14,67 @@ from tidemill.plans.fuel_prices import SOURCE, STATES
 # Fixed value: first load time of the adapter.
 FIRST_LOAD = "2025-01-01 00:00:00"
 STATE_TEXT = "".join(STATES)
-BROADCAST_UP_TO = 64 * 1024 * 1024
+# A side is broadcast up to these sizes; texts of resellers further, as making them for every row takes twice the time.
+BROADCAST_UP_TO, TEXTS_UP_TO = 64 * 1024 * 1024, 256 * 1024 * 1024
 # What a built row holds at most: eleven texts of a reseller, two of a product, each in an object of its own.
 RESELLER_BYTES, PRODUCT_BYTES = 600, 160
+# Rows of ``lineitem`` that one task makes texts of: wide rows of so many are sorted without spilling.
+ROWS_PER_TASK = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_side(df: DataFrame, rows: DataFrame, row_bytes: int) -> DataFrame:
-    """A join side with one row for each of ``rows``, broadcast only if what is built of them is small.
+def is_small(rows: DataFrame, row_bytes: int, limit: int) -> bool:
+    """Whether a join side with one row for each of ``rows`` may be broadcast. Counting a file reads its footers only.
 
-    Spark takes a side that is itself a join for as large as the product of its inputs,
-    and would rather broadcast the fact table. Counting a file reads its footers only.
+    Spark takes a side that is itself a join for as large as the product of its inputs, and one that is built of a small
+    file for as small as the file.
     """
-    return F.broadcast(df) if rows.count() * row_bytes <= BROADCAST_UP_TO else df
+    return rows.count() * row_bytes <= limit
 
 
-def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts that depend on reseller or product alone are made once per reseller or product.
+def raw_prices(spark: SparkSession, sf_dir: str, by_period: bool = False) -> DataFrame:
+    """Rows travel narrow: every exchange comes before the texts are made, those of a small reseller table once per reseller.
 
     The given file is one row group, so one task reads it, however many could make rows of it. The narrow rows are dealt out
-    first, always; a raw table of many files, which the library itself reads, needs no such step.
+    first, always: by a product table too large to broadcast, else by themselves; a raw table of many files, which the library
+    itself reads, needs no such step. ``by_period`` deals them by half-year, for files of half-years.
     """
-    items = (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
-        .repartition(spark.sparkContext.defaultParallelism, "l_orderkey")
+    lineitem, parts, supplier = (table(spark, sf_dir, name) for name in ("lineitem", "part", "supplier"))
+    items = lineitem.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
     )
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region").select("r_regionkey"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    suppliers = table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-    resellers = suppliers.select("s_suppkey", *[v.alias(n) for n, v in _reseller_columns().items()])
-    products = table(spark, sf_dir, "part").select("p_partkey", *[v.alias(n) for n, v in _product_columns().items()])
-    resellers = small_side(resellers, table(spark, sf_dir, "supplier"), RESELLER_BYTES)
-    products = small_side(products, table(spark, sf_dir, "part"), PRODUCT_BYTES)
-    joined = items.join(resellers, F.col("l_suppkey") == F.col("s_suppkey")).join(
-        products, F.col("l_partkey") == F.col("p_partkey")
+    suppliers = supplier.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        "s_suppkey", "s_name", "n_name", "n_nationkey", "n_regionkey"
     )
-    rows = joined.withColumns(_item_columns())
-    return rows.select(*[F.col(f"`{name}`") for name in SOURCE.raw_schema.names])
+    products = parts.select("p_partkey", *[v.alias(n) for n, v in _product_columns().items()])
+
+    few_suppliers = is_small(supplier, RESELLER_BYTES, TEXTS_UP_TO)
+    few_products = is_small(parts, PRODUCT_BYTES, BROADCAST_UP_TO)
+    of_product, of_supplier = F.col("l_partkey") == F.col("p_partkey"), F.col("l_suppkey") == F.col("s_suppkey")
+
+    if not few_products:
+        items = items.join(products.hint("merge"), of_product).drop("l_partkey", "p_partkey")
+    if not few_suppliers:
+        items = items.join(suppliers.hint("merge"), of_supplier).drop("l_suppkey")
+    if by_period:
+        items = items.withColumn("partition", _item_columns()["partition"]).hint("rebalance", F.col("partition"))
+    elif few_products and few_suppliers:
+        n_tasks = max(spark.sparkContext.defaultParallelism, -(-lineitem.count() // ROWS_PER_TASK))
+        items = items.repartition(n_tasks, "l_orderkey")
+    texts = _reseller_columns()
+    if few_suppliers:
+        resellers = suppliers.select("s_suppkey", *[v.alias(n) for n, v in texts.items()])
+        items = items.join(F.broadcast(resellers), of_supplier)
+    if few_products:
+        items = items.join(F.broadcast(products), of_product)
+    rows = items if few_suppliers else items.withColumns(texts)
+    return rows.withColumns(_item_columns()).select(*[F.col(f"`{name}`") for name in SOURCE.raw_schema.names])
 
 
 def _reseller_columns() -> dict[str, Column]:

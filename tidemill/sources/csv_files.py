@@ -69,10 +69,11 @@ def empty_template(spark: SparkSession, contract: SourceContract) -> DataFrame:
     return spark.createDataFrame([], contract.raw_schema)
 
 
-def land_csv(raw: DataFrame, contract: SourceContract, landing: str) -> None:
+def land_csv(raw: DataFrame, contract: SourceContract, landing: str, gathered: bool = False) -> None:
     """Write raw rows as files of the contract, ``<landing>/<source>/partition=<value>/…csv``.
 
-    The rebalance gives every half-year files of a sensible size, however its rows lie.
+    The rebalance gives every half-year files of a sensible size, however its rows lie. Rows that lie by half-year
+    already (``gathered``) are written as they lie.
     """
     columns = [F.col(f"`{c.name}`") for c in contract.columns]
     options = {
@@ -83,5 +84,7 @@ def land_csv(raw: DataFrame, contract: SourceContract, landing: str) -> None:
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
     }
-    rows = raw.select(*columns, "partition").hint("rebalance", F.col("partition"))
+    rows = raw.select(*columns, "partition")
+    if not gathered:
+        rows = rows.hint("rebalance", F.col("partition"))
     rows.write.partitionBy("partition").options(**options).csv(f"{landing}/{contract.name}")
