@@ -3,7 +3,9 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemill import storage
 from tidemill.plans.fuel_prices import MODEL, SOURCE
 from tidemill.plans.ingest import ingest
 from tidemill.plans.upkeep import pack_batches
@@ -12,6 +14,7 @@ from tidemill.registry import all_queries
 from tidemill.plans.staging import clean, full_model
 from tidemill.registry import raw_prices as adapter
 from tidemill.registry.raw_prices import raw_prices
+from tidemill.sources.csv_files import land_csv
 from landing import price_file, price_line
 from rows import rows_of
 
@@ -105,3 +108,24 @@ def test_a_pack_moves_no_raw_rows(spark, tmp_path, hints):
     pack_batches(spark, SOURCE, warehouse)
     packed = warehouse.read_raw(spark, SOURCE)
     assert not hints and rows_of(packed) == before and len(packed.inputFiles()) == 2
+
+
+@pytest.mark.parametrize("open_files", [storage.OPEN_FILES, 2])
+def test_landing_and_loading_write_wide_rows_without_a_sort(spark, tmp_path, monkeypatch, open_files):
+    """Also when a task has more half-years than files may be open, where Spark sorts the rest."""
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    writer = type(spark.range(0).write)
+    for kind in ("csv", "parquet"):
+        plain = getattr(writer, kind)
+        monkeypatch.setattr(writer, kind, lambda w, path, *a, f=plain, **b: seen.append((path, spark.conf.get(name))) or f(w, path, *a, **b))
+    monkeypatch.setattr(storage, "OPEN_FILES", open_files)
+    before = spark.conf.get(name)
+    raw = raw_prices(spark, SF, by_period=True)
+    land_csv(raw, SOURCE, str(tmp_path / "in"), gathered=True)
+    warehouse = Warehouse(str(tmp_path / "warehouse"))
+    ingest(spark, SOURCE, str(tmp_path / "in"), warehouse)
+    wide = [n for path, n in seen if path == f"{tmp_path}/in/{SOURCE.name}" or f"{warehouse.raw_path(SOURCE)}/" in path]
+    assert wide == [str(open_files)] * 2 and spark.conf.get(name) == before
+    kept = ["Data da Coleta", "Valor de Venda", "Produto", "partition"]
+    blank_is_null = [F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in kept]
+    assert rows_of(warehouse.read_raw(spark, SOURCE).select(*blank_is_null)) == rows_of(raw.select(*blank_is_null))

@@ -24,7 +24,7 @@ from tidemill.plans.archive import archive_files, check_archive
 from tidemill.plans.warehouse import Warehouse
 from tidemill.sources.csv_files import scan_landing
 from tidemill.sources.file_units import checksum_files, list_files
-from tidemill.storage import Lease, exclusive, path_exists
+from tidemill.storage import Lease, exclusive, path_exists, written_as_they_lie
 
 log = logging.getLogger(__name__)
 
@@ -156,7 +156,8 @@ def _load_batch(
     raw_dir = warehouse.batch_folder(warehouse.raw_path(source), batch_id, lease.token)
     counted = Observation()
     rows = scan_landing(spark, source, names, ingestion_ts).observe(counted, F.count(F.lit(1)).alias("n_rows"))
-    rows.write.mode("overwrite").partitionBy("partition").parquet(raw_dir)
+    with written_as_they_lie(spark):  # a task reads one split of a file, or several small files
+        rows.write.mode("overwrite").partitionBy("partition").parquet(raw_dir)
 
     written = spark.read.schema(source.raw_schema).parquet(raw_dir)
     mine = pending.where(F.col("source_file").between(names[0], names[-1]))

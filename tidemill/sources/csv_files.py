@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemill.contracts import SourceContract
 from tidemill.functions import partition_of_path, wall_clock
-from tidemill.storage import escape_glob
+from tidemill.storage import escape_glob, written_as_they_lie
 
 
 def file_of_row() -> Column:
@@ -87,4 +87,5 @@ def land_csv(raw: DataFrame, contract: SourceContract, landing: str, gathered: b
     rows = raw.select(*columns, "partition")
     if not gathered:
         rows = rows.hint("rebalance", F.col("partition"))
-    rows.write.partitionBy("partition").options(**options).csv(f"{landing}/{contract.name}")
+    with written_as_they_lie(raw.sparkSession):
+        rows.write.partitionBy("partition").options(**options).csv(f"{landing}/{contract.name}")

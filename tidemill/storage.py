@@ -12,6 +12,7 @@ import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -88,6 +89,8 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+#: Files that a task of ``written_as_they_lie`` writes at the same time.
+OPEN_FILES = 32
 #: A lease that was neither released nor renewed for so long belongs to a dead run.
 LEASE_SECONDS = 6 * 3600
 
@@ -159,6 +162,21 @@ def exclusive(spark: SparkSession, path: str) -> Iterator[Lease]:
             lease.write(0)
 
 
+@contextmanager
+def written_as_they_lie(spark: SparkSession) -> Iterator[None]:
+    """Inside, a write by partition keeps the files of ``OPEN_FILES`` partitions open in a task and does not sort its rows.
+
+    For tasks whose rows are of few partitions, or few altogether; of more partitions the rest is sorted by Spark.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def escape_glob(path: str) -> str:
     """A literal path as the glob that matches only it (readers expand globs)."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
@@ -180,4 +198,23 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     fs, jpath = _hadoop(spark, path)
     fs.mkdirs(jpath)
     fs.deleteOnExit(jpath)
+    if (made := _made.get()) is not None:
+        made.append(path)
     return path
+
+
+#: Scratch folders made since the innermost ``scratch_released`` began.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch_released(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders made inside are deleted at the end. What outlives them goes to a folder made before."""
+    folders: list[str] = []
+    token = _made.set(folders)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for folder in folders:
+            delete_dir(spark, folder)
