@@ -110,6 +110,19 @@ def test_a_pack_moves_no_raw_rows(spark, tmp_path, hints):
     assert not hints and rows_of(packed) == before and len(packed.inputFiles()) == 2
 
 
+@pytest.mark.parametrize("texts_up_to", [adapter.TEXTS_UP_TO, 0])
+def test_texts_are_made_in_tasks_of_bounded_rows_whatever_the_join(spark, monkeypatch, texts_up_to):
+    """Adaptive execution merges a join's partitions by bytes of narrow rows; the texts of one task were too many."""
+    rows = rows_of(raw_prices(spark, SF))
+    monkeypatch.setattr(adapter, "BROADCAST_UP_TO", 0)
+    monkeypatch.setattr(adapter, "TEXTS_UP_TO", texts_up_to)
+    monkeypatch.setattr(adapter, "ROWS_PER_TASK", 500)
+    df = raw_prices(spark, SF)
+    n_tasks = -(-len(rows) // 500)
+    assert f"Exchange RoundRobinPartitioning({n_tasks})" in plan_of(df)
+    assert df.rdd.getNumPartitions() == n_tasks and rows_of(df) == rows
+
+
 @pytest.mark.parametrize("open_files", [storage.OPEN_FILES, 2])
 def test_landing_and_loading_write_wide_rows_without_a_sort(spark, tmp_path, monkeypatch, open_files):
     """Also when a task has more half-years than files may be open, where Spark sorts the rest."""

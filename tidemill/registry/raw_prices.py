@@ -39,8 +39,9 @@ def raw_prices(spark: SparkSession, sf_dir: str, by_period: bool = False) -> Dat
     """Rows travel narrow: every exchange comes before the texts are made, those of a small reseller table once per reseller.
 
     The given file is one row group, so one task reads it, however many could make rows of it. The narrow rows are dealt out
-    first, always: by a product table too large to broadcast, else by themselves; a raw table of many files, which the library
-    itself reads, needs no such step. ``by_period`` deals them by half-year, for files of half-years.
+    first, always, after the join with a product table too large to broadcast: partitions of a join are merged by the bytes of
+    narrow rows, and the texts of that many rows don't fit a task. A raw table of many files, which the library
+    itself reads, needs no such step. ``by_period`` deals them by half-year, for files of half-years, which are written without a sort.
     """
     lineitem, parts, supplier = (table(spark, sf_dir, name) for name in ("lineitem", "part", "supplier"))
     items = lineitem.select(
@@ -64,9 +65,10 @@ def raw_prices(spark: SparkSession, sf_dir: str, by_period: bool = False) -> Dat
         items = items.join(suppliers.hint("merge"), of_supplier).drop("l_suppkey")
     if by_period:
         items = items.withColumn("partition", _item_columns()["partition"]).hint("rebalance", F.col("partition"))
-    elif few_products and few_suppliers:
+    else:
         n_tasks = max(spark.sparkContext.defaultParallelism, -(-lineitem.count() // ROWS_PER_TASK))
-        items = items.repartition(n_tasks, "l_orderkey")
+        joined = not (few_products and few_suppliers)
+        items = items.repartition(n_tasks, *[] if joined else ["l_orderkey"])
     texts = _reseller_columns()
     if few_suppliers:
         resellers = suppliers.select("s_suppkey", *[v.alias(n) for n, v in texts.items()])
