@@ -1,6 +1,7 @@
 """The pipeline against brute force on a small corpus, and on tables with every odd case."""
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemill.llm.mixing import mix
-from tidemill.llm.toxicity import score_toxicity, train
+from tidemill.llm.toxicity import fit_logistic, score_toxicity, train
 
 
 def write(spark, folder, docs, labels, bench):
@@ -83,3 +84,35 @@ def test_every_stage_takes_odd_documents(spark, tmp_path, odd_docs, odd_rows):
         out.collect()
         assert stage(spark, odd_docs.limit(0), folder).collect() == []
     assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_stages_leave_no_scratch_tables_behind(spark, tmp_path, monkeypatch):
+    """A stage's own tables are gone when it returns, but for what its lazy result still reads."""
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(type(spark.conf), "get", lambda conf, name, *rest, plain=type(spark.conf).get: str(shared) if name == "spark.checkpoint.dir" else plain(conf, name, *rest))
+    docs, labels = corpus(300, seed=3)
+    docs = [(i, t, "xx", f"s{i % 3}", len(t)) for i, t, *_ in docs] + [(5000 + i, t, "xx", "s1", 0) for i, t, *_ in docs[:40]]
+    folder = write(spark, tmp_path / "tables", docs, labels, [(1, "nothing of this is in any of the texts at all")])
+    rows, left = spark.read.parquet(f"{folder}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = set(shared.glob("*"))
+        out = stage(spark, rows, folder)
+        left[name] = sorted(p.name.split("-")[1] for p in set(shared.glob("*")) - before)
+        assert out.count()
+    assert left == {
+        "toxicity": [], "near_dedup": ["decided", "shared"], "decontaminate": [], "mix": ["cuts"], "token_output": ["index", "places", "tokens"],
+    }
+
+
+def test_fitting_holds_long_numbers_of_few_rows_at_once():
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 3, (30_000, 120)).astype(np.float16), rng.random(30_000)
+    x[:, -1] = 1
+    tracemalloc.start()
+    weights = fit_logistic(x, y)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < x.nbytes * 2  # all rows as float64, twice, would be eight times
+    p = 1 / (1 + np.exp(-(x.astype(np.float64) @ weights)))
+    shrunk = np.append(np.full(119, 0.05), 1e-6) * weights
+    assert np.abs(x.astype(np.float64).T @ (p - y) + shrunk).max() < 1e-5

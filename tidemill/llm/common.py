@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemill.storage import scratch_dir
+from tidemill.storage import scratch_dir, scratch_released
 
 #: Words of the contracts: runs without blanks and ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -59,6 +59,16 @@ def stored(spark: SparkSession, df: DataFrame, label: str, **options: str) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_alone(spark: SparkSession, step: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``step`` gives, stored; the tables that it stored on its way are deleted."""
+    small_batches(spark)
+    path = scratch_dir(spark, label) + "/data"
+    with scratch_released(spark):
+        df = step()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def process_memory(name: str) -> dict:
     """A dictionary that outlives a task in its Python worker, until another operator's task runs there."""
     held = vars(sys).setdefault("_tidemill_llm", {})

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemill.llm.common import WORD, stored, table, text_of
+from tidemill.llm.common import WORD, stored, stored_alone, table, text_of
 
 CELLS = 1 << 16
 #: Logarithms of the least and the greatest key that 52 bits and a weight of 0.1 can give.
@@ -189,7 +189,7 @@ def mixed_documents(
 
     Keys are drawn again from the rows, so texts meet only the table of sources and are not shuffled.
     """
-    cuts = source_cuts(spark, _sized(spark, docs, seed), weights, share, most)
+    cuts = stored_alone(spark, lambda: source_cuts(spark, _sized(spark, docs, seed), weights, share, most), "cuts")
     rows = decided(keyed(docs, seed).drop("text"), cuts)
     return rows.select("doc", F.explode(F.array_repeat(F.lit(0), F.col("repeats")))).select("doc.*")
 

@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemill.llm.common import connected_components, stored, table, text_of
+from tidemill.llm.common import connected_components, stored, stored_alone, table, text_of
 
 ROWS, BANDS = 5, 30
 SKETCH_BITS = 512
@@ -220,7 +220,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5
     if not shared.isEmpty():
         told = rows.join(shared.withColumn("told", F.lit(True)), "doc_id", "left")
         rows = told.withColumn("doc_id", F.when(F.col("told"), F.xxhash64("doc_id", "name")).otherwise(F.col("doc_id")))
-    decided = stored(spark, _decided(spark, rows.select("doc_id", "text"), width, similarity), "decided")
+    decided = stored_alone(spark, lambda: _decided(spark, rows.select("doc_id", "text"), width, similarity), "decided")
     dropped = decided.where("not kept").select("doc_id", "name").distinct()
     rows = rows.select("doc", "doc_id", "name").join(dropped, ["doc_id", "name"], "left_anti")
     repeated = decided.where("kept and doc_id is not null").groupBy("doc_id", "name").agg(F.count("*").alias("n")).where("n > 1")

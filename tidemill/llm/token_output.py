@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemill.llm.common import process_memory, shuffles_released, stored, table, text_of
 from tidemill.llm.words import span_hashes
-from tidemill.storage import scratch_dir
+from tidemill.storage import scratch_dir, scratch_released
 
 PER_BUCKET = 2048
 SHARD_BYTES = 8 << 20
@@ -269,7 +269,8 @@ def write_shards(
         F.xxhash64(text_of()).alias("mark"),
         text_of().alias("text"),
     )
-    cuts = shard_cuts(spark, texts, shard_bytes)
+    with scratch_released(spark):
+        cuts = shard_cuts(spark, texts, shard_bytes)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(tokenizer_file)

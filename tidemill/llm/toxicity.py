@@ -34,6 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemill.llm.common import stored, table, text_of
+from tidemill.storage import scratch_released
 
 ENTRIES, VOTERS = 400, 60
 #: Toxic documents that an entry must be seen in.
@@ -42,6 +43,8 @@ SUPPORT = 3
 LEAST_GAIN = 9.0
 #: How often a given label is taken to be right at first, and how many rows that belief counts for beside the rows themselves.
 LABEL_TRUST, BELIEF = 0.98, 20
+#: Rows of the fit that are held as long numbers at once.
+FITTED_AT_ONCE = 4096
 #: Words whose entries a task remembers before it begins anew.
 REMEMBERED = 150_000
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -187,15 +190,17 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 200) -> tup
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 40) -> np.ndarray:
-    """Weights by Newton steps; the last column is the constant and is not shrunk."""
+    """Weights by Newton steps; the last column is the constant and is not shrunk. ``x`` stays in its short numbers."""
     w = np.zeros(x.shape[1])
     keep = np.full(x.shape[1], ridge)
     keep[-1] = 1e-6
-    x = x.astype(np.float64)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - y) + keep * w
-        curve = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + np.diag(keep)
+        slope, curve = keep * w, np.diag(keep)
+        for at in range(0, len(x), FITTED_AT_ONCE):
+            some, truth = x[at : at + FITTED_AT_ONCE].astype(np.float64), y[at : at + FITTED_AT_ONCE]
+            p = 1 / (1 + np.exp(-np.clip(some @ w, -30, 30)))
+            slope = some.T @ (p - truth) + slope
+            curve = (some * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ some + curve
         step = np.linalg.solve(curve, slope)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -221,7 +226,11 @@ class Model:
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int = 24_000, more_rows: int = 8_000) -> Model:
     """Fitted on about ``fit_rows`` labelled rows and ``more_rows`` others: the lexicon by the labelled ones, the rest by all."""
-    fit = fitting_rows(spark, docs, labels, fit_rows, more_rows)
+    with scratch_released(spark):
+        return _trained(fitting_rows(spark, docs, labels, fit_rows, more_rows))
+
+
+def _trained(fit: DataFrame) -> Model:
     n_rows, n_toxic = fit.agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if n_toxic in (0, n_rows):
         share = n_toxic / n_rows if n_rows else 0.5
@@ -237,10 +246,11 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int
 
     # fit_rows + more_rows rows of ENTRIES small numbers.
     got = fit.mapInPandas(read, "row binary, toxic int").toPandas()
-    x = np.frombuffer(b"".join(got["row"]), np.float16).reshape(len(got), -1).astype(np.float32)
+    x = np.frombuffer(b"".join(got["row"]), np.float16).reshape(len(got), -1)
     y = got["toxic"].to_numpy(np.float64)
+    del got
     n = len(entries)
-    patterns = x[:, n:-1]
+    patterns = x[:, n:-1].astype(np.float32)
     votes = np.concatenate((x[:, : min(n, VOTERS)] > 0, patterns > np.maximum(0.05, np.quantile(patterns, 0.9, axis=0))), axis=1)
     posterior, _ = label_model(votes.astype(np.float64), y)
     labelled = ~np.isnan(y)  # where nothing but votes tells, a toxic text without a listed word would teach that it is clean
