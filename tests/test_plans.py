@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill import storage
+from tidemill.operators.keyed_table import KeyedTable
 from tidemill.plans.fuel_prices import MODEL, SOURCE
 from tidemill.plans.ingest import ingest
 from tidemill.plans.upkeep import pack_batches
@@ -99,6 +100,17 @@ def test_a_build_moves_rows_by_key_only(spark, stored_raw, tmp_path, hints):
     assert not hints and rows_of(model.read(spark)) == rows_of(full_model(stored_raw, MODEL))
 
 
+def test_an_upsert_of_stored_batches_moves_rows_of_repeated_keys_only(spark, monkeypatch):
+    plans, publish = [], KeyedTable._publish
+    monkeypatch.setattr(KeyedTable, "_publish", lambda table, rows, *a: plans.append(plan_of(rows)) or publish(table, rows, *a))
+    assert rows_of(all_queries()["incremental_upsert"](spark, SF)) == rows_of(full_model(raw_prices(spark, SF), MODEL))
+    assert len(plans) == 2
+    for plan in plans:
+        assert plan.count("Exchange hashpartitioning(sk_revenda_coleta") == 1
+        by_key = plan[plan.index("Exchange hashpartitioning(sk_revenda_coleta") :]
+        assert "LeftSemi" in by_key and "LeftOuter" not in by_key, "rows without a mark go past the exchange"
+
+
 def test_a_pack_moves_no_raw_rows(spark, tmp_path, hints):
     warehouse = Warehouse(str(tmp_path / "warehouse"))
     for n in range(4):

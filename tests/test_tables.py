@@ -8,7 +8,8 @@ from rows import rows_of
 from tidemill.contracts import resolve_namespace
 from tidemill.operators import upsert
 from tidemill.operators.keyed_table import KeyedTable
-from tidemill.operators.latest import latest_per_key, newest_first
+from tidemill.operators import latest
+from tidemill.operators.latest import latest_of_stored, latest_per_key, newest_first
 from tidemill.sources.periods import resolve_periods, rows_of_period
 from tidemill.storage import glob_paths, scratch_dir
 
@@ -52,6 +53,34 @@ def test_latest_matches_brute_force_with_a_hot_key(spark):
     assert rows_of(latest_per_key(df, "k", newest_first(ORDER))) == brute_latest(rows)
 
 
+@pytest.mark.parametrize("word_bits", [latest.WORD_BITS, 1])
+def test_latest_of_stored_rows_matches_brute_force(spark, tmp_path, monkeypatch, word_bits):
+    """Null keys, equal rows and a hot key; with 128 marks for 3,000 keys nearly every row bears another key's mark."""
+    monkeypatch.setattr(latest, "WORD_BITS", word_bits)
+    rows = sample(600, 4) + [(None, None, 5, "a"), (None, None, 6, None), ("k1", date(2025, 2, 2), 99, "z")] * 2
+    rows += [(f"once{i}", date(2025, 3, 1), i, "v") for i in range(3000)]
+    spark.createDataFrame(rows, SCHEMA).repartition(5).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.schema(SCHEMA).parquet(str(tmp_path / "rows"))
+    assert rows_of(latest_of_stored(df, "k", newest_first(ORDER))) == brute_latest(rows)
+    # With all columns as the key each distinct row stays once.
+    assert rows_of(latest_of_stored(df, SCHEMA.names, newest_first(ORDER))) == sorted(set(rows), key=repr)
+
+
+def test_stored_rows_of_keys_that_come_once_stay_where_they_lie(spark, tmp_path):
+    """A build and a merge leave them in the order of their files; moved rows would lie by the hash of their key."""
+    table = table_at(tmp_path / "t", None)
+    names = [f"k{i}" for i in range(400)]
+    for mark, part in enumerate((names[:300], names[250:]), 1):
+        path = str(tmp_path / f"batch-{mark}")
+        spark.createDataFrame([(k, date(2025, 1, 1), mark, "v") for k in part], SCHEMA).coalesce(1).write.parquet(path)
+        change = table.replace if mark == 1 else table.merge
+        change(spark.read.schema(SCHEMA).parquet(path), mark, stored=True)
+    assert rows_of(table.read(spark), "k", "ts") == sorted(((k, 1 if i < 250 else 2) for i, k in enumerate(names)), key=repr)
+    for part, n_files in ((names[:250], 1), (names[300:], 1)):
+        files = table.read(spark).where(F.col("k").isin(part)).groupBy(F.input_file_name()).agg(F.collect_list("k")).collect()
+        assert len(files) == n_files and files[0][1] == part
+
+
 def test_steps_equal_one_full_build(spark, tmp_path):
     rows = sample(900, 2)
     steps = table_at(tmp_path / "steps")
@@ -152,6 +181,26 @@ def test_any_order_of_changes_equals_one_newest_row_pass(spark, tmp_path, seed,
         assert rows_of(table.read(spark)) == brute_latest(rows), (mark, change)
 
 
+@pytest.mark.parametrize("sliced", [True, False])
+def test_any_order_of_changes_by_stored_batches_equals_one_newest_row_pass(spark, tmp_path, sliced):
+    name = "spark.sql.files.maxPartitionBytes"
+    split, rng = spark.conf.get(name), random.Random(9)
+    table = table_at(tmp_path / "t") if sliced else table_at(tmp_path / "t", None)
+    rows = []
+    for mark, change in enumerate(["merge", "append", "merge", "append", "compact", "merge", "replace", "append", "merge"]):
+        if change == "compact":
+            table.compact(spark)
+        else:
+            path = str(tmp_path / f"batch-{mark}")
+            more = sample(rng.choice([2, 40]), 50 + mark)
+            spark.createDataFrame(more, SCHEMA).write.parquet(path)
+            batch = spark.read.schema(SCHEMA).parquet(path)
+            rows = more if change == "replace" else rows + more
+            table.append(batch, mark) if change == "append" else getattr(table, change)(batch, mark, stored=True)
+        assert rows_of(table.read(spark)) == brute_latest(rows), (mark, change)
+    assert spark.conf.get(name) == split
+
+
 def test_empty_table_and_empty_batch(spark, tmp_path):
     table = table_at(tmp_path / "t")
     assert table.mark(spark) is None

@@ -33,8 +33,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm.common import WORD, shuffles_released, stored, table, text_of
+from tidemill.llm.common import WORD, stored, table, text_of
 from tidemill.llm.words import mixed, prefix_hashes, word_hashes
+from tidemill.storage import shuffles_released
 
 #: Suffixes that one task holds as a subtree, words that a task folds at once, bins per prefix length at most.
 GROUP_SIZE, CHUNK_WORDS, MOST_BINS = 1 << 21, 1 << 20, 1 << 16

@@ -34,9 +34,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemill.llm.common import process_memory, shuffles_released, stored, table, text_of
+from tidemill.llm.common import process_memory, stored, table, text_of
 from tidemill.llm.words import span_hashes
-from tidemill.storage import scratch_dir, scratch_released
+from tidemill.storage import scratch_dir, scratch_released, shuffles_released
 
 PER_BUCKET = 2048
 SHARD_BYTES = 8 << 20

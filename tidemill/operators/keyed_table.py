@@ -20,9 +20,9 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemill.operators.latest import latest_per_key, newest_first
+from tidemill.operators.latest import latest_of_stored, latest_per_key, newest_first
 from tidemill.operators.upsert import merge_latest
-from tidemill.storage import delete_dir, escape_glob, glob_paths
+from tidemill.storage import delete_dir, escape_glob, glob_paths, shuffles_released, small_splits
 
 _VERSION = re.compile(r"/v=(\d+)-(-?\d+)-(full|part|delta)(?:-w(\w+))?(?:-r(\d+))?(?=/|$)")
 _SLICE = "_table_slice"
@@ -90,17 +90,22 @@ class KeyedTable:
 
     def read(self, spark: SparkSession, slices: list[str] | None = None) -> DataFrame:
         """The newest row per key of the given slices (all by default), deltas included."""
+        rows, over = self._rows(spark, slices)
+        return latest_per_key(rows, self.key, newest_first(self.tie_order)) if over else rows
+
+    def _rows(self, spark: SparkSession, slices: list[str] | None = None) -> tuple[DataFrame, bool]:
+        """Rows of the given slices as they lie, those of the deltas included, and whether there are deltas."""
         current = self.slices(spark)
         paths = [p for name, p in sorted(current.items()) if slices is None or name in slices]
         base = spark.read.schema(self.schema).parquet(*[escape_glob(p) for p in paths]) if paths else None
         over = self.deltas(spark)
         if not over:
-            return spark.createDataFrame([], self.schema) if base is None else base
+            return spark.createDataFrame([], self.schema) if base is None else base, False
         rows = spark.read.schema(self.schema).parquet(*[escape_glob(p) for p in over])
         if slices is not None:
             mine = F.coalesce(F.nullif(F.col(_SLICE), F.lit("")), F.lit(_NULL_SLICE)).isin(slices)
             rows = self._with_slice(rows).where(mine).drop(_SLICE)
-        return latest_per_key(rows if base is None else base.union(rows), self.key, newest_first(self.tie_order))
+        return rows if base is None else base.union(rows), True
 
     def read_units(self, spark: SparkSession, units: list[tuple[str, str]]) -> list[DataFrame]:
         """Rows of the given slices of the given version folders, with columns ``version`` and ``slice``; a frame per version."""
@@ -117,17 +122,20 @@ class KeyedTable:
             for version, paths in by_version.items()
         ]
 
-    def replace(self, df: DataFrame, mark: int) -> None:
-        """Full build: newest row per key of ``df`` becomes the whole table."""
-        rows = latest_per_key(df, self.key, newest_first(self.tie_order))
-        self._publish(rows, mark, "full")
+    def replace(self, df: DataFrame, mark: int, stored: bool = False) -> None:
+        """Full build: newest row per key of ``df`` becomes the whole table.
+
+        ``stored``, here and in ``merge``: ``df`` reads files and may be read again, so only rows of repeated keys are moved.
+        """
+        latest = latest_of_stored if stored else latest_per_key
+        self._publish(latest(df, self.key, newest_first(self.tie_order)), mark, "full")
 
-    def merge(self, df: DataFrame, mark: int) -> None:
+    def merge(self, df: DataFrame, mark: int, stored: bool = False) -> None:
         """Upsert: rewrite only the slices ``df`` touches, keeping the newest row per key."""
         spark = df.sparkSession
         touched = self._touched(df)
-        current = self.read(spark, touched)
-        rows = merge_latest(current, df.select(*self.schema.names), self.key, newest_first(self.tie_order))
+        current, _ = self._rows(spark, touched)
+        rows = merge_latest(current, df.select(*self.schema.names), self.key, newest_first(self.tie_order), stored)
         self._publish(rows, mark, "part")
 
     def append(self, df: DataFrame, mark: int, writer: str = "") -> None:
@@ -138,7 +146,7 @@ class KeyedTable:
         """Fold the deltas into a new full version."""
         if self.deltas(spark):
             mark = self.mark(spark)
-            self.replace(self.read(spark), -1 if mark is None else mark)
+            self.replace(self._rows(spark)[0], -1 if mark is None else mark, stored=True)
 
     def expire(self, spark: SparkSession) -> int:
         """Drop slices that a newer version replaced and deltas folded into one; for times without readers."""
@@ -165,15 +173,16 @@ class KeyedTable:
         return df.withColumn(_SLICE, value)
 
     def _publish(self, rows: DataFrame, mark: int, kind: str, writer: str = "") -> None:
-        """Rows lie by key, so every task holds rows of every slice and writes a file for each: as many as there are
-        tasks, which adaptive execution sizes by the data. A second exchange by slice would leave fewer files, and move
-        every row once more.
+        """Every task holds rows of every slice and writes a file for each: as many as there are tasks, which are sized
+        by the data, so that the wide rows of one are sorted by slice without spilling. An exchange by slice would leave
+        fewer files, and move every row once more. Shuffles are dropped when the rows are written.
         """
         versions = self.versions(rows.sparkSession)
         number = versions[0].number + 1 if versions else 0
         path = f"{self.root}/v={number:06d}-{mark}-{kind}" + (f"-w{writer}" if writer else "") + (f"-r{self.run}" if self.run else "")
-        if kind == "delta":
-            rows.write.mode("overwrite").parquet(path)
-        else:
-            self._with_slice(rows).write.mode("overwrite").partitionBy(_SLICE).parquet(path)
+        with small_splits(rows.sparkSession), shuffles_released(rows.sparkSession):
+            if kind == "delta":
+                rows.write.mode("overwrite").parquet(path)
+            else:
+                self._with_slice(rows).write.mode("overwrite").partitionBy(_SLICE).parquet(path)
 

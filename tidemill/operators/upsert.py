@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 
-from tidemill.operators.latest import latest_per_key
+from tidemill.operators.latest import latest_of_stored, latest_per_key
 
 
 def union_current_new(current: DataFrame, new: DataFrame) -> DataFrame:
@@ -24,10 +24,13 @@ def delete_insert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return union_current_new(untouched(target, batch, key), batch)
 
 
-def merge_latest(current: DataFrame, new: DataFrame, key: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Newest row per key over both sides, in one shuffle.
+def merge_latest(
+    current: DataFrame, new: DataFrame, key: str | Sequence[str], order: Sequence[Column], stored: bool = False
+) -> DataFrame:
+    """Newest row per key over both sides, in one shuffle; of sides that are ``stored`` only rows of repeated keys are moved.
 
     Equals a delete-and-insert whose batch is the newest row per key of both sides,
     without the extra join.
     """
-    return latest_per_key(union_current_new(current, new), key, order)
+    latest = latest_of_stored if stored else latest_per_key
+    return latest(union_current_new(current, new), key, order)

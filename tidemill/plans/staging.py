@@ -56,10 +56,10 @@ def _build(
     seen = table.mark(spark)
     lease.check()
     if seen is None or full_refresh:
-        table.replace(clean(warehouse.read_raw(spark, source), model), last)
+        table.replace(clean(warehouse.read_raw(spark, source), model), last, stored=True)
     elif rescan or seen < last:
         raw = warehouse.read_raw(spark, source, after=0 if rescan else seen)
-        table.merge(clean(raw, model), last)
+        table.merge(clean(raw, model), last, stored=True)
 
 
 def compact_model(spark: SparkSession, model: ModelContract, warehouse: Warehouse) -> None:

@@ -10,7 +10,7 @@ from tidemill.plans.staging import clean, full_model
 from tidemill.plans.warehouse import Warehouse
 from tidemill.registry.raw_prices import CLEAN_SQL, RAW_SQL, TIES, raw_prices, table, with_model, with_raw
 from tidemill.sources import csv_files
-from tidemill.storage import scratch_dir
+from tidemill.storage import scratch_dir, shuffles_released, written_as_they_lie
 
 
 def _is_new() -> Column:
@@ -53,11 +53,12 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full build from the first raw batch, then an upsert of the second."""
     root = scratch_dir(spark, "upsert")
     batches = raw_prices(spark, sf_dir).withColumn("batch_id", F.when(_is_new(), 2).otherwise(1))
-    batches.write.partitionBy("batch_id").parquet(f"{root}/raw")
+    with written_as_they_lie(spark), shuffles_released(spark):
+        batches.write.partitionBy("batch_id").parquet(f"{root}/raw")
     raw = spark.read.parquet(f"{root}/raw")
     model = Warehouse(root).model_table(MODEL)
-    model.replace(clean(raw.where("batch_id = 1"), MODEL), mark=1)
-    model.merge(clean(raw.where("batch_id = 2"), MODEL), mark=2)
+    model.replace(clean(raw.where("batch_id = 1"), MODEL), mark=1, stored=True)
+    model.merge(clean(raw.where("batch_id = 2"), MODEL), mark=2, stored=True)
     return model.read(spark)
 
 

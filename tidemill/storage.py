@@ -91,6 +91,8 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 #: Files that a task of ``written_as_they_lie`` writes at the same time.
 OPEN_FILES = 32
+#: Parquet of which a task makes wide rows; in memory they take some ten times as much.
+SPLIT_BYTES = 32 * 1024 * 1024
 #: A lease that was neither released nor renewed for so long belongs to a dead run.
 LEASE_SECONDS = 6 * 3600
 
@@ -177,6 +179,34 @@ def written_as_they_lie(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def small_splits(spark: SparkSession) -> Iterator[None]:
+    """Inside, a task reads ``SPLIT_BYTES`` of files at most: for plans that sort the wide rows made of them."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    n_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    spark.conf.set(name, f"{min(SPLIT_BYTES, n_bytes)}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Inside, a finished write drops its shuffle files at once, and not when the driver's garbage happens to be collected.
+
+    For frames that are executed once: a second execution would shuffle anew.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def escape_glob(path: str) -> str:
     """A literal path as the glob that matches only it (readers expand globs)."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
